@@ -37,5 +37,5 @@ def poly_hash_sql(expr: str, seed: int = DEFAULT_SEED, bits: int = DEFAULT_BITS)
     if bits <= 0:
         bits = FALLBACK_BITS
     mask = (1 << bits) - 1
-    return (f"(list_reduce(list_transform(string_split({expr}, ''), c -> ascii(c)::BIGINT), "
-            f"(a, b) -> (a * {seed} + b) & {mask}) & {mask})")
+    return (f"(list_reduce(list_transform(string_split({expr}, ''), lambda c: ascii(c)::BIGINT), "
+            f"lambda a, b: (a * {seed} + b) & {mask}) & {mask})")

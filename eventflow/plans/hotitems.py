@@ -21,7 +21,7 @@ _view_ids = itertools.count()
 UB_SQL = """ub AS (
   SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
          CASE WHEN event_type = 'view' THEN 'pv' ELSE event_type END AS behavior,
-         epoch_ms(ts) AS t
+         epoch_us(ts) // 1000 AS t
   FROM events)"""
 
 
