@@ -54,13 +54,16 @@ def ms_text(c: Column | str) -> Column:
     return c.cast("string")
 
 
-def java_timestamp_text(ms: Column | str) -> Column:
+def java_timestamp_text(ms: Column | str, whole_seconds: bool = False) -> Column:
     """Epoch ms -> the text ``java.sql.Timestamp.toString`` prints (SC5), in UTC.
 
     ``yyyy-MM-dd HH:mm:ss.f`` where the fraction has its trailing zeros removed
-    but keeps at least one digit (``.0`` on whole seconds).
+    but keeps at least one digit (``.0`` on whole seconds). Pass ``whole_seconds``
+    when the values are known to be whole seconds (window bounds on a seconds grid).
     """
     ms = F.col(ms) if isinstance(ms, str) else ms
+    if whole_seconds:
+        return F.concat(F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm:ss"), F.lit(".0"))
     frac = F.pmod(ms, F.lit(1000))
     digits = F.regexp_replace(F.lpad(frac.cast("string"), 3, "0"), "0+$", "")
     digits = F.when(frac == 0, F.lit("0")).otherwise(digits)

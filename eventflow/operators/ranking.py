@@ -26,7 +26,7 @@ def top_n(df: DataFrame, group_col: str, order_col: str, n: int,
 
 
 def top_n_report(ranked: DataFrame, window_end_col: str, rank_col: str, key_col: str,
-                 count_col: str, key_label: str) -> DataFrame:
+                 count_col: str, key_label: str, whole_seconds: bool = False) -> DataFrame:
     """One text block per window end, built from rows already limited to the top n.
 
     ``时间：<end>\\nNo1: <label>=<key> 浏览量=<count>\\n...======================``
@@ -37,6 +37,6 @@ def top_n_report(ranked: DataFrame, window_end_col: str, rank_col: str, key_col:
     g = ranked.groupBy(window_end_col).agg(
         F.array_sort(F.collect_list(F.struct(F.col(rank_col).alias("r"), line.alias("l")))).alias("_lines"))
     body = F.array_join(F.transform("_lines", lambda x: x["l"]), "")
-    text = F.concat(F.lit(REPORT_TIME_PREFIX), java_timestamp_text(F.col(window_end_col)), F.lit("\n"),
+    text = F.concat(F.lit(REPORT_TIME_PREFIX), java_timestamp_text(F.col(window_end_col), whole_seconds), F.lit("\n"),
                     body, F.lit(REPORT_FOOTER))
     return g.select(window_end_col, text.alias("report"))

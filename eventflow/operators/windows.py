@@ -6,22 +6,24 @@ epoch-ms longs (``window_start``, ``window_end``).
 Sliding windows with a large overlap (1 h / 5 s = 720 windows per event) are
 computed by **pane aggregation** instead of ``window()``'s per-row Expand:
 
-1. partial aggregate per (keys, pane) where a pane is one slide long;
-2. hash-partition the pane partials by (keys, time block), where a block spans
-   several window sizes, so the panes that feed one window mostly sit in one task;
-3. explode each pane into the window ends it contributes to and merge there:
-   the map-side partial aggregate collapses the copies before the shuffle;
-4. final merge per (keys, window_end) fixes up the windows that straddle blocks.
+1. partial aggregate per (keys, pane) where a pane is one slide long
+   (map-side combine, then one shuffle of pane partials);
+2. count and sum (``method='steps'``, the default for them): each pane is a +c / -c
+   step at its end and one window later; a running sum per (keys, time block) gives
+   every window's value and each constant stretch expands straight into its output
+   rows - one more shuffle (of pane partials), no aggregation after the explode;
+3. min and max (``method='pane'``): hash-partition the pane partials by (keys, time
+   block) so the panes of one window mostly sit in one task, explode each pane into
+   its window ends, merge map-side, then a final merge per (keys, window_end).
 
 Hot keys do not land on one task: the time block splits a key's history.
-Only associative merges are allowed (count, sum, min, max).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventflow.functions.time import duration_ms, epoch_ms
@@ -60,10 +62,10 @@ def tumbling_agg(df: DataFrame, keys, ts_col: str, size, aggs: Sequence[AggSpec]
 
 def sliding_agg(df: DataFrame, keys, ts_col: str, size, slide,
                 aggs: Sequence[AggSpec] = (("count", "count", None),),
-                method: str = "pane", block_windows: int = 8) -> DataFrame:
+                method: str = "auto", block_windows: int = 8) -> DataFrame:
     """Sliding window aggregate -> keys..., window_start, window_end, aggs...
 
-    ``method='pane'`` (default) is the plan described in the module docstring;
+    ``method='auto'`` picks ``steps`` for count/sum and ``pane`` otherwise (module docstring);
     ``method='direct'`` uses Spark's ``window(ts, size, slide)`` (one Expand row per
     window per event) and is kept for comparison and for tiny overlaps.
     """
@@ -73,6 +75,10 @@ def sliding_agg(df: DataFrame, keys, ts_col: str, size, slide,
         raise ValueError("pane aggregation needs size to be a multiple of slide")
     if size_ms == slide_ms:
         return tumbling_agg(df, ks, ts_col, size_ms, aggs)
+    if method == "auto":
+        method = "steps" if all(k in ("count", "sum") for _, k, _ in aggs) else "pane"
+    if method == "steps":
+        return _sliding_steps(df, ks, ts_col, size_ms, slide_ms, aggs, block_windows)
     if method == "direct":
         w = F.window(F.col(ts_col).cast("timestamp") if dict(df.dtypes)[ts_col] != "bigint"
                      else F.timestamp_millis(F.col(ts_col)), f"{size_ms} milliseconds", f"{slide_ms} milliseconds")
@@ -95,8 +101,52 @@ def sliding_agg(df: DataFrame, keys, ts_col: str, size, slide,
                          "window_end", *[n for n, _, _ in aggs])
 
 
+def _sliding_steps(df: DataFrame, ks: list[str], ts_col: str, size_ms: int, slide_ms: int,
+                   aggs: Sequence[AggSpec], block_windows: int) -> DataFrame:
+    """Sliding count/sum as a step function of the window end.
+
+    A pane ending at p with partial c adds c to every window ending in [p, p + size):
+    +c at p and -c at p + size. Within (keys, time block) a running sum over these
+    change points gives the value of each window end, and each constant stretch is
+    expanded directly into its window ends with ``sequence`` - the exploded rows are
+    the output rows, with no aggregation or shuffle after the explode.
+
+    Each pane is routed to the (at most two) blocks its window ends fall in, so the
+    running sum of a block starts from zero and blocks of one key run in parallel.
+    """
+    t = _ts_ms(df, ts_col)
+    pane_end = (t - F.pmod(t, F.lit(slide_ms)) + F.lit(slide_ms)).alias("_p")
+    names = [n for n, _, _ in aggs]
+    partial = [F.count(F.lit(1)).alias("_rows")] + [_PARTIAL[k](c).alias(n) for n, k, c in aggs]
+    panes = df.groupBy(*ks, pane_end).agg(*partial)
+
+    block_ms = size_ms * block_windows
+    first_b = F.floor(F.col("_p") / F.lit(block_ms))
+    last_b = F.floor((F.col("_p") + F.lit(size_ms - slide_ms)) / F.lit(block_ms))
+    routed = panes.withColumn("_b", F.explode(F.array_distinct(F.array(first_b, last_b))))
+    vals = ["_rows", *names]
+    # +c at the pane end, -c one window size later
+    sign = F.explode(F.array(F.struct(F.col("_p").alias("x"), F.lit(1).alias("s")),
+                             F.struct((F.col("_p") + F.lit(size_ms)).alias("x"), F.lit(-1).alias("s"))))
+    deltas = routed.select(*ks, "_b", *vals, sign.alias("_d")).select(
+        *ks, "_b", F.col("_d.x").alias("_x"), *[(F.col(v) * F.col("_d.s")).alias(v) for v in vals])
+    # One exchange on (keys, block); change points that coincide are peers of a RANGE
+    # frame, so the running value at a point already includes all of them, and only
+    # the last peer (whose next point is larger) yields a non-empty stretch.
+    w = Window.partitionBy(*ks, "_b").orderBy("_x")
+    running = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = deltas.select(*ks, "_b", "_x", F.lead("_x").over(w).alias("_nx"),
+                          *[F.sum(v).over(running).alias(v) for v in vals])
+    lo = F.greatest(F.col("_x"), F.col("_b") * F.lit(block_ms))
+    hi = F.least(F.col("_nx"), (F.col("_b") + 1) * F.lit(block_ms)) - F.lit(slide_ms)
+    live = steps.filter((F.col("_rows") > 0) & F.col("_nx").isNotNull() & (hi >= lo))
+    out = live.select(*ks, F.explode(F.sequence(lo, hi, F.lit(slide_ms))).alias("window_end"),
+                      *[(F.col(n).cast("long") if k == "count" else F.col(n)).alias(n) for n, k, _ in aggs])
+    return out.select(*ks, (F.col("window_end") - F.lit(size_ms)).alias("window_start"), "window_end", *names)
+
+
 def windowed_count(df: DataFrame, keys, ts_col: str, size, slide=None, count_col: str = "count",
-                   method: str = "pane") -> DataFrame:
+                   method: str = "auto") -> DataFrame:
     """Count per key per window (AG1/AG2/AG4/AG10/AG11): tumbling when ``slide`` is None."""
     aggs = ((count_col, "count", None),)
     if slide is None:

@@ -26,7 +26,7 @@ UB_SQL = """ub AS (
 
 
 def hot_items(behavior: DataFrame, size="1 hour", slide="5 minutes", n: int = 3,
-              ts: str = "ts", method: str = "pane") -> DataFrame:
+              ts: str = "ts", method: str = "auto") -> DataFrame:
     """Q1: top-``n`` viewed items per sliding window -> window_end, rank, item_id, count."""
     pv = behavior.filter(F.col("behavior") == "pv").select("item_id", ts)
     counts = windowed_count(pv, ["item_id"], ts, size, slide, method=method)
@@ -65,7 +65,7 @@ SELECT window_end, rank, item_id, count FROM r WHERE rank <= 3"""
 
 @register("q01_hot_items", Q1_SQL)
 def q01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hot_items(user_behavior(spark, sf_dir), "1 hour", "5 minutes", 3)
+    return hot_items(user_behavior(spark, sf_dir, "pv"), "1 hour", "5 minutes", 3)
 
 
 Q1R_SQL = f"""WITH {UB_SQL},
@@ -82,8 +82,8 @@ FROM r WHERE rank <= 3 GROUP BY window_end"""
 
 @register("q01r_hot_items_report", Q1R_SQL)
 def q01r(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = hot_items(user_behavior(spark, sf_dir), "1 hour", "5 minutes", 3)
-    return top_n_report(ranked, "window_end", "rank", "item_id", "count", REPORT_ITEM_LABEL)
+    ranked = hot_items(user_behavior(spark, sf_dir, "pv"), "1 hour", "5 minutes", 3)
+    return top_n_report(ranked, "window_end", "rank", "item_id", "count", REPORT_ITEM_LABEL, whole_seconds=True)
 
 
 Q2_SQL = f"""WITH b AS (
@@ -111,7 +111,7 @@ SELECT item_id, cnt, window_end, row_num FROM r WHERE row_num <= 5"""
 
 @register("q03_hot_items_tumbling", Q3_SQL)
 def q03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hot_items_tumbling(user_behavior(spark, sf_dir), "1 hour", 5)
+    return hot_items_tumbling(user_behavior(spark, sf_dir, "pv"), "1 hour", 5)
 
 
 Q4_SQL = f"""WITH {UB_SQL},
@@ -123,7 +123,7 @@ SELECT item_id, cnt, window_end, row_num FROM r WHERE row_num <= 5"""
 
 @register("q04_hot_items_sql", Q4_SQL)
 def q04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hot_items_sql(spark, user_behavior(spark, sf_dir), "1 hour", 5)
+    return hot_items_sql(spark, user_behavior(spark, sf_dir, "pv"), "1 hour", 5)
 
 
 Q21_SQL = """SELECT event_type, CAST(sum(event_id) // count(event_id) AS DOUBLE) AS mean

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventflow.functions.text import TOTAL_BEHAVIOR, TOTAL_CHANNEL
-from eventflow.functions.time import java_timestamp_text
+from eventflow.functions.time import duration_ms, java_timestamp_text
 from eventflow.operators.caps import click_cap
 from eventflow.operators.windows import windowed_count
 from eventflow.plans.registry import register
@@ -36,7 +36,8 @@ def marketing_total(events: DataFrame, size="1 hour", slide="10 seconds", ts: st
 def ad_clicks_by_province(clicks: DataFrame, size="1 hour", slide="5 seconds", ts: str = "ts") -> DataFrame:
     """Q11: clicks per province per sliding window -> window_end (timestamp text), province, count."""
     c = windowed_count(clicks.select("province", ts), ["province"], ts, size, slide)
-    return c.select(java_timestamp_text(F.col("window_end")).alias("window_end"), "province", "count")
+    whole = duration_ms(slide) % 1000 == 0 and duration_ms(size) % 1000 == 0
+    return c.select(java_timestamp_text(F.col("window_end"), whole).alias("window_end"), "province", "count")
 
 
 def capped_clicks(clicks: DataFrame, keys: Sequence[str], max_count: int, policy: str) -> DataFrame:
@@ -62,7 +63,7 @@ FROM w GROUP BY e, channel, behavior"""
 
 @register("q09_marketing_by_channel", Q9_SQL)
 def q09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marketing_by_channel(marketing_events(spark, sf_dir), "1 hour", "10 seconds")
+    return marketing_by_channel(marketing_events(spark, sf_dir, drop_uninstall=True), "1 hour", "10 seconds")
 
 
 Q10_SQL = f"""WITH {MK_SQL},
@@ -75,7 +76,7 @@ FROM w GROUP BY e"""
 
 @register("q10_marketing_total", Q10_SQL)
 def q10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marketing_total(marketing_events(spark, sf_dir), "1 hour", "10 seconds")
+    return marketing_total(marketing_events(spark, sf_dir, drop_uninstall=True), "1 hour", "10 seconds")
 
 
 CLICKS_SQL = """c AS (

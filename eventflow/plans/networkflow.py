@@ -53,7 +53,7 @@ FROM ub WHERE behavior = 'pv' GROUP BY t - t % 3600000 + 3600000"""
 
 @register("q06_page_views", Q6_SQL)
 def q06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_views(user_behavior(spark, sf_dir), "1 hour")
+    return page_views(user_behavior(spark, sf_dir, "pv"), "1 hour")
 
 
 Q7_SQL = f"""WITH {UB_SQL}
@@ -63,7 +63,7 @@ FROM ub WHERE behavior = 'pv' GROUP BY t - t % 3600000 + 3600000"""
 
 @register("q07_unique_visitors", Q7_SQL)
 def q07(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pv = user_behavior(spark, sf_dir).filter(F.col("behavior") == "pv")
+    pv = user_behavior(spark, sf_dir, "pv").filter(F.col("behavior") == "pv")
     return unique_visitors(pv, "ts", "1 hour", "user_id")
 
 
@@ -76,12 +76,12 @@ FROM ub WHERE behavior = 'pv' GROUP BY t - t % 3600000 + 3600000"""
 
 @register("q08_unique_visitors_bitmap", _q8_sql(29))
 def q08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pv = user_behavior(spark, sf_dir).filter(F.col("behavior") == "pv")
+    pv = user_behavior(spark, sf_dir, "pv").filter(F.col("behavior") == "pv")
     return unique_visitors_bitmap(pv, "ts", "1 hour", "user_id", bits=29)
 
 
 @register("q08b_unique_visitors_bitmap_5bits", _q8_sql(5))
 def q08b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A 32-slot bitmap, so hash collisions merge users and the count differs from Q7."""
-    pv = user_behavior(spark, sf_dir).filter(F.col("behavior") == "pv")
+    pv = user_behavior(spark, sf_dir, "pv").filter(F.col("behavior") == "pv")
     return unique_visitors_bitmap(pv, "ts", "1 hour", "user_id", bits=5)

@@ -32,9 +32,15 @@ def _item(col: str = "props"):
     return F.get_json_object(F.col(col), "$.k").cast("long")
 
 
-def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UserBehavior: user_id, item_id, behavior ('pv' for views), ts (timestamp), event_id."""
+def user_behavior(spark: SparkSession, sf_dir: str, behavior: str | None = None) -> DataFrame:
+    """UserBehavior: user_id, item_id, behavior ('pv' for views), ts (timestamp), event_id.
+
+    ``behavior`` keeps one behaviour, filtered on the raw column so the predicate
+    reaches the parquet scan (a filter on the mapped column would not push down).
+    """
     e = _events(spark, sf_dir)
+    if behavior is not None:
+        e = e.filter(F.col("event_type") == ("view" if behavior == "pv" else behavior))
     return e.select(
         "event_id", "user_id", _item().alias("item_id"),
         F.when(F.col("event_type") == "view", F.lit("pv")).otherwise(F.col("event_type")).alias("behavior"),
@@ -42,9 +48,13 @@ def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def marketing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MarketingUserBehavior: user_id, behavior (error -> UNINSTALL), channel, ts."""
+def marketing_events(spark: SparkSession, sf_dir: str, drop_uninstall: bool = False) -> DataFrame:
+    """MarketingUserBehavior: user_id, behavior (error -> UNINSTALL), channel, ts.
+
+    ``drop_uninstall`` filters on the raw column, so the predicate is pushed to parquet."""
     e = _events(spark, sf_dir)
+    if drop_uninstall:
+        e = e.filter(F.col("event_type") != "error")
     return e.select(
         "event_id", "user_id",
         F.when(F.col("event_type") == "error", F.lit("UNINSTALL")).otherwise(F.upper("event_type")).alias("behavior"),
