@@ -43,6 +43,10 @@ def _keys(keys: str | Sequence[str] | None) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _ts_ms(df: DataFrame, ts_col: str) -> Column:
     dtype = dict(df.dtypes)[ts_col]
     if dtype in ("bigint", "int"):
@@ -92,7 +96,7 @@ def sliding_agg(df: DataFrame, keys, ts_col: str, size, slide,
     panes = df.groupBy(*ks, pane_end).agg(
         *[_PARTIAL[k](c).alias(p) for p, (_, k, c) in zip(partial_names, aggs)])
     block = F.floor(F.col("_pane_end") / F.lit(size_ms * block_windows))
-    panes = panes.repartition(*[F.col(k) for k in ks], block)
+    panes = panes.repartition(_shuffle_partitions(df), *[F.col(k) for k in ks], block)
     ends = F.sequence(F.col("_pane_end"), F.col("_pane_end") + F.lit(size_ms - slide_ms), F.lit(slide_ms))
     exploded = panes.select(*ks, F.explode(ends).alias("window_end"), *partial_names)
     merged = exploded.groupBy(*ks, "window_end").agg(
@@ -124,6 +128,9 @@ def _sliding_steps(df: DataFrame, ks: list[str], ts_col: str, size_ms: int, slid
     first_b = F.floor(F.col("_p") / F.lit(block_ms))
     last_b = F.floor((F.col("_p") + F.lit(size_ms - slide_ms)) / F.lit(block_ms))
     routed = panes.withColumn("_b", F.explode(F.array_distinct(F.array(first_b, last_b))))
+    # The stage after this exchange emits size/slide rows per change point, far more
+    # than it reads: pin the partition count so AQE does not coalesce it to one task.
+    routed = routed.repartition(_shuffle_partitions(df), *[F.col(k) for k in ks], F.col("_b"))
     vals = ["_rows", *names]
     # +c at the pane end, -c one window size later
     sign = F.explode(F.array(F.struct(F.col("_p").alias("x"), F.lit(1).alias("s")),
