@@ -71,8 +71,7 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = ",", mode
         if mode == "failfast":
             cols.append(raw.cast(f.dataType).alias(f.name))
         else:
-            v = F.try_cast(raw, f.dataType) if hasattr(F, "try_cast") else F.expr(
-                f"try_cast(trim(split({value_col}, '{_quote(sep)}', -1)[{i}]) AS {f.dataType.simpleString()})")
+            v = raw.try_cast(f.dataType)
             cols.append(v.alias(f.name))
             bad.append(v.isNull())
     out = lines.select(*cols, F.size(parts).alias("_n"), F.col(value_col).alias("_line"))
