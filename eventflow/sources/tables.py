@@ -20,8 +20,38 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 URL_SUFFIXES = ("", ".html", ".css", ".js", ".css?v=1")
 
 
+# When set (see ``streaming_tables``), table reads become file streams with these options.
+_STREAM_OPTS: dict | None = None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if _STREAM_OPTS is not None and name in _STREAM_OPTS.get("tables", ("events",)):
+        r = spark.readStream.schema(spark.read.parquet(path).schema)
+        if _STREAM_OPTS.get("max_files_per_trigger"):
+            r = r.option("maxFilesPerTrigger", _STREAM_OPTS["max_files_per_trigger"])
+        src = _STREAM_OPTS.get("paths", {}).get(name, path)
+        return r.parquet(src)
+    return spark.read.parquet(path)
+
+
+class streaming_tables:
+    """Context manager: inside it, the derived views read the named tables as file streams.
+
+    ``paths`` maps a table to the folder to stream (e.g. a folder that receives new files).
+    """
+
+    def __init__(self, tables=("events",), max_files_per_trigger: int | None = None, paths: dict | None = None):
+        self.opts = {"tables": tuple(tables), "max_files_per_trigger": max_files_per_trigger, "paths": paths or {}}
+
+    def __enter__(self):
+        global _STREAM_OPTS
+        self._old, _STREAM_OPTS = _STREAM_OPTS, self.opts
+        return self
+
+    def __exit__(self, *exc):
+        global _STREAM_OPTS
+        _STREAM_OPTS = self._old
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
