@@ -4,11 +4,14 @@ Every operator takes a DataFrame with a key, an event-time ``timestamp`` column,
 event-type column and a tie-break column; events are ordered by (ts, type rank,
 tie-break) so batch results are deterministic. Time outputs are epoch ms.
 
-Scaling notes. Q14-Q16 look at a bounded horizon and use the time-bucketed scans
-of ``sequences`` (no per-key task). Q13, Q17 and Q18 are order-dependent folds over
-a key's whole history (the reference keeps them in keyed state); they run as keyed
-window functions, and Q13 folds only inside segments cut at successes and at gaps
-longer than the window, which bounds each collected array by the burst length.
+Scaling notes. No operator here partitions by the key alone, so a key holding a
+large share of the rows is still spread over many tasks. Q14-Q16 look at a bounded
+horizon and use the time-bucketed scans of ``sequences``. Q13, Q17 and Q18 depend on
+a key's whole history (the reference keeps it in keyed state): rows are partitioned
+by (key, time bucket), each bucket is scanned locally, and what a bucket needs from
+its past (last events, running max, the open segment's OR) comes from one summary
+row per earlier bucket, ordered per key - a segmented scan. Q13 finally folds each
+burst segment (fails at most ``window`` apart, no success between) as one array.
 """
 
 from __future__ import annotations
@@ -53,25 +56,37 @@ def login_fail_consecutive(df: DataFrame, key: str = "user_id", ts: str = "ts",
 
 # --------------------------------------------------------------------- greedy burst windows
 def login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts", type_col: str = "event_type",
-                     window="2 seconds", max_failed: int = 2, tiebreak: str = "event_id") -> DataFrame:
+                     window="2 seconds", max_failed: int = 2, tiebreak: str = "event_id",
+                     bucket="1 day") -> DataFrame:
     """>= ``max_failed`` fails in a window opened by a fail (Q13).
 
     Per success-free run, greedily: open at the first unassigned fail t0, take every
     fail with ts <= t0 + window, warn if the window holds >= max_failed fails, continue
     after it. -> key, first_fail (ms), last_fail (ms), msg
+
+    Plan: a fail starts a segment when the event before it (looked up within the
+    window, time-bucketed) is not a fail - a success, or nothing within the window.
+    Greedy windows never span a segment boundary, so each segment is folded on its
+    own. The segment id (its first fail) is the latest start at or before the row: a
+    running max inside (key, time bucket) plus the max carried from earlier buckets.
     """
     w_ms = duration_ms(window)
     w_us = w_ms * 1000
-    by_key = Window.partitionBy(key).orderBy(F.col(ts), F.col(tiebreak))
-    d = df.select(key, ts, type_col, tiebreak,
-                  F.lag(type_col).over(by_key).alias("_pt"), F.lag(ts).over(by_key).alias("_pts"))
-    fails = d.filter(F.col(type_col) == "fail")
-    brk = (F.col("_pt").isNull() | (F.col("_pt") != "fail")
-           | ((_us(ts) - _us("_pts")) > F.lit(w_us)))
-    fails = fails.withColumn("_seg", F.sum(brk.cast("int")).over(
-        by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    b_us = max(duration_ms(bucket), 1) * 1000
+    d = previous_within(df, [key], ts, [ts, tiebreak], w_ms, [type_col], inclusive=True)
+    fails = (d.filter(F.col(type_col) == "fail")
+              .select(key, tiebreak, _us(ts).alias("_t"),
+                      F.coalesce(F.col("prev_" + type_col) != "fail", F.lit(True)).alias("_start")))
+    fails = fails.withColumn("_b", F.floor(F.col("_t") / F.lit(b_us))).repartition(_partitions(df), key, "_b")
+    run = Window.partitionBy(key, "_b").orderBy("_t", tiebreak).rowsBetween(Window.unboundedPreceding,
+                                                                             Window.currentRow)
+    fails = fails.withColumn("_ls", F.max(F.when(F.col("_start"), F.col("_t"))).over(run))
+    starts = fails.groupBy(key, "_b").agg(F.max(F.when(F.col("_start"), F.col("_t"))).alias("_ms"))
+    carry = starts.select(key, "_b", F.max("_ms").over(
+        Window.partitionBy(key).orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)).alias("_cs"))
+    fails = fails.join(carry, [key, "_b"], "left").withColumn("_seg", F.coalesce("_ls", "_cs"))
     segs = fails.groupBy(key, "_seg").agg(
-        F.array_sort(F.collect_list(F.struct(_us(ts).alias("t"), F.col(tiebreak).alias("i")))).alias("_ev"))
+        F.array_sort(F.collect_list(F.struct(F.col("_t").alias("t"), F.col(tiebreak).alias("i")))).alias("_ev"))
     fold = F.expr(f"""
       aggregate(_ev,
         named_struct('w', cast(array() as array<struct<s:bigint,e:bigint,n:int>>),
@@ -115,29 +130,54 @@ def match_followed_by(df: DataFrame, key: str = "order_id", ts: str = "ts", type
 # --------------------------------------------------------------------- timer verdict per create
 def order_deadline_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type_col: str = "event_type",
                            within="15 minutes", tiebreak: str = "event_id",
-                           create: str = "create", pay: str = "pay") -> DataFrame:
+                           create: str = "create", pay: str = "pay", bucket="1 day") -> DataFrame:
     """Verdict at each create's deadline (Q17, with the intent of the reference's fix).
 
     A create arriving while the key holds a pay recorded after the last expired
     deadline is absorbed (no row): that is the pay-before-create case. Every other
     create yields one row at ``deadline = ts + within``: 'paid' when the key's first
     pay after the create comes strictly before the deadline, else 'timeout'.
+
+    Plan, per (key, time bucket b) with bucket >= within: the last pay before a create
+    is a running max in its bucket or the max carried from buckets < b; the last
+    expired deadline comes from creates older than ts - within, which lie in buckets
+    <= b - 2 (carried) or in b - 1 / b (creates of b - 1 are copied into b and read with
+    a RANGE frame). The first pay after the create is the bounded ``next_within``.
     -> key, create_ts, deadline, verdict, result_msg
     """
     h = duration_ms(within)
     h_us = h * 1000
-    d = df.filter(F.col(type_col).isin(create, pay)).withColumn("_r", _type_rank(type_col, create))
-    by_key = Window.partitionBy(key).orderBy(F.col(ts), F.col("_r"), F.col(tiebreak))
-    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    expired = (Window.partitionBy(key).orderBy(_us(ts))
-                     .rangeBetween(Window.unboundedPreceding, -(h_us + 1)))
-    d = (d.withColumn("_last_pay", F.max(F.when(F.col(type_col) == pay, _us(ts))).over(before))
-          .withColumn("_last_exp", F.max(F.when(F.col(type_col) == create, _us(ts) + F.lit(h_us))).over(expired)))
+    b_us = max(duration_ms(bucket), h) * 1000
+    d = (df.filter(F.col(type_col).isin(create, pay))
+           .withColumn("_r", _type_rank(type_col, create)))
     d = next_within(d, [key], ts, [ts, "_r", tiebreak], h, F.col(type_col) == pay, [tiebreak])
-    absorbed = F.col("_last_pay").isNotNull() & (F.col("_last_exp").isNull() | (F.col("_last_pay") > F.col("_last_exp")))
-    c = d.filter((F.col(type_col) == create) & ~absorbed)
-    paid = F.col("next_" + ts).isNotNull()
-    return c.select(key, _ms(ts).alias("create_ts"), (_ms(ts) + F.lit(h)).alias("deadline"),
+    d = d.select(key, type_col, tiebreak, "_r", _us(ts).alias("_t"), F.col("next_" + ts).alias("_nx"))
+    is_c = F.col(type_col) == create
+    d = d.withColumn("_home", F.floor(F.col("_t") / F.lit(b_us)))
+    d = d.withColumn("_b", F.explode(F.when(is_c, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
+    d = d.withColumn("_own", F.col("_b") == F.col("_home")).repartition(_partitions(df), key, "_b")
+    own_pay = F.col("_own") & (F.col(type_col) == pay)
+    before = (Window.partitionBy(key, "_b").orderBy("_t", "_r", tiebreak)
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    expired = (Window.partitionBy(key, "_b").orderBy("_t")
+                     .rangeBetween(Window.unboundedPreceding, -(h_us + 1)))
+    d = (d.withColumn("_lp", F.max(F.when(own_pay, F.col("_t"))).over(before))
+          .withColumn("_lc", F.max(F.when(is_c, F.col("_t"))).over(expired)))
+    own = d.filter("_own")
+    summ = own.groupBy(key, "_b").agg(F.max(F.when(is_c, F.col("_t"))).alias("_mc"),
+                                      F.max(F.when(F.col(type_col) == pay, F.col("_t"))).alias("_mp"))
+    kb = Window.partitionBy(key).orderBy("_b")
+    carry = summ.select(key, "_b",
+                        F.max("_mc").over(kb.rangeBetween(Window.unboundedPreceding, -2)).alias("_cc"),
+                        F.max("_mp").over(kb.rangeBetween(Window.unboundedPreceding, -1)).alias("_cp"))
+    c = own.filter(is_c).join(carry, [key, "_b"], "left")
+    last_pay = F.greatest("_lp", "_cp")
+    last_exp = F.greatest("_lc", "_cc") + F.lit(h_us)
+    absorbed = last_pay.isNotNull() & (last_exp.isNull() | (last_pay > last_exp))
+    c = c.filter(~absorbed)
+    paid = F.col("_nx").isNotNull()
+    ms = F.floor(F.col("_t") / 1000).cast("long")
+    return c.select(key, ms.alias("create_ts"), (ms + F.lit(h)).alias("deadline"),
                     F.when(paid, F.lit("paid")).otherwise(F.lit("timeout")).alias("verdict"),
                     F.when(paid, F.lit(MSG_ORDER_PAID)).otherwise(F.lit(MSG_ORDER_TIMEOUT)).alias("result_msg"))
 
@@ -145,7 +185,7 @@ def order_deadline_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts",
 # --------------------------------------------------------------------- verdict at each pay
 def pay_event_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type_col: str = "event_type",
                       within="15 minutes", tiebreak: str = "event_id",
-                      create: str = "create", pay: str = "pay") -> DataFrame:
+                      create: str = "create", pay: str = "pay", bucket="1 day") -> DataFrame:
     """Verdict emitted at every pay (Q18), the keyed state machine of the reference:
 
     state (paid flag, deadline); a create on a paid key is swallowed (state reset),
@@ -155,28 +195,65 @@ def pay_event_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type
     Closed form used here: a pay whose previous event is a pay (or none) succeeds; a
     pay right after a create c succeeds iff it is within c's deadline, or c was
     swallowed, i.e. the event before c is a successful pay. So success is a running
-    OR along chains pay-create-pay-..., computed with lag + a segment id + bool_or.
+    OR along chains pay-create-pay-..., split into segments at chain heads.
+
+    Parallel plan: rows are partitioned by (key, time bucket). The two events before a
+    bucket come from a per-bucket summary (its last two events) carried forward over
+    the key's buckets; the OR of the segment still open at a bucket's start is carried
+    the same way (a segmented OR over per-bucket summaries). Only summaries - one row
+    per non-empty bucket - are ordered per key.
     -> key, pay_ts, verdict ('success'|'timeout'), result_msg
     """
     h_us = duration_ms(within) * 1000
-    d = df.filter(F.col(type_col).isin(create, pay)).withColumn("_r", _type_rank(type_col, create))
-    by_key = Window.partitionBy(key).orderBy(F.col(ts), F.col("_r"), F.col(tiebreak))
-    d = (d.withColumn("_p1", F.lag(type_col, 1).over(by_key))
-          .withColumn("_p1t", F.lag(_us(ts), 1).over(by_key))
-          .withColumn("_p2", F.lag(type_col, 2).over(by_key)))
+    b_us = duration_ms(bucket) * 1000
+    d = (df.filter(F.col(type_col).isin(create, pay))
+           .select(key, type_col, tiebreak, _us(ts).alias("_t"), _type_rank(type_col, create).alias("_r")))
+    d = d.withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
+    d = d.repartition(_partitions(df), key, "_b")
+    local = Window.partitionBy(key, "_b").orderBy("_t", "_r", tiebreak)
+    back = Window.partitionBy(key, "_b").orderBy(F.col("_t").desc(), F.col("_r").desc(), F.col(tiebreak).desc())
+    d = (d.withColumn("_i", F.row_number().over(local)).withColumn("_j", F.row_number().over(back))
+          .withColumn("_l1", F.lag(type_col, 1).over(local)).withColumn("_l1t", F.lag("_t", 1).over(local))
+          .withColumn("_l2", F.lag(type_col, 2).over(local)))
+    # last two events of each bucket, carried to the next non-empty bucket
+    summ = d.filter(F.col("_j") <= 2).groupBy(key, "_b").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max(F.when(F.col("_j") == 1, F.col(type_col))).alias("_e1"),
+        F.max(F.when(F.col("_j") == 1, F.col("_t"))).alias("_e1t"),
+        F.max(F.when(F.col("_j") == 2, F.col(type_col))).alias("_e2"))
+    kb = Window.partitionBy(key).orderBy("_b")
+    carry = summ.select(
+        key, "_b", F.lag("_e1").over(kb).alias("_c1"), F.lag("_e1t").over(kb).alias("_c1t"),
+        F.when(F.lag("_n").over(kb) >= 2, F.lag("_e2").over(kb)).otherwise(F.lag("_e1", 2).over(kb)).alias("_c2"))
+    d = d.join(carry, [key, "_b"], "left")
+    p1 = F.when(F.col("_i") == 1, F.col("_c1")).otherwise(F.col("_l1"))
+    p1t = F.when(F.col("_i") == 1, F.col("_c1t")).otherwise(F.col("_l1t"))
+    p2 = (F.when(F.col("_i") == 1, F.col("_c2")).when(F.col("_i") == 2, F.col("_c1")).otherwise(F.col("_l2")))
     p = d.filter(F.col(type_col) == pay)
-    after_create = F.coalesce(F.col("_p1") == create, F.lit(False))
-    within_c = _us(ts) < F.col("_p1t") + F.lit(h_us)
-    head = ~after_create | F.coalesce(F.col("_p2") != pay, F.lit(True))
-    value = F.when(~after_create, F.lit(True)).otherwise(within_c)
+    after_create = F.coalesce(p1 == create, F.lit(False))
+    head = ~after_create | F.coalesce(p2 != pay, F.lit(True))
+    value = F.when(~after_create, F.lit(True)).otherwise(F.col("_t") < p1t + F.lit(h_us))
     p = p.withColumn("_head", head).withColumn("_val", value)
-    pays = Window.partitionBy(key).orderBy(F.col(ts), F.col(tiebreak))
-    p = p.withColumn("_seg", F.sum(F.col("_head").cast("int")).over(
-        pays.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    seg = Window.partitionBy(key, "_seg").orderBy(F.col(ts), F.col(tiebreak)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ok = F.bool_or("_val").over(seg)
-    p = p.withColumn("_ok", ok)
-    return p.select(key, _ms(ts).alias("pay_ts"),
-                    F.when(F.col("_ok"), F.lit("success")).otherwise(F.lit("timeout")).alias("verdict"),
-                    F.when(F.col("_ok"), F.lit(MSG_ORDER_PAID)).otherwise(F.lit(MSG_ORDER_TIMEOUT)).alias("result_msg"))
+    # local segments; the part before a bucket's first head continues the carried segment
+    run = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    p = p.withColumn("_seg", F.sum(F.col("_head").cast("int")).over(run))
+    seg_run = (Window.partitionBy(key, "_b", "_seg").orderBy("_t", "_r", tiebreak)
+                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    p = p.withColumn("_or", F.bool_or("_val").over(seg_run))
+    last_pay = Window.partitionBy(key, "_b").orderBy(F.col("_t").desc(), F.col(tiebreak).desc())
+    tail = (p.withColumn("_k", F.row_number().over(last_pay)).filter(F.col("_k") == 1)
+              .select(key, "_b", (F.col("_seg") > 0).alias("_has_head"), F.col("_or").alias("_tail")))
+    grp = tail.withColumn("_g", F.sum(F.col("_has_head").cast("int")).over(
+        kb.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ok_end = grp.withColumn("_end", F.bool_or("_tail").over(
+        Window.partitionBy(key, "_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    carry_or = ok_end.select(key, "_b", F.lag("_end").over(kb).alias("_cin"))
+    p = p.join(carry_or, [key, "_b"], "left")
+    ok = F.when(F.col("_seg") == 0, F.coalesce(F.col("_cin"), F.lit(False)) | F.col("_or")).otherwise(F.col("_or"))
+    return p.select(key, F.floor(F.col("_t") / 1000).cast("long").alias("pay_ts"),
+                    F.when(ok, F.lit("success")).otherwise(F.lit("timeout")).alias("verdict"),
+                    F.when(ok, F.lit(MSG_ORDER_PAID)).otherwise(F.lit(MSG_ORDER_TIMEOUT)).alias("result_msg"))
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -32,9 +32,10 @@ def _micros(ts_col: str) -> Column:
 
 
 def previous_within(df: DataFrame, keys: Sequence[str], ts_col: str, order: Sequence, horizon_ms: int,
-                    cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+                    cols: Sequence[str], prefix: str = "prev_", inclusive: bool = False) -> DataFrame:
     """Add ``prefix + c`` for each ``c`` in ``cols`` (and ``ts_col``) from the row just before
-    in (keys, order), or nulls when that row is ``horizon_ms`` or more older (or absent)."""
+    in (keys, order), or nulls when that row is ``horizon_ms`` or more older (or absent);
+    with ``inclusive`` a row exactly ``horizon_ms`` older still counts."""
     h_us = horizon_ms * 1000
     t = _micros(ts_col)
     b = F.floor(t / F.lit(h_us))
@@ -44,7 +45,8 @@ def previous_within(df: DataFrame, keys: Sequence[str], ts_col: str, order: Sequ
     for c in wanted:
         d = d.withColumn(prefix + c, F.lag(c).over(w))
     d = d.filter(F.col(_B) == F.col("_home"))
-    near = _micros(prefix + ts_col) > t - F.lit(h_us)
+    gap = t - _micros(prefix + ts_col)
+    near = (gap <= F.lit(h_us)) if inclusive else (gap < F.lit(h_us))
     for c in wanted:
         d = d.withColumn(prefix + c, F.when(near, F.col(prefix + c)))
     return d.drop(_B, "_home")
