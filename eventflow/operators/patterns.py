@@ -164,7 +164,11 @@ def order_deadline_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts",
     d = (d.withColumn("_lp", F.max(F.when(own_pay, F.col("_t"))).over(before))
           .withColumn("_lc", F.max(F.when(is_c, F.col("_t"))).over(expired)))
     own = d.filter("_own")
-    summ = own.groupBy(key, "_b").agg(F.max(F.when(is_c, F.col("_t"))).alias("_mc"),
+    # per-bucket maxima straight from the source rows (map-side partial aggregate)
+    src = (df.filter(F.col(type_col).isin(create, pay))
+             .select(key, type_col, _us(ts).alias("_t"))
+             .withColumn("_b", F.floor(F.col("_t") / F.lit(b_us))))
+    summ = src.groupBy(key, "_b").agg(F.max(F.when(is_c, F.col("_t"))).alias("_mc"),
                                       F.max(F.when(F.col(type_col) == pay, F.col("_t"))).alias("_mp"))
     kb = Window.partitionBy(key).orderBy("_b")
     carry = summ.select(key, "_b",

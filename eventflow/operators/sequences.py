@@ -85,14 +85,17 @@ def bucketed_row_number(df: DataFrame, keys: Sequence, order: Sequence, bucket:
 
     ``bucket`` must be non-decreasing along ``order`` within a key (a time bucket of the
     first order column). One shuffle of the rows by (keys, bucket); the per-bucket
-    counts are aggregated from the same exchange (reused) and turned into offsets.
+    counts are partial-aggregated before their (small) shuffle and turned into offsets.
     """
     ks = _cols(keys)
-    d = df.withColumn(_B, bucket).repartition(*ks, F.col(_B))
+    src = df.withColumn(_B, bucket)
+    d = src.repartition(*ks, F.col(_B))
     key_names = [f"_k{i}" for i in range(len(ks))]
     local = (d.withColumn("_lrn", F.row_number().over(Window.partitionBy(*ks, _B).orderBy(*_cols(order))))
               .select("*", *[k.alias(n) for k, n in zip(ks, key_names)]))
-    counts = d.groupBy(*[k.alias(n) for k, n in zip(ks, key_names)], F.col(_B)).agg(F.count(F.lit(1)).alias("_n"))
+    # counted from the source side: a map-side partial count, so only one small row per
+    # (key, bucket, map task) is shuffled for the offsets
+    counts = src.groupBy(*[k.alias(n) for k, n in zip(ks, key_names)], F.col(_B)).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*key_names).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*key_names, _B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     j = local.join(offsets, [*key_names, _B])
