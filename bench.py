@@ -23,7 +23,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16,
+    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app="eventflow-bench")
     # Warm-up (JIT, codegen caches): every query once on the smallest tables, untimed.
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
