@@ -71,3 +71,49 @@ def top_n_writer(n: int, order_col: str, tiebreak: Sequence[str], sink: Callable
     def run(batch: DataFrame, batch_id: int) -> None:
         sink(top_n(batch, group_col, order_col, n, tiebreak, rank_col), batch_id)
     return run
+
+
+def corrected_top_n_writer(n: int, key: str, counts_path: str, out_path: str,
+                           count_col: str = "count") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` for update-mode window counts with allowed lateness (ST3, TK2).
+
+    Each micro-batch holds only the windows whose counts changed. They are appended to a
+    counts log (partitioned by day of ``window_end``); the whole current count table of
+    just those windows is then read back (latest batch per key and window, partitions
+    limited to the batch's window range) and ranked again, so a late correction re-ranks
+    the full window. Each batch's rankings go to their own partition (overwritten if the
+    batch is replayed); the latest batch per window end is the current ranking
+    (``read_latest_rankings``).
+    """
+    from pyspark.sql import Window
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        changed = batch.select(key, "window_end", count_col).withColumn("_batch", F.lit(batch_id))
+        changed = changed.withColumn("_day", F.floor(F.col("window_end") / F.lit(86_400_000)))
+        changed.persist()
+        try:
+            bounds = changed.agg(F.min("_day"), F.max("_day")).first()
+            if bounds[0] is None:
+                return
+            (changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                    .partitionBy("_day", "_batch").parquet(counts_path))
+            log = spark.read.parquet(counts_path).where(F.col("_day").between(bounds[0], bounds[1]))
+            ends = changed.select("window_end").distinct()
+            cur = log.join(ends, "window_end", "left_semi")
+            latest = Window.partitionBy(key, "window_end").orderBy(F.col("_batch").desc())
+            cur = cur.withColumn("_v", F.row_number().over(latest)).filter("_v = 1").drop("_v", "_day")
+            ranked = top_n(cur.drop("_batch"), "window_end", count_col, n, [key])
+            (ranked.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
+                   .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(out_path))
+        finally:
+            changed.unpersist()
+
+    return run
+
+
+def read_latest_rankings(spark, out_path: str) -> DataFrame:
+    """Current top-N per window end: the rows of the latest batch that ranked that window."""
+    d = spark.read.parquet(out_path)
+    last = d.groupBy("window_end").agg(F.max("_batch").alias("_last"))
+    return d.join(last, "window_end").filter(F.col("_batch") == F.col("_last")).drop("_batch", "_last")

@@ -177,3 +177,27 @@ def test_allowed_lateness_update_mode(spark, tmp_path):
     first_end = (base + 3600) * 1000
     assert sorted(emitted[first_end]) == [2, 3]     # on-time result, then the late correction
     assert emitted[first_end + 3_600_000] == [1]
+
+
+def test_hot_urls_stream_reranks_corrected_windows(spark, stream_dir, tmp_path):
+    """Q5 on a stream with allowed lateness: update-mode counts, whole windows re-ranked."""
+    from eventflow.plans.networkflow import hot_urls
+    from eventflow.sources.tables import access_log_lines
+    from eventflow.sources.text import parse_access_log
+    from eventflow.functions.text import is_not_static
+    from eventflow.streaming.windows import corrected_top_n_writer, read_latest_rankings
+
+    with _stream(stream_dir):
+        logs = parse_access_log(access_log_lines(spark, SF_SMALL))
+    pages = logs.filter(is_not_static("url")).select("url", "ts")
+    counts = stream_windowed_count(pages, ["url"], "ts", "10 minutes", "5 seconds", delay="1 second",
+                                   lateness="60 seconds")
+    out, log = str(tmp_path / "rank"), str(tmp_path / "counts")
+    run_available(counts, f"hu{next(_n)}", output_mode="update",
+                  foreach_batch=corrected_top_n_writer(3, "url", log, out))
+    got = read_latest_rankings(spark, out)
+    batch_logs = parse_access_log(access_log_lines(spark, SF_SMALL))
+    wm = _wm_ms(batch_logs.filter(is_not_static("url"))) - 61_000
+    want = hot_urls(batch_logs, "10 minutes", "5 seconds", 3).filter(F.col("window_end") <= wm)
+    cols = ["window_end", "rank", "url", "count"]
+    assert _rows(got.filter(F.col("window_end") <= wm), cols) == _rows(want, cols)
