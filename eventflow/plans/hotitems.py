@@ -133,3 +133,23 @@ FROM events GROUP BY event_type"""
 @register("q21_truncated_mean", Q21_SQL)
 def q21(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncated_mean(table(spark, sf_dir, "events"), ["event_type"], "event_id")
+
+
+def hot_items_kafka(spark: SparkSession, servers: str, topic: str = "user-behaviors",
+                    size="1 hour", slide="5 minutes", n: int = 3, delay="0 seconds"):
+    """Q2: hot items over a Kafka topic of UserBehavior lines (needs the Kafka connector).
+
+    Returns the streaming count DataFrame and the ``foreachBatch`` ranking function; start it
+    with ``counts.writeStream.foreachBatch(rank).option("checkpointLocation", ...).start()``.
+    """
+    from eventflow.sources.kafka import read_kafka_lines
+    from eventflow.streaming.windows import stream_sliding_count, top_n_writer
+
+    parsed = parse_delimited(read_kafka_lines(spark, servers, topic), USER_BEHAVIOR)
+    pv = parsed.filter(F.col("behavior") == "pv").select("item_id", "ts")
+    counts = stream_sliding_count(pv, ["item_id"], "ts", size, slide, delay)
+
+    def rank(write_ranked):
+        return top_n_writer(n, "count", ["item_id"], write_ranked)
+
+    return counts, rank

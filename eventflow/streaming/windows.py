@@ -117,3 +117,12 @@ def read_latest_rankings(spark, out_path: str) -> DataFrame:
     d = spark.read.parquet(out_path)
     last = d.groupBy("window_end").agg(F.max("_batch").alias("_last"))
     return d.join(last, "window_end").filter(F.col("_batch") == F.col("_last")).drop("_batch", "_last")
+
+
+def stream_unique_visitors_bitmap(df: DataFrame, ts: str = "ts", size="1 hour", user: str = "user_id",
+                                  bits: int = 29, delay="0 seconds") -> DataFrame:
+    """AG8 on streams: distinct bitmap offsets per window (chained aggregation, as AG7)."""
+    from eventflow.functions.hashing import poly_hash
+
+    off = df.withColumn("_offset", poly_hash(F.col(user).cast("string"), bits=bits))
+    return stream_unique_visitors(off, ts, size, "_offset", delay)
