@@ -51,18 +51,19 @@ def _quote(sep: str) -> str:
 
 
 def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = ",", mode: str = "failfast",
-                    value_col: str = "value", with_rejects: bool = False):
+                    value_col: str = "value", with_rejects: bool = False, keep: tuple[str, ...] = ()):
     """Split each line on ``sep``, trim every field and cast it to the schema (SRC2-SRC6).
 
     An empty field stays ``""`` for strings (not NULL as the CSV reader would make it).
     Seconds columns named ``ts_sec`` also get ``ts`` (timestamp) for event time.
+    ``keep`` names columns of ``lines`` to carry along (e.g. a line number as tie-break).
     Returns the parsed DataFrame, or ``(parsed, rejects)`` when ``with_rejects``.
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError("mode must be 'failfast' or 'permissive'")
     parts = F.split(F.col(value_col), _quote(sep), -1)
     n = len(schema.fields)
-    cols, bad = [], []
+    cols = []
     for i, f in enumerate(schema.fields):
         raw = F.trim(parts.getItem(i))
         if isinstance(f.dataType, T.StringType):
@@ -71,10 +72,8 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = ",", mode
         if mode == "failfast":
             cols.append(raw.cast(f.dataType).alias(f.name))
         else:
-            v = raw.try_cast(f.dataType)
-            cols.append(v.alias(f.name))
-            bad.append(v.isNull())
-    out = lines.select(*cols, F.size(parts).alias("_n"), F.col(value_col).alias("_line"))
+            cols.append(raw.try_cast(f.dataType).alias(f.name))
+    out = lines.select(*keep, *cols, F.size(parts).alias("_n"), F.col(value_col).alias("_line"))
     if "ts_sec" in schema.fieldNames():
         out = out.withColumn("ts", F.timestamp_seconds(F.col("ts_sec")))
     if mode == "failfast":
