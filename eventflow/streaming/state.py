@@ -29,8 +29,12 @@ STATE_SCHEMA = "pending string, carry string"
 
 def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fields: Sequence[str],
                  init: dict, step: Callable[[dict, dict], list], out_schema: str,
-                 delay="0 seconds") -> DataFrame:
-    """Apply ``step`` to each key's rows in event-time order, as the watermark allows."""
+                 delay="0 seconds", closes_at: Callable[[tuple], int] | None = None) -> DataFrame:
+    """Apply ``step`` to each key's rows in event-time order, as the watermark allows.
+
+    ``closes_at(group_key) -> epoch us``: after that event time the group gets no more rows
+    (e.g. the end of its day); its state is removed once the watermark passes it.
+    """
     cols = list(dict.fromkeys([*keys, *fields, tiebreak]))
     d = with_event_time(df, ts, delay).select(*cols, ts, F.unix_micros(ts).alias("_t"))
     out_cols = [c.strip().split(" ")[0] for c in out_schema.split(",")]
@@ -50,13 +54,16 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
         out = []
         for r in ready:
             out.extend(step(carry, r))
+        close_us = closes_at(key) if closes_at else None
         if rest:
             state.update((json.dumps(rest, default=_plain), json.dumps(carry, default=_plain)))
             state.setTimeoutTimestamp(rest[0]["_t"] // 1000 + 1)
-        elif carry != init:
-            state.update(("[]", json.dumps(carry, default=_plain)))
-        else:
+        elif carry == init or (close_us is not None and wm_us >= close_us):
             state.remove()
+        else:
+            state.update(("[]", json.dumps(carry, default=_plain)))
+            if close_us is not None:
+                state.setTimeoutTimestamp(close_us // 1000 + 1)
         yield pd.DataFrame(out, columns=out_cols)
 
     return d.groupBy(*keys).applyInPandasWithState(fn, out_schema, STATE_SCHEMA, "append",
@@ -92,15 +99,16 @@ def stream_match_next(df: DataFrame, key: str = "user_id", ts: str = "ts", type_
 def stream_click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), ts: str = "ts",
                      tiebreak: str = "event_id", max_count: int = 100, policy: str = "as_written",
                      delay="0 seconds") -> DataFrame:
-    """Streaming Q12a: per key and UTC day, number the clicks and tag pass / blacklist / dropped."""
+    """Streaming Q12a: number each key's clicks per UTC day and tag pass / blacklist / dropped.
+
+    State is keyed by (keys, day): the count restarts with the day, a hot key's days are
+    separate groups, and a day's state is dropped once its rows are released.
+    """
     warn_at = max_count + 2
     msg = MSG_CLICK_CAP.format(max_count=max_count)
 
     def step(carry, r):
-        day = r["_t"] // 86_400_000_000
-        if carry.get("day") != day:
-            carry["day"], carry["n"] = day, 0
-        carry["n"] += 1
+        carry["n"] = carry.get("n", 0) + 1
         n = carry["n"]
         if n == warn_at:
             verdict, text = "blacklist", msg
@@ -113,4 +121,13 @@ def stream_click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"),
     types = dict(df.dtypes)
     schema = ", ".join([*[f"{k} {types[k]}" for k in keys], f"{tiebreak} {types[tiebreak]}",
                         "ts_ms long", "click_no long", "verdict string", "msg string"])
-    return ordered_fold(df, list(keys), ts, tiebreak, [], {}, step, schema, delay)
+    by_day = df.withColumn("_day", F.to_date(F.col(ts)))
+
+    def day_end(group_key: tuple) -> int:
+        day = group_key[-1]
+        return (day.toordinal() - _EPOCH_ORDINAL + 1) * 86_400_000_000
+
+    return ordered_fold(by_day, [*keys, "_day"], ts, tiebreak, [], {}, step, schema, delay, day_end)
+
+
+_EPOCH_ORDINAL = __import__("datetime").date(1970, 1, 1).toordinal()
