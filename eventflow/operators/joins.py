@@ -56,20 +56,51 @@ def _signed_ms(spec) -> int:
 
 def reconcile(pays: DataFrame, receipts: DataFrame, key: str = "tx_id", ts: str = "ts",
               pay_wait="51 seconds", receipt_wait="5 seconds") -> DataFrame:
-    """Two-stream reconciliation (JN2) as one full-outer interval join.
+    """Two-stream reconciliation (JN2).
 
     A pay waits ``pay_wait`` for its receipt and a receipt waits ``receipt_wait`` for its
     pay, so a pair matches when ``receipt.ts`` is in ``[pay.ts - receipt_wait, pay.ts + pay_wait]``.
     Output: ``tx_id``, ``verdict`` (matched / unmatched_pay / unmatched_receipt) and the
     prefixed columns of both sides (``pay_*``, ``receipt_*``), null on the missing side.
     Pays and receipts with an empty key never match (FLT3).
+
+    Batch: the union of an inner interval join (every matching pair) and two anti joins
+    with the same condition (pays / receipts without a partner). All three hash both sides
+    on the key, so each side's shuffle is shared, and AQE can split a hot key in every one
+    of them (it cannot in a full outer join). Streams: one full-outer interval join, which
+    Spark evicts by watermark and which emits the unmatched rows after their wait.
     """
     p = pays.filter(F.col(key) != "")
     r = receipts.filter(F.col(key) != "")
-    j = interval_join(p, r, key, ts, ts, "-" + receipt_wait if isinstance(receipt_wait, str) else -duration_ms(receipt_wait),
-                      pay_wait, how="full_outer", left_prefix="pay_", right_prefix="receipt_")
-    verdict = (F.when(F.col(f"pay_{key}").isNotNull() & F.col(f"receipt_{key}").isNotNull(), F.lit("matched"))
-                .when(F.col(f"pay_{key}").isNotNull(), F.lit("unmatched_pay"))
-                .otherwise(F.lit("unmatched_receipt")))
-    return j.select(F.coalesce(F.col(f"pay_{key}"), F.col(f"receipt_{key}")).alias(key), verdict.alias("verdict"),
-                    *[c for c in j.columns])
+    lower = -_signed_ms(receipt_wait) if isinstance(receipt_wait, str) else -duration_ms(receipt_wait)
+    if p.isStreaming or r.isStreaming:
+        j = interval_join(p, r, key, ts, ts, lower, pay_wait, how="full_outer",
+                          left_prefix="pay_", right_prefix="receipt_")
+        verdict = (F.when(F.col(f"pay_{key}").isNotNull() & F.col(f"receipt_{key}").isNotNull(), F.lit("matched"))
+                    .when(F.col(f"pay_{key}").isNotNull(), F.lit("unmatched_pay"))
+                    .otherwise(F.lit("unmatched_receipt")))
+        return j.select(F.coalesce(F.col(f"pay_{key}"), F.col(f"receipt_{key}")).alias(key),
+                        verdict.alias("verdict"), *j.columns)
+    pc = [f"pay_{c}" for c in p.columns]
+    rc = [f"receipt_{c}" for c in r.columns]
+    matched = interval_join(p, r, key, ts, ts, lower, pay_wait, how="inner",
+                            left_prefix="pay_", right_prefix="receipt_")
+    lone_pays = interval_join(p, r, key, ts, ts, lower, pay_wait, how="left_anti",
+                              left_prefix="pay_", right_prefix="receipt_")
+    # receipts without a pay: the same condition seen from the receipt side
+    lone_receipts = _right_anti(p, r, key, ts, lower, _signed_ms(pay_wait))
+    null_r = [F.lit(None).cast(t).alias(c) for c, t in zip(rc, [f.dataType for f in r.schema.fields])]
+    null_p = [F.lit(None).cast(t).alias(c) for c, t in zip(pc, [f.dataType for f in p.schema.fields])]
+    out = (matched.select(F.col(f"pay_{key}").alias(key), F.lit("matched").alias("verdict"), *pc, *rc)
+           .unionByName(lone_pays.select(F.col(f"pay_{key}").alias(key), F.lit("unmatched_pay").alias("verdict"),
+                                         *pc, *null_r))
+           .unionByName(lone_receipts.select(F.col(f"receipt_{key}").alias(key),
+                                             F.lit("unmatched_receipt").alias("verdict"), *null_p, *rc)))
+    return out
+
+
+def _right_anti(p: DataFrame, r: DataFrame, key: str, ts: str, lower_ms: int, upper_ms: int) -> DataFrame:
+    """Receipts with no pay such that receipt.ts in [pay.ts + lower, pay.ts + upper], i.e.
+    pay.ts in [receipt.ts - upper, receipt.ts - lower]: a left anti join from the receipt side."""
+    return interval_join(r, p, key, ts, ts, -upper_ms, -lower_ms, how="left_anti",
+                         left_prefix="receipt_", right_prefix="pay_")
