@@ -153,16 +153,17 @@ def order_deadline_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts",
     d = next_within(d, [key], ts, [ts, "_r", tiebreak], h, F.col(type_col) == pay, [tiebreak])
     d = d.select(key, type_col, tiebreak, "_r", _us(ts).alias("_t"), F.col("next_" + ts).alias("_nx"))
     is_c = F.col(type_col) == create
-    d = d.withColumn("_home", F.floor(F.col("_t") / F.lit(b_us)))
-    d = d.withColumn("_b", F.explode(F.when(is_c, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
+    home = F.floor(F.col("_t") / F.lit(b_us))
+    d = d.select("*", home.alias("_home"),
+                 F.explode(F.when(is_c, F.array(home, home + 1)).otherwise(F.array(home))).alias("_b"))
     d = d.withColumn("_own", F.col("_b") == F.col("_home")).repartition(_partitions(df), key, "_b")
     own_pay = F.col("_own") & (F.col(type_col) == pay)
     before = (Window.partitionBy(key, "_b").orderBy("_t", "_r", tiebreak)
                     .rowsBetween(Window.unboundedPreceding, -1))
     expired = (Window.partitionBy(key, "_b").orderBy("_t")
                      .rangeBetween(Window.unboundedPreceding, -(h_us + 1)))
-    d = (d.withColumn("_lp", F.max(F.when(own_pay, F.col("_t"))).over(before))
-          .withColumn("_lc", F.max(F.when(is_c, F.col("_t"))).over(expired)))
+    d = d.withColumns({"_lp": F.max(F.when(own_pay, F.col("_t"))).over(before),
+                       "_lc": F.max(F.when(is_c, F.col("_t"))).over(expired)})
     own = d.filter("_own")
     # per-bucket maxima straight from the source rows (map-side partial aggregate)
     src = (df.filter(F.col(type_col).isin(create, pay))
@@ -216,9 +217,9 @@ def pay_event_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type
     d = d.repartition(_partitions(df), key, "_b")
     local = Window.partitionBy(key, "_b").orderBy("_t", "_r", tiebreak)
     back = Window.partitionBy(key, "_b").orderBy(F.col("_t").desc(), F.col("_r").desc(), F.col(tiebreak).desc())
-    d = (d.withColumn("_i", F.row_number().over(local)).withColumn("_j", F.row_number().over(back))
-          .withColumn("_l1", F.lag(type_col, 1).over(local)).withColumn("_l1t", F.lag("_t", 1).over(local))
-          .withColumn("_l2", F.lag(type_col, 2).over(local)))
+    d = d.withColumns({"_i": F.row_number().over(local), "_j": F.row_number().over(back),
+                       "_l1": F.lag(type_col, 1).over(local), "_l1t": F.lag("_t", 1).over(local),
+                       "_l2": F.lag(type_col, 2).over(local)})
     # last two events of each bucket, carried to the next non-empty bucket
     summ = d.filter(F.col("_j") <= 2).groupBy(key, "_b").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -237,7 +238,7 @@ def pay_event_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type
     after_create = F.coalesce(p1 == create, F.lit(False))
     head = ~after_create | F.coalesce(p2 != pay, F.lit(True))
     value = F.when(~after_create, F.lit(True)).otherwise(F.col("_t") < p1t + F.lit(h_us))
-    p = p.withColumn("_head", head).withColumn("_val", value)
+    p = p.withColumns({"_head": head, "_val": value})
     # local segments; the part before a bucket's first head continues the carried segment
     run = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     p = p.withColumn("_seg", F.sum(F.col("_head").cast("int")).over(run))

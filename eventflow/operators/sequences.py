@@ -39,16 +39,14 @@ def previous_within(df: DataFrame, keys: Sequence[str], ts_col: str, order: Sequ
     h_us = horizon_ms * 1000
     t = _micros(ts_col)
     b = F.floor(t / F.lit(h_us))
-    d = df.withColumn("_home", b).withColumn(_B, F.explode(F.array(b, b + 1)))
+    d = df.select("*", b.alias("_home"), F.explode(F.array(b, b + 1)).alias(_B))
     w = Window.partitionBy(*keys, _B).orderBy(*_cols(order))
     wanted = list(dict.fromkeys([*cols, ts_col]))
-    for c in wanted:
-        d = d.withColumn(prefix + c, F.lag(c).over(w))
+    d = d.withColumns({prefix + c: F.lag(c).over(w) for c in wanted})
     d = d.filter(F.col(_B) == F.col("_home"))
     gap = t - _micros(prefix + ts_col)
     near = (gap <= F.lit(h_us)) if inclusive else (gap < F.lit(h_us))
-    for c in wanted:
-        d = d.withColumn(prefix + c, F.when(near, F.col(prefix + c)))
+    d = d.withColumns({prefix + c: F.when(near, F.col(prefix + c)) for c in wanted})
     return d.drop(_B, "_home")
 
 
@@ -66,16 +64,15 @@ def next_within(df: DataFrame, keys: Sequence[str], ts_col: str, order: Sequence
     b = F.floor(t / F.lit(h_us))
     wanted = list(dict.fromkeys([*cols, ts_col]))
     tgt = F.when(is_target, F.struct(*[F.col(c).alias(c) for c in wanted]))
-    d = (df.withColumn("_home", b).withColumn("_tgt", tgt)
-           .withColumn(_B, F.explode(F.when(is_target, F.array(b, b - 1)).otherwise(F.array(b)))))
+    d = df.select("*", b.alias("_home"), tgt.alias("_tgt"),
+                  F.explode(F.when(is_target, F.array(b, b - 1)).otherwise(F.array(b))).alias(_B))
     desc_order = [c.desc() for c in _cols(order)]
     w = (Window.partitionBy(*keys, _B).orderBy(*desc_order)
                .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("_nx", F.last("_tgt", ignorenulls=True).over(w))
     d = d.filter(F.col(_B) == F.col("_home"))
     near = _micros("_nx." + ts_col) < t + F.lit(h_us)
-    for c in wanted:
-        d = d.withColumn(prefix + c, F.when(near, F.col("_nx." + c)))
+    d = d.withColumns({prefix + c: F.when(near, F.col("_nx." + c)) for c in wanted})
     return d.drop(_B, "_home", "_tgt", "_nx")
 
 

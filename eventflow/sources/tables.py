@@ -24,6 +24,11 @@ URL_SUFFIXES = ("", ".html", ".css", ".js", ".css?v=1")
 _STREAM_OPTS: dict | None = None
 
 
+# One relation per (session, path): DataFrames are immutable, so reusing the resolved
+# relation saves a file listing and footer read per use without changing any result.
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if _STREAM_OPTS is not None and name in _STREAM_OPTS.get("tables", ("events",)):
@@ -32,7 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             r = r.option("maxFilesPerTrigger", _STREAM_OPTS["max_files_per_trigger"])
         src = _STREAM_OPTS.get("paths", {}).get(name, path)
         return r.parquet(src)
-    return spark.read.parquet(path)
+    key = (id(spark._jsparkSession), path)
+    if key not in _RELATIONS:
+        if len(_RELATIONS) > 256:
+            _RELATIONS.clear()
+        _RELATIONS[key] = spark.read.parquet(path)
+    return _RELATIONS[key]
 
 
 class streaming_tables:
