@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from eventflow.functions.text import MSG_CLICK_CAP, MSG_LOGIN_PATTERN
+from eventflow.functions.text import (MSG_CLICK_CAP, MSG_LOGIN_BURST, MSG_LOGIN_PATTERN, MSG_ORDER_PAID,
+                                      MSG_ORDER_TIMEOUT, seconds_text)
 from eventflow.functions.time import duration_ms
 from eventflow.streaming.windows import with_event_time
 
@@ -29,13 +30,19 @@ STATE_SCHEMA = "pending string, carry string"
 
 def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fields: Sequence[str],
                  init: dict, step: Callable[[dict, dict], list], out_schema: str,
-                 delay="0 seconds", closes_at: Callable[[tuple], int] | None = None) -> DataFrame:
+                 delay="0 seconds", closes_at: Callable[[tuple], int] | None = None,
+                 on_watermark: Callable[[dict, int], list] | None = None,
+                 wake_at: Callable[[dict], int | None] | None = None,
+                 rank: str | None = None) -> DataFrame:
     """Apply ``step`` to each key's rows in event-time order, as the watermark allows.
 
     ``closes_at(group_key) -> epoch us``: after that event time the group gets no more rows
     (e.g. the end of its day); its state is removed once the watermark passes it.
+    ``on_watermark(carry, wm_us) -> rows`` runs after each release (e.g. to close a window
+    the watermark has passed) and ``wake_at(carry) -> epoch us`` asks for a timeout then.
+    ``rank`` names a column ordering rows with equal time before the tie-break (type rank).
     """
-    cols = list(dict.fromkeys([*keys, *fields, tiebreak]))
+    cols = list(dict.fromkeys([*keys, *fields, *([rank] if rank else []), tiebreak]))
     d = with_event_time(df, ts, delay).select(*cols, ts, F.unix_micros(ts).alias("_t"))
     out_cols = [c.strip().split(" ")[0] for c in out_schema.split(",")]
 
@@ -48,22 +55,23 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
         for pdf in pdfs:
             pending.extend(pdf[[*cols, "_t"]].to_dict("records"))
         wm_us = state.getCurrentWatermarkMs() * 1000
-        pending.sort(key=lambda r: (r["_t"], r[tiebreak]))
+        pending.sort(key=lambda r: (r["_t"], r[rank] if rank else 0, r[tiebreak]))
         ready = [r for r in pending if r["_t"] <= wm_us]
         rest = [r for r in pending if r["_t"] > wm_us]
         out = []
         for r in ready:
             out.extend(step(carry, r))
+        if on_watermark is not None:
+            out.extend(on_watermark(carry, wm_us))
         close_us = closes_at(key) if closes_at else None
-        if rest:
-            state.update((json.dumps(rest, default=_plain), json.dumps(carry, default=_plain)))
-            state.setTimeoutTimestamp(rest[0]["_t"] // 1000 + 1)
-        elif carry == init or (close_us is not None and wm_us >= close_us):
+        wake_us = [u for u in ((rest[0]["_t"] if rest else None), close_us,
+                               wake_at(carry) if wake_at else None) if u is not None and u >= wm_us]
+        if not rest and (carry == init or (close_us is not None and wm_us >= close_us)):
             state.remove()
         else:
-            state.update(("[]", json.dumps(carry, default=_plain)))
-            if close_us is not None:
-                state.setTimeoutTimestamp(close_us // 1000 + 1)
+            state.update((json.dumps(rest, default=_plain), json.dumps(carry, default=_plain)))
+            if wake_us:
+                state.setTimeoutTimestamp(min(wake_us) // 1000 + 1)
         yield pd.DataFrame(out, columns=out_cols)
 
     return d.groupBy(*keys).applyInPandasWithState(fn, out_schema, STATE_SCHEMA, "append",
@@ -131,3 +139,76 @@ def stream_click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"),
 
 
 _EPOCH_ORDINAL = __import__("datetime").date(1970, 1, 1).toordinal()
+
+
+def stream_pay_event_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type_col: str = "event_type",
+                             within="15 minutes", tiebreak: str = "event_id", create: str = "create",
+                             pay: str = "pay", delay="0 seconds") -> DataFrame:
+    """Streaming Q18: the pay-time state machine as a fold (state: paid flag, deadline)."""
+    w_us = duration_ms(within) * 1000
+
+    def step(carry, r):
+        if r[type_col] == create:
+            if carry.get("paid"):
+                carry["paid"], carry["deadline"] = False, None   # swallowed
+            else:
+                carry["paid"], carry["deadline"] = False, r["_t"] + w_us
+            return []
+        if r[type_col] != pay:
+            return []
+        deadline = carry.get("deadline")
+        ok = deadline is None or r["_t"] < deadline
+        carry["paid"], carry["deadline"] = ok, None
+        return [(r[key], r["_t"] // 1000, "success" if ok else "timeout",
+                 MSG_ORDER_PAID if ok else MSG_ORDER_TIMEOUT)]
+
+    key_type = dict(df.dtypes)[key]
+    d = (df.filter(F.col(type_col).isin(create, pay))
+           .withColumn("_r", F.when(F.col(type_col) == create, F.lit(0)).otherwise(F.lit(1))))
+    return ordered_fold(d, [key], ts, tiebreak, [type_col], {}, step,
+                        f"{key} {key_type}, pay_ts long, verdict string, result_msg string", delay,
+                        rank="_r")
+
+
+def stream_login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts", type_col: str = "event_type",
+                            window="2 seconds", max_failed: int = 2, tiebreak: str = "event_id",
+                            delay="5 seconds") -> DataFrame:
+    """Streaming Q13: greedy windows per success-free run; a window is emitted when a success
+    or a later fail ends it, or when the watermark passes its start + window."""
+    w_ms = duration_ms(window)
+    w_us = w_ms * 1000
+    head, tail = MSG_LOGIN_BURST.split("{count}")
+    head = head.format(seconds=seconds_text(w_ms))
+
+    def close(carry):
+        out = []
+        if carry.get("s") is not None and carry["n"] >= max_failed:
+            out.append((carry["k"], carry["s"] // 1000, carry["e"] // 1000, f"{head}{carry['n']}{tail}"))
+        carry["s"] = carry["e"] = None
+        carry["n"] = 0
+        return out
+
+    def step(carry, r):
+        carry["k"] = r[key]
+        if r[type_col] != "fail":
+            return close(carry)
+        if carry.get("s") is not None and r["_t"] <= carry["s"] + w_us:
+            carry["e"], carry["n"] = r["_t"], carry["n"] + 1
+            return []
+        out = close(carry)
+        carry["s"] = carry["e"] = r["_t"]
+        carry["n"] = 1
+        return out
+
+    def on_watermark(carry, wm_us):
+        if carry.get("s") is not None and wm_us > carry["s"] + w_us:
+            return close(carry)
+        return []
+
+    def wake_at(carry):
+        return carry["s"] + w_us + 1 if carry.get("s") is not None else None
+
+    key_type = dict(df.dtypes)[key]
+    return ordered_fold(df, [key], ts, tiebreak, [type_col], {}, step,
+                        f"{key} {key_type}, first_fail long, last_fail long, msg string", delay,
+                        on_watermark=on_watermark, wake_at=wake_at)

@@ -201,3 +201,23 @@ def test_hot_urls_stream_reranks_corrected_windows(spark, stream_dir, tmp_path):
     want = hot_urls(batch_logs, "10 minutes", "5 seconds", 3).filter(F.col("window_end") <= wm)
     cols = ["window_end", "rank", "url", "count"]
     assert _rows(got.filter(F.col("window_end") <= wm), cols) == _rows(want, cols)
+
+
+def test_pay_verdict_and_burst_streams(spark, stream_dir):
+    from eventflow.operators.patterns import login_fail_burst, pay_event_verdict
+    from eventflow.streaming.state import stream_login_fail_burst, stream_pay_event_verdict
+
+    with _stream(stream_dir):
+        orders, logins = order_events(spark, SF_SMALL), login_events(spark, SF_SMALL)
+    got = run_available(stream_pay_event_verdict(orders, within="1 day"), f"pv{next(_n)}")
+    wm = _wm_ms(order_events(spark, SF_SMALL))
+    want = pay_event_verdict(order_events(spark, SF_SMALL), within="1 day").filter(F.col("pay_ts") < wm)
+    cols = ["order_id", "pay_ts", "verdict", "result_msg"]
+    assert _rows(got, cols) == _rows(want, cols) and got.count() > 0
+
+    got = run_available(stream_login_fail_burst(logins, window="6 hours", delay="0 seconds"), f"lb{next(_n)}")
+    wm = _wm_ms(login_events(spark, SF_SMALL))
+    want = login_fail_burst(login_events(spark, SF_SMALL), window="6 hours").filter(
+        F.col("first_fail") + 6 * 3_600_000 < wm)
+    cols = ["user_id", "first_fail", "last_fail", "msg"]
+    assert _rows(got, cols) == _rows(want, cols) and got.count() > 0
