@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.functions.text import MSG_ORDER_PAID, MSG_ORDER_TIMEOUT
-from eventflow.functions.time import duration_ms, interval_lit
+from eventflow.functions.time import duration_ms
 from eventflow.operators.joins import interval_join, reconcile
 from eventflow.streaming.windows import with_event_time
 
@@ -32,22 +32,49 @@ def stream_reconcile(pays: DataFrame, receipts: DataFrame, key: str = "tx_id", t
 def stream_followed_by(df: DataFrame, key: str = "order_id", ts: str = "ts", type_col: str = "event_type",
                        first: str = "create", second: str = "pay", within="15 minutes",
                        tiebreak: str = "event_id", delay="0 seconds") -> DataFrame:
-    """Streaming Q16: left-outer interval join of creates to later pays, then the first pay per create.
+    """Streaming Q16 as an ordered fold (no create x pay pairs are formed).
 
-    The chained aggregation groups by the create's event time, so in append mode a create
-    is emitted once the watermark passes create + within (paid or timeout).
+    Per key, creates wait in state; the first later pay resolves every waiting create
+    (paid if it came within ``within``), and a create whose deadline the watermark has
+    passed times out - no pay before it can still arrive. State holds only the creates
+    of the last ``within``.
     """
-    w = duration_ms(within)
-    d = with_event_time(df, ts, delay)
-    c = d.filter(F.col(type_col) == first).select(F.col(key).alias("c_key"), F.col(tiebreak).alias("c_id"),
-                                                   F.col(ts).alias("c_ts"))
-    p = d.filter(F.col(type_col) == second).select(F.col(key).alias("p_key"), F.col(ts).alias("p_ts"))
-    cond = ((F.col("c_key") == F.col("p_key")) & (F.col("p_ts") >= F.col("c_ts"))
-            & (F.col("p_ts") < F.col("c_ts") + interval_lit(w)))
-    j = c.join(p, cond, "left_outer")
-    g = j.groupBy("c_key", "c_id", "c_ts").agg(F.min("p_ts").alias("p_ts"))
-    paid = F.col("p_ts").isNotNull()
-    return g.select(F.col("c_key").alias(key), F.unix_millis("c_ts").alias("first_ts"),
-                    F.unix_millis("p_ts").alias("second_ts"),
-                    F.when(paid, F.lit("paid")).otherwise(F.lit("timeout")).alias("verdict"),
-                    F.when(paid, F.lit(MSG_ORDER_PAID)).otherwise(F.lit(MSG_ORDER_TIMEOUT)).alias("result_msg"))
+    from eventflow.streaming.state import ordered_fold
+
+    w_us = duration_ms(within) * 1000
+
+    def row(carry, c, pay_t):
+        ok = pay_t is not None and pay_t - c[0] < w_us
+        return (carry["k"], c[0] // 1000, pay_t // 1000 if ok else None, "paid" if ok else "timeout",
+                MSG_ORDER_PAID if ok else MSG_ORDER_TIMEOUT)
+
+    def step(carry, r):
+        carry["k"] = r[key]
+        waiting = carry.setdefault("waiting", [])
+        if r[type_col] == first:
+            waiting.append([r["_t"], r[tiebreak]])
+            return []
+        out = [row(carry, c, r["_t"]) for c in waiting]
+        carry.clear()   # nothing waits: the key's state is dropped
+        return out
+
+    def on_watermark(carry, wm_us):
+        waiting = carry.get("waiting") or []
+        done = [c for c in waiting if c[0] + w_us <= wm_us]
+        out = [row(carry, c, None) for c in done]
+        carry["waiting"] = [c for c in waiting if c[0] + w_us > wm_us]
+        if not carry["waiting"]:
+            carry.clear()
+        return out
+
+    def wake_at(carry):
+        waiting = carry.get("waiting") or []
+        return min(c[0] for c in waiting) + w_us if waiting else None
+
+    key_type = dict(df.dtypes)[key]
+    d = (df.filter(F.col(type_col).isin(first, second))
+           .withColumn("_r", F.when(F.col(type_col) == first, F.lit(0)).otherwise(F.lit(1))))
+    fold = ordered_fold(d, [key], ts, tiebreak, [type_col], {}, step,
+                        f"{key} {key_type}, first_ts long, second_ts long, verdict string, result_msg string",
+                        delay, on_watermark=on_watermark, wake_at=wake_at, rank="_r")
+    return fold

@@ -99,9 +99,18 @@ def stream_match_next(df: DataFrame, key: str = "user_id", ts: str = "ts", type_
         carry["type"], carry["t"] = r[type_col], r["_t"]
         return out
 
+    def on_watermark(carry, wm_us):
+        if carry and carry["t"] + w_us <= wm_us:   # too old to pair with any later event
+            carry.clear()
+        return []
+
+    def wake_at(carry):
+        return carry["t"] + w_us if carry else None
+
     key_type = dict(df.dtypes)[key]
     return ordered_fold(df, [key], ts, tiebreak, [type_col], {}, step,
-                        f"{key} {key_type}, first_ts long, second_ts long, msg string", delay)
+                        f"{key} {key_type}, first_ts long, second_ts long, msg string", delay,
+                        on_watermark=on_watermark, wake_at=wake_at)
 
 
 def stream_click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), ts: str = "ts",
@@ -184,20 +193,17 @@ def stream_login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts",
         out = []
         if carry.get("s") is not None and carry["n"] >= max_failed:
             out.append((carry["k"], carry["s"] // 1000, carry["e"] // 1000, f"{head}{carry['n']}{tail}"))
-        carry["s"] = carry["e"] = None
-        carry["n"] = 0
+        carry.clear()   # no open window: the key's state is dropped
         return out
 
     def step(carry, r):
-        carry["k"] = r[key]
         if r[type_col] != "fail":
             return close(carry)
         if carry.get("s") is not None and r["_t"] <= carry["s"] + w_us:
             carry["e"], carry["n"] = r["_t"], carry["n"] + 1
             return []
         out = close(carry)
-        carry["s"] = carry["e"] = r["_t"]
-        carry["n"] = 1
+        carry.update(k=r[key], s=r["_t"], e=r["_t"], n=1)
         return out
 
     def on_watermark(carry, wm_us):
