@@ -72,7 +72,7 @@ def reconcile(pays: DataFrame, receipts: DataFrame, key: str = "tx_id", ts: str
     """
     p = pays.filter(F.col(key) != "")
     r = receipts.filter(F.col(key) != "")
-    lower = -_signed_ms(receipt_wait) if isinstance(receipt_wait, str) else -duration_ms(receipt_wait)
+    lower = -_signed_ms(receipt_wait)
     if p.isStreaming or r.isStreaming:
         j = interval_join(p, r, key, ts, ts, lower, pay_wait, how="full_outer",
                           left_prefix="pay_", right_prefix="receipt_")
