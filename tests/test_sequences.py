@@ -55,3 +55,18 @@ def test_bucketed_row_number(spark):
     j = got.join(ref.select("event_id", "rn2"), "event_id")
     assert j.count() == df.count()
     assert j.filter("rn <> rn2").count() == 0
+
+
+def test_reconcile_partitions_both_inputs(spark):
+    """Keys unique per side: every pay and every receipt is in exactly one outcome row."""
+    from eventflow.operators.joins import reconcile
+    from eventflow.sources.tables import pay_events, receipt_events
+    from conftest import SF_SMALL
+
+    pays, receipts = pay_events(spark, SF_SMALL), receipt_events(spark, SF_SMALL)
+    out = reconcile(pays, receipts, "tx_id", "ts", "60 days", "30 days")
+    paid = out.filter("verdict in ('matched', 'unmatched_pay')")
+    got = out.filter("verdict in ('matched', 'unmatched_receipt')")
+    assert paid.count() == paid.select("pay_tx_id").distinct().count() == pays.count()
+    assert got.count() == got.select("receipt_tx_id").distinct().count() == receipts.count()
+    assert out.filter("verdict = 'matched'").count() > 0
