@@ -13,9 +13,18 @@ from eventflow.functions.time import duration_ms, interval_lit
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+_FITS: dict[tuple[int, int, int], bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Cheap bounded check: counts at most ``max_rows + 1`` rows of the candidate side."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Cheap bounded check: counts at most ``max_rows + 1`` rows of the candidate side.
+    The answer is remembered per session and plan (same dimension, same answer)."""
+    key = (id(df.sparkSession._jsparkSession), df.semanticHash(), max_rows)
+    if key not in _FITS:
+        if len(_FITS) > 1024:
+            _FITS.clear()
+        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _FITS[key]
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
