@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventflow.functions.hashing import poly_hash_sql
-from eventflow.functions.text import is_not_static
+from eventflow.functions.text import REPORT_URL_LABEL, is_not_static
 from eventflow.operators.distinct import unique_visitors, unique_visitors_bitmap
-from eventflow.operators.ranking import top_n
+from eventflow.operators.ranking import top_n, top_n_report
 from eventflow.operators.windows import windowed_count
 from eventflow.plans.hotitems import UB_SQL
 from eventflow.plans.registry import register
@@ -46,6 +46,20 @@ def q05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hot_urls(parse_access_log(access_log_lines(spark, sf_dir)), "10 minutes", "5 seconds", 3)
 
 
+Q5R_SQL = Q5_SQL.replace("SELECT window_end, rank, url, count FROM r WHERE rank <= 3", """SELECT window_end,
+       '时间：' || strftime(epoch_ms(window_end), '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
+       || string_agg('No' || rank || ':' || ' URL=' || url || ' 浏览量=' || count || chr(10), '' ORDER BY rank)
+       || '======================' AS report
+FROM r WHERE rank <= 3 GROUP BY window_end""")
+
+
+@register("q05r_hot_urls_report", Q5R_SQL)
+def q05r(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5's printed form: one ranking text per window end (`` URL=`` lines)."""
+    ranked = hot_urls(parse_access_log(access_log_lines(spark, sf_dir)), "10 minutes", "5 seconds", 3)
+    return top_n_report(ranked, "window_end", "rank", "url", "count", REPORT_URL_LABEL, whole_seconds=True)
+
+
 Q6_SQL = f"""WITH {UB_SQL}
 SELECT t - t % 3600000 + 3600000 AS window_end, count(*) AS pv
 FROM ub WHERE behavior = 'pv' GROUP BY t - t % 3600000 + 3600000"""
