@@ -57,7 +57,7 @@ def login_fail_consecutive(df: DataFrame, key: str = "user_id", ts: str = "ts",
 # --------------------------------------------------------------------- greedy burst windows
 def login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts", type_col: str = "event_type",
                      window="2 seconds", max_failed: int = 2, tiebreak: str = "event_id",
-                     bucket="1 day") -> DataFrame:
+                     bucket="1 hour") -> DataFrame:
     """>= ``max_failed`` fails in a window opened by a fail (Q13).
 
     Per success-free run, greedily: open at the first unassigned fail t0, take every
@@ -130,7 +130,7 @@ def match_followed_by(df: DataFrame, key: str = "order_id", ts: str = "ts", type
 # --------------------------------------------------------------------- timer verdict per create
 def order_deadline_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type_col: str = "event_type",
                            within="15 minutes", tiebreak: str = "event_id",
-                           create: str = "create", pay: str = "pay", bucket="1 day") -> DataFrame:
+                           create: str = "create", pay: str = "pay", bucket="1 hour") -> DataFrame:
     """Verdict at each create's deadline (Q17, with the intent of the reference's fix).
 
     A create arriving while the key holds a pay recorded after the last expired
@@ -190,7 +190,7 @@ def order_deadline_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts",
 # --------------------------------------------------------------------- verdict at each pay
 def pay_event_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type_col: str = "event_type",
                       within="15 minutes", tiebreak: str = "event_id",
-                      create: str = "create", pay: str = "pay", bucket="1 day") -> DataFrame:
+                      create: str = "create", pay: str = "pay", bucket="1 hour") -> DataFrame:
     """Verdict emitted at every pay (Q18), the keyed state machine of the reference:
 
     state (paid flag, deadline); a create on a paid key is swallowed (state reset),
