@@ -85,6 +85,12 @@ def login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts", type_c
     carry = starts.select(key, "_b", F.max("_ms").over(
         Window.partitionBy(key).orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)).alias("_cs"))
     fails = fails.join(carry, [key, "_b"], "left").withColumn("_seg", F.coalesce("_ls", "_cs"))
+    # Short segments (the common case) fold in the JVM; long ones - a key failing without
+    # pause - go to a vectorised greedy scan (O(windows log n), no quadratic array growth).
+    fails = fails.select(key, "_seg", "_t", tiebreak,
+                         F.count(F.lit(1)).over(Window.partitionBy(key, "_seg")).alias("_sn"))
+    long_out = _burst_windows_long(fails.filter(F.col("_sn") > LONG_SEGMENT), key, w_us, max_failed)
+    fails = fails.filter(F.col("_sn") <= LONG_SEGMENT)
     segs = fails.groupBy(key, "_seg").agg(
         F.array_sort(F.collect_list(F.struct(F.col("_t").alias("t"), F.col(tiebreak).alias("i")))).alias("_ev"))
     fold = F.expr(f"""
@@ -99,11 +105,41 @@ def login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts", type_c
         acc -> if(acc.s is null, acc.w, concat(acc.w, array(named_struct('s', acc.s, 'e', acc.e, 'n', acc.n)))))
     """)
     wins = segs.select(key, F.explode(fold).alias("_w")).filter(F.col("_w.n") >= max_failed)
+    wins = wins.select(key, F.col("_w.s").alias("_s"), F.col("_w.e").alias("_e"), F.col("_w.n").alias("_n"))
+    wins = wins.unionByName(long_out)
     secs = seconds_text(w_ms)
     msg = F.concat(F.lit(MSG_LOGIN_BURST.split("{count}")[0].format(seconds=secs)),
-                   F.col("_w.n").cast("string"), F.lit(MSG_LOGIN_BURST.split("{count}")[1]))
-    return wins.select(key, F.floor(F.col("_w.s") / 1000).cast("long").alias("first_fail"),
-                       F.floor(F.col("_w.e") / 1000).cast("long").alias("last_fail"), msg.alias("msg"))
+                   F.col("_n").cast("string"), F.lit(MSG_LOGIN_BURST.split("{count}")[1]))
+    return wins.select(key, F.floor(F.col("_s") / 1000).cast("long").alias("first_fail"),
+                       F.floor(F.col("_e") / 1000).cast("long").alias("last_fail"), msg.alias("msg"))
+
+
+# Segments longer than this are scanned by ``_burst_windows_long`` instead of the array fold.
+LONG_SEGMENT = 64
+
+
+def _burst_windows_long(fails: DataFrame, key: str, w_us: int, max_failed: int) -> DataFrame:
+    """Greedy burst windows of long segments, one segment per pandas group (Arrow batches):
+    jump from each window start to the first fail after start + window with ``searchsorted``."""
+    import numpy as np
+    import pandas as pd
+
+    key_type = dict(fails.dtypes)[key]
+
+    def windows(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = np.sort(pdf["_t"].to_numpy(dtype="int64"))
+        out_s, out_e, out_n = [], [], []
+        i, n = 0, len(t)
+        while i < n:
+            j = int(np.searchsorted(t, t[i] + w_us, side="right"))
+            if j - i >= max_failed:
+                out_s.append(t[i]); out_e.append(t[j - 1]); out_n.append(j - i)
+            i = j
+        k = pdf[key].iloc[0] if n else None
+        return pd.DataFrame({key: [k] * len(out_s), "_s": out_s, "_e": out_e, "_n": out_n})
+
+    return fails.groupBy(key, "_seg").applyInPandas(
+        windows, f"{key} {key_type}, _s long, _e long, _n int")
 
 
 # --------------------------------------------------------------------- relaxed "A followedBy B"

@@ -54,3 +54,23 @@ def test_click_cap_independent_of_bucket(spark):
     base = _rows(click_cap(df, ("user_id",), max_count=5, bucket="1 day"))
     for b in ("1 minute", "1 hour"):
         assert _rows(click_cap(df, ("user_id",), max_count=5, bucket=b)) == base
+
+
+def test_burst_long_segment_path_matches(spark):
+    """Long segments take the vectorised greedy scan; both paths give the same windows."""
+    from eventflow.operators import patterns
+
+    logins = login_events(spark, SF_SMALL)
+    base = _rows(login_fail_burst(logins, window="6 hours"))
+    old = patterns.LONG_SEGMENT
+    try:
+        patterns.LONG_SEGMENT = 1
+        assert _rows(login_fail_burst(logins, window="6 hours")) == base
+    finally:
+        patterns.LONG_SEGMENT = old
+    bot = (spark.range(5000).select(F.col("id").alias("event_id"), F.lit(7).cast("long").alias("user_id"),
+                                    F.lit("fail").alias("event_type"),
+                                    F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("ts")))
+    out = login_fail_burst(bot, window="2 seconds").collect()
+    assert len(out) == 5000 // 3 + 1          # windows of 3 fails, the last one of 2
+    assert all(r.last_fail - r.first_fail <= 2000 for r in out)
