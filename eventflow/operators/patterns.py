@@ -10,8 +10,9 @@ horizon and use the time-bucketed scans of ``sequences``. Q13, Q17 and Q18 depen
 a key's whole history (the reference keeps it in keyed state): rows are partitioned
 by (key, time bucket), each bucket is scanned locally, and what a bucket needs from
 its past (last events, running max, the open segment's OR) comes from one summary
-row per earlier bucket, ordered per key - a segmented scan. Q13 finally folds each
-burst segment (fails at most ``window`` apart, no success between) as one array.
+row per earlier bucket, ordered per key - a segmented scan. Q13 then resolves each
+burst segment (fails at most ``window`` apart, no success between): short ones with an
+array fold in the JVM, long ones with a linear vectorised greedy scan.
 """
 
 from __future__ import annotations
