@@ -32,13 +32,13 @@ def main() -> None:
         final = t.split("+- == Initial Plan ==")[0]
         rows.append((name, final.count("ShuffleQueryStage"), final.count("BroadcastQueryStage"),
                      final.count("ReusedExchange"), "SortMergeJoin" in final, "BroadcastHashJoin" in final,
-                     "WindowGroupLimit" in final, "Python" in final))
+                     "WindowGroupLimit" in final, ("Python" in final or "InPandas" in final)))
         if name in HEADLINE:
             full.append((name, final))
     out = ["# Physical plans", "",
            f"Generated by `python explain_plans.py {sf_dir}` (local[8], 16 shuffle partitions, AQE on):",
            "final adaptive plans after execution. Counts are query stages in the final plan.", "",
-           "| query | shuffle stages | broadcast stages | reused exchanges | sort-merge join | broadcast join | WindowGroupLimit | Python |",
+           "| query | shuffle stages | broadcast stages | reused exchanges | sort-merge join | broadcast join | WindowGroupLimit | Python or pandas |",
            "|---|---|---|---|---|---|---|---|"]
     for r in rows:
         out.append("| " + " | ".join(str(x) for x in r) + " |")
