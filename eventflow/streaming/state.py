@@ -218,3 +218,56 @@ def stream_login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts",
     return ordered_fold(df, [key], ts, tiebreak, [type_col], {}, step,
                         f"{key} {key_type}, first_fail long, last_fail long, msg string", delay,
                         on_watermark=on_watermark, wake_at=wake_at)
+
+
+def stream_order_deadline_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts",
+                                  type_col: str = "event_type", within="15 minutes",
+                                  tiebreak: str = "event_id", create: str = "create", pay: str = "pay",
+                                  delay="0 seconds") -> DataFrame:
+    """Streaming Q17, the batch definition as a fold: a create is absorbed when the key's last
+    pay came after the last expired deadline (of any earlier create); otherwise it waits for
+    the first later pay (paid if before its deadline) or times out when the watermark passes
+    the deadline."""
+    w_us = duration_ms(within) * 1000
+    w_ms = w_us // 1000
+
+    def verdict_row(k, c_t, ok):
+        return (k, c_t // 1000, c_t // 1000 + w_ms, "paid" if ok else "timeout",
+                MSG_ORDER_PAID if ok else MSG_ORDER_TIMEOUT)
+
+    def step(carry, r):
+        t = r["_t"]
+        carry["k"] = r[key]
+        if r[type_col] == pay:
+            out = [verdict_row(r[key], c, t - c < w_us) for c in carry.get("waiting", [])]
+            carry["waiting"] = []
+            carry["last_pay"] = t
+            return out
+        # deadlines of earlier creates that expired before this create (c' + W < t)
+        recent = carry.get("recent", [])
+        expired = [c for c in recent if c + w_us < t]
+        if expired:
+            carry["exp"] = max(carry.get("exp") or 0, max(expired) + w_us)
+        carry["recent"] = [c for c in recent if c + w_us >= t] + [t]
+        last_pay, exp = carry.get("last_pay"), carry.get("exp")
+        if last_pay is not None and (exp is None or last_pay > exp):
+            return []                                   # absorbed: a pay is pending
+        carry.setdefault("waiting", []).append(t)
+        return []
+
+    def on_watermark(carry, wm_us):
+        waiting = carry.get("waiting", [])
+        done = [c for c in waiting if c + w_us <= wm_us]
+        carry["waiting"] = [c for c in waiting if c + w_us > wm_us]
+        return [verdict_row(carry["k"], c, False) for c in done]
+
+    def wake_at(carry):
+        waiting = carry.get("waiting", [])
+        return min(waiting) + w_us if waiting else None
+
+    key_type = dict(df.dtypes)[key]
+    d = (df.filter(F.col(type_col).isin(create, pay))
+           .withColumn("_r", F.when(F.col(type_col) == create, F.lit(0)).otherwise(F.lit(1))))
+    return ordered_fold(d, [key], ts, tiebreak, [type_col], {}, step,
+                        f"{key} {key_type}, create_ts long, deadline long, verdict string, result_msg string",
+                        delay, on_watermark=on_watermark, wake_at=wake_at, rank="_r")

@@ -221,3 +221,17 @@ def test_pay_verdict_and_burst_streams(spark, stream_dir):
         F.col("first_fail") + 6 * 3_600_000 < wm)
     cols = ["user_id", "first_fail", "last_fail", "msg"]
     assert _rows(got, cols) == _rows(want, cols) and got.count() > 0
+
+
+def test_deadline_verdict_stream(spark, stream_dir):
+    from eventflow.operators.patterns import order_deadline_verdict
+    from eventflow.streaming.state import stream_order_deadline_verdict
+
+    with _stream(stream_dir):
+        orders = order_events(spark, SF_SMALL)
+    got = run_available(stream_order_deadline_verdict(orders, within="1 day"), f"dv{next(_n)}")
+    wm = _wm_ms(order_events(spark, SF_SMALL))
+    want = order_deadline_verdict(order_events(spark, SF_SMALL), within="1 day").filter(F.col("deadline") <= wm)
+    cols = ["order_id", "create_ts", "deadline", "verdict", "result_msg"]
+    g = _rows(got.filter(F.col("deadline") <= wm), cols)
+    assert g == _rows(want, cols) and len(g) > 0
