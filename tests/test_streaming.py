@@ -235,3 +235,32 @@ def test_deadline_verdict_stream(spark, stream_dir):
     cols = ["order_id", "create_ts", "deadline", "verdict", "result_msg"]
     g = _rows(got.filter(F.col("deadline") <= wm), cols)
     assert g == _rows(want, cols) and len(g) > 0
+
+
+def test_interval_join_and_bitmap_uv_streams(spark, stream_dir, tmp_path):
+    from eventflow.operators.distinct import unique_visitors_bitmap
+    from eventflow.operators.joins import interval_join
+    from eventflow.streaming.joins import stream_interval_join
+    from eventflow.streaming.windows import stream_unique_visitors_bitmap
+
+    with _stream(stream_dir):
+        s = user_behavior(spark, SF_SMALL, "pv")
+    got = run_available(stream_unique_visitors_bitmap(s, "ts", "1 hour", bits=5), f"ub{next(_n)}")
+    batch = user_behavior(spark, SF_SMALL, "pv")
+    want = unique_visitors_bitmap(batch, "ts", "1 hour", bits=5).filter(F.col("window_end") <= _wm_ms(batch))
+    assert _rows(got, ["window_end", "uv_count"]) == _rows(want, ["window_end", "uv_count"])
+
+    ev = table(spark, SF_SMALL, "events")
+    a = ev.filter("event_type = 'signup'").select(F.col("user_id").cast("string").alias("k"),
+                                                  F.col("ts").cast("timestamp").alias("ts"))
+    b = ev.filter("event_type = 'purchase'").select(F.col("user_id").cast("string").alias("k"),
+                                                    F.col("ts").cast("timestamp").alias("ts"))
+    ad, bd = str(tmp_path / "a"), str(tmp_path / "b")
+    a.write.parquet(ad)
+    b.write.parquet(bd)
+    sa = spark.readStream.schema(a.schema).parquet(ad)
+    sb = spark.readStream.schema(b.schema).parquet(bd)
+    got = run_available(stream_interval_join(sa, sb, "k", "ts", "-2 hours", "6 hours"), f"ij{next(_n)}")
+    want = interval_join(a, b, "k", "ts", "ts", "-2 hours", "6 hours")
+    cols = ["l_k", "l_ts", "r_ts"]
+    assert _rows(got, cols) == _rows(want, cols) and got.count() > 0
