@@ -153,3 +153,19 @@ def hot_items_kafka(spark: SparkSession, servers: str, topic: str = "user-behavi
         return top_n_writer(n, "count", ["item_id"], write_ranked)
 
     return counts, rank
+
+
+def hot_items_sql_stream(spark: SparkSession, behavior_stream: DataFrame, size: str = "1 hour",
+                         delay: str = "0 seconds") -> DataFrame:
+    """Q4 on a stream: the watermarked stream is registered as a temp view (column pruning +
+    event-time attribute) and aggregated in SQL. Streams do not support ``row_number``, so the
+    ranking (``row_num <= n``, window start labelled ``window_end`` as in Q4) is applied per
+    micro-batch with ``streaming.windows.top_n_writer(n, "cnt", ["item_id"], sink,
+    rank_col="row_num")``."""
+    view = f"ef_behavior_stream_{next(_view_ids)}"
+    (behavior_stream.select("item_id", "behavior", "ts").withWatermark("ts", delay)
+                    .createOrReplaceTempView(view))
+    return spark.sql(f"""
+        SELECT item_id, count(item_id) AS cnt, unix_millis(window(ts, '{size}').start) AS window_end
+        FROM {view} WHERE behavior = 'pv'
+        GROUP BY window(ts, '{size}'), item_id""")

@@ -264,3 +264,21 @@ def test_interval_join_and_bitmap_uv_streams(spark, stream_dir, tmp_path):
     want = interval_join(a, b, "k", "ts", "ts", "-2 hours", "6 hours")
     cols = ["l_k", "l_ts", "r_ts"]
     assert _rows(got, cols) == _rows(want, cols) and got.count() > 0
+
+
+def test_hot_items_sql_on_stream(spark, stream_dir, tmp_path):
+    from eventflow.plans.hotitems import hot_items_sql, hot_items_sql_stream
+
+    with _stream(stream_dir):
+        s = user_behavior(spark, SF_SMALL, "pv")
+    out = str(tmp_path / "sqltop")
+    sink = lambda df, bid: df.write.mode("append").parquet(out)
+    counts = hot_items_sql_stream(spark, s, "1 hour")
+    run_available(counts, f"sq{next(_n)}", foreach_batch=top_n_writer(5, "cnt", ["item_id"], sink,
+                                                                      rank_col="row_num"))
+    got = spark.read.parquet(out)
+    batch = user_behavior(spark, SF_SMALL, "pv")
+    # Q4 labels the window start as window_end; a window is closed once start + 1 h <= watermark
+    want = hot_items_sql(spark, batch, "1 hour", 5).filter(F.col("window_end") + 3_600_000 <= _wm_ms(batch))
+    cols = ["item_id", "cnt", "window_end", "row_num"]
+    assert _rows(got, cols) == _rows(want, cols) and got.count() > 0
