@@ -282,9 +282,11 @@ def pay_event_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type
     seg_run = (Window.partitionBy(key, "_b", "_seg").orderBy("_t", "_r", tiebreak)
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     p = p.withColumn("_or", F.bool_or("_val").over(seg_run))
-    last_pay = Window.partitionBy(key, "_b").orderBy(F.col("_t").desc(), F.col(tiebreak).desc())
-    tail = (p.withColumn("_k", F.row_number().over(last_pay)).filter(F.col("_k") == 1)
-              .select(key, "_b", (F.col("_seg") > 0).alias("_has_head"), F.col("_or").alias("_tail")))
+    # state at each bucket's last pay: an aggregate on the existing (key, bucket) partitioning
+    last = F.max_by(F.struct((F.col("_seg") > 0).alias("h"), F.col("_or").alias("o")),
+                    F.struct(F.col("_t"), F.col(tiebreak)))
+    tail = (p.groupBy(key, "_b").agg(last.alias("_last"))
+              .select(key, "_b", F.col("_last.h").alias("_has_head"), F.col("_last.o").alias("_tail")))
     grp = tail.withColumn("_g", F.sum(F.col("_has_head").cast("int")).over(
         kb.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     ok_end = grp.withColumn("_end", F.bool_or("_tail").over(
