@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import ann, chat, packing, tokencount, toxicity
+from eventflow.llm import ann, chat, packing, pii, tokencount, toxicity
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +56,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.predict(docs, toxicity.learn_from(docs, labels))
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), found_col="found")
+    valid = F.filter("found", lambda f: f["pseudonym"].isNotNull())
+    return docs.select("doc_id", "text", F.size(valid).cast("long").alias("n_moved"), F.size("found").cast("long").alias("n_candidates"),
+                       F.array_join(F.transform(valid, lambda f: f["kind"]), ",").alias("kinds"))
