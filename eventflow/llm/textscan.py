@@ -125,9 +125,6 @@ class Words:
                 yield np.unique(hashes[bounds[r]:bounds[r + 1]])
             elif counts[r]:
                 words = self.hash[self.first[r]:self.first[r + 1]]
-                total = np.uint64(len(words))
-                for j, w in enumerate(words):
-                    total = total + w * powers(_BASE, 64)[j + 1]
-                yield mix(np.array([total], np.uint64))
+                yield mix((words * powers(_BASE, 64)[1:len(words) + 1]).sum(keepdims=True) + np.uint64(len(words)))
             else:
                 yield np.zeros(0, np.uint64)
