@@ -31,8 +31,8 @@ from eventflow.llm.textscan import Words, chunks, text_buffers
 
 K1, B = 1.2, 0.75
 SHINGLE = 5
-RETRIEVE, CONTAINED = 0.6, 0.8
-BLOCK_ITEMS = 16
+RETRIEVE, CONTAINED = 0.7, 0.8
+BLOCK_ITEMS = 8
 # Words of the items of one index, at most (about 50 bytes each in every task).
 MAX_INDEX_WORDS = 2_000_000
 
@@ -99,14 +99,18 @@ class Index:
         # The least score any item (or any item of a block) needs.
         self.least = self.threshold.min() if n else np.inf
         self.block_least = np.array([self.threshold[b * BLOCK_ITEMS:(b + 1) * BLOCK_ITEMS].min() for b in range(self.blocks)])
-        # Common terms: those of least impact, whose impacts together stay under a third of the least
-        # score. A passage's other terms must reach the rest by themselves.
+        # Common terms: those of least impact, whose impacts together stay under a third of what any
+        # block needs. A passage's other terms must reach the rest by themselves.
         small = np.argsort(self.largest, kind="stable")
-        together = np.cumsum(self.largest[small])
-        common = small[together < self.least / 3]
-        self.rest = self.least - (together[len(common) - 1] if len(common) else 0.0)
+        counts = np.diff(self.block_first)
+        per_block = np.zeros((len(self.terms), self.blocks))
+        per_block[np.repeat(np.arange(len(self.terms)), counts), self.block_of] = self.block_impact
+        together = np.cumsum(per_block[small], axis=0)
+        fits = (together < self.block_least / 3).all(axis=1) if n else np.zeros(0, dtype=bool)
+        n_common = len(fits) if fits.all() else int(np.argmin(fits))
+        self.block_rest = self.block_least - (together[n_common - 1] if n_common else 0.0)
         rare = np.ones(len(self.terms), dtype=bool)
-        rare[common] = False
+        rare[small[:n_common]] = False
         self.rare = np.flatnonzero(rare)
         # A table over the hashes' top bits spares most words a binary search.
         self.top = np.zeros(1 << 20, dtype=bool)
@@ -129,22 +133,31 @@ class Index:
         same = self.terms[among[place]] == hashes
         return among[place[same]], same
 
-    def search(self, passage: np.ndarray) -> list[tuple[int, float]]:
-        """(item, score) of all items whose score for a passage's distinct terms reaches theirs."""
-        def spread(first):
-            counts = first[passage + 1] - first[passage]
-            return np.repeat(first[passage] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-        at = spread(self.block_first)
-        bound = np.bincount(self.block_of[at], self.block_impact[at], minlength=self.blocks)
-        hot = bound >= self.block_least
-        if not hot.any():
-            return []
-        at = spread(self.first)
+    def blocks_reached(self, passage: np.ndarray, term: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The (passage, block) pairs whose block's largest impacts, summed over the passage's
+        distinct rare terms, can reach what the block's items need."""
+        at, own = _spread(self.block_first, term)
+        bound = np.bincount(passage[own] * self.blocks + self.block_of[at], self.block_impact[at], minlength=n * self.blocks)
+        hot = np.flatnonzero(bound.reshape(n, self.blocks) >= self.block_rest)
+        return hot // self.blocks, hot % self.blocks
+
+    def search(self, passage: np.ndarray, blocks: np.ndarray) -> list[tuple[int, float]]:
+        """(item, score) of the blocks' items whose score for a passage's distinct terms reaches theirs."""
+        at, _ = _spread(self.first, passage)
+        hot = np.zeros(self.blocks, dtype=bool)
+        hot[blocks] = True
         at = at[hot[self.item_of[at] // BLOCK_ITEMS]]
         score = np.bincount(self.item_of[at], self.impact[at], minlength=len(self.own))
         return [(int(i), float(score[i])) for i in np.flatnonzero((score >= self.threshold) & (score > 0))]
 
 
+def _spread(first: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Postings first[k] to first[k + 1] of every key, and the key's place of each."""
+    counts = first[keys + 1] - first[keys]
+    own = np.repeat(np.arange(len(keys)), counts)
+    return np.arange(counts.sum()) + (first[keys] - np.cumsum(counts) + counts)[own], own
+
+
 def _share(part: np.ndarray, text: np.ndarray) -> float:
     return float(np.isin(part, text, assume_unique=True).mean()) if len(part) else 0.0
 
@@ -170,15 +183,13 @@ def scan(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int,
         keys.append(base[rows[ok]] + p[ok])
         terms.append(term[ok])
     pair = np.unique(np.concatenate(keys) * len(index.terms) + np.concatenate(terms))
-    bound = np.bincount(pair // len(index.terms), index.largest[pair % len(index.terms)], minlength=int(base[-1]))
+    hot, block = index.blocks_reached(pair // len(index.terms), pair % len(index.terms), int(base[-1]))
     best: dict[tuple[int, int], float] = {}
-    for p in np.flatnonzero(bound >= index.rest):
+    for p in np.unique(hot):
         row = int(np.searchsorted(base, p, side="right")) - 1
         lo = int(w.first[row] + (p - base[row]) * step)
         passage = index.lookup(w.hash[lo:min(lo + width, int(w.first[row + 1]))])
-        if index.largest[passage].sum() < index.least:
-            continue
-        for item, score in index.search(passage):
+        for item, score in index.search(passage, block[hot == p]):
             best[row, item] = max(best.get((row, item), 0.0), score / index.own[item])
     if not best:
         return []
