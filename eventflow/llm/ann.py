@@ -74,7 +74,7 @@ def _vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _search(k: int):
-    def best(key, left, right) -> pa.Table:
+    def best(key, left, right):
         names = ["query_id", "rep", "score"]
         types = [pa.int64(), pa.int64(), pa.float64()]
         if not left.num_rows or not right.num_rows:

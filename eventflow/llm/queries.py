@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import ann, chat, decontam, packing, pii, tokencount, toxicity
+from eventflow.llm import ann, chat, decontam, jaccard, packing, pii, tokencount, toxicity
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -64,6 +64,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, toxicity.learn_from(docs, labels))
 
 
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), found_col="found")
