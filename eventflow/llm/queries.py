@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import ann, chat, decontam, jaccard, packing, pii, tokencount, toxicity
+from eventflow.llm import ann, chat, decontam, jaccard, packing, pii, suffix, tokencount, toxicity
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -58,6 +58,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
