@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import ann, chat, decontam, jaccard, packing, pii, suffix, tokencount, toxicity
+from eventflow.llm import ann, chat, decontam, jaccard, licenses, packing, pii, suffix, tokencount, toxicity
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -47,6 +47,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = decontam.retrieve(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

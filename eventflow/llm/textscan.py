@@ -18,6 +18,9 @@ CHUNK_BYTES = 2 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# The same with ASCII punctuation between words.
+PUNCTUATION = SPACE.copy()
+PUNCTUATION[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -74,7 +77,7 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
 class Words:
     """The words of a chunk of rows: ``start``/``end`` byte positions, ``row`` and ``hash``."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE):
         base = int(offsets[0])
         self.rows = len(offsets) - 1
         self.offsets = offsets - base
@@ -85,7 +88,7 @@ class Words:
             self.hash = np.zeros(0, np.uint64)
             self.first = np.zeros(self.rows + 1, np.int64)
             return
-        inside = ~SPACE[self.data]
+        inside = ~between[self.data]
         cut = np.zeros(n + 1, dtype=bool)
         cut[self.offsets] = True
         before = np.empty(n, dtype=bool)
