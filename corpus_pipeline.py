@@ -9,12 +9,18 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventflow.llm import toxicity
+from eventflow.llm import decontam, jaccard, packing, pii, toxicity
+from eventflow.llm.shared import shared_dir
 
-#: Learnt weights, Unicode folding and tokenizers have no SQL form; tests compare with brute force.
+#: Learnt weights, Unicode folding, keyed permutations and tokenizers have no SQL form; the tests
+#: compare each stage with a brute-force version.
 ORACLE_SQL = None
+#: Near copies: five words a shingle, Jaccard similarity of 0.8 or more.
+SHINGLE_WORDS, SIMILARITY = 5, (80, 100)
+PII_KEY = pii.DEFAULT_KEY
 
 
 def toxic_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,13 +29,32 @@ def toxic_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity.learn_from(docs, labels))
 
 
-STAGES = [("toxicity", toxic_stage)]
+def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: that of the smallest id."""
+    return jaccard.keep_one(docs, size=SHINGLE_WORDS, num=SIMILARITY[0], den=SIMILARITY[1])
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.keep_uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by pseudonyms of the same format."""
+    return pii.pseudonymise(docs, key=PII_KEY)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in training windows."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("toxicity", toxic_stage), ("near copies", near_copies_stage), ("benchmark decontamination", benchmark_stage),
+          ("personal data", pii_stage), ("packing", packing_stage)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; stages hand over Parquet tables in the shared folder."""
-    from eventflow.llm.shared import shared_dir
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
