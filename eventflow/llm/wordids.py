@@ -2,42 +2,69 @@
 
 The words between spaces and line breaks are encoded by the library, each distinct word once per
 worker's memory (of bounded entries), and a text's ids are its words' ids in a row, as the library
-gives for the whole text. Texts holding an added token's string go to the library whole.
+gives for the whole text. Words of letters only, which the file's normaliser and splitting rules
+leave in one piece, go straight to the library's BPE model; other words take the whole pipeline.
+Texts holding an added token's string go to the library whole.
 """
 
 from __future__ import annotations
 
 import json
+import unicodedata
 
 import numpy as np
 
 # Distinct words whose ids a worker keeps, at most; the memory is emptied when full.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
 # Signs that end words: a run of them is a token run of its own after letters.
 TAIL = ".,;:!?*$%&#|"
 _loaded: dict[str, WordIds] = {}
 
 
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: visible Latin-1 bytes
+    are themselves, the others follow from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
+
+
 class WordIds:
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.added = [t["content"] for t in json.load(f)["added_tokens"]]
+            spec = json.load(f)
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        m = spec["model"]
+        merges = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in m["merges"]]
+        # The same model without the library's own cache, which distinct words never hit.
+        self.model = models.BPE(vocab=m["vocab"], merges=merges, end_of_word_suffix=m["end_of_word_suffix"], cache_capacity=0)
+        self.letters = _byte_letters()
         self.words: dict[str, bytes] = {"": b""}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _word(self, letters: str) -> bytes:
+        """Ids of a lower-case word of letters."""
+        if not letters.isascii():
+            letters = "".join([self.letters[b] for b in letters.encode()])
+        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+
     def _learn(self, missing: list[str]) -> None:
         words, parts, needed = self.words, {}, set()
         for w in missing:
             core = w.rstrip(TAIL)
-            if core.isalpha() and core.isascii():
+            low = core.lower()
+            if core.isalpha() and (core.isascii() or low.isalpha() and "\u03a3" not in core and unicodedata.is_normalized("NFC", core)):
                 tail = w[len(core):]
-                parts[w] = (core.lower(), tail)
-                needed.update(parts[w])
+                parts[w] = (low, tail)
+                if low not in words:
+                    words[low] = self._word(low)
+                if tail:
+                    needed.add(tail)
             else:
                 parts[w] = (w, "")
                 needed.add(w)
