@@ -5,8 +5,8 @@ smaller id. Equal strings are found through sampled suffixes: of the 16-byte pre
 string of ``length`` bytes the one with the least hash is its anchor, so equal strings have equal
 anchors at equal offsets, and only about one position in eighteen is kept.
 
-1. The documents are written once, bucketed and sorted by id; every later scan reads these files in
-   place. A batch is a run of documents of bounded bytes.
+1. The documents are dealt once into batches of bounded bytes, by a hash of the id, and written
+   bucketed by batch; every later scan reads these files in place.
 2. A batch's suffix array holds its anchors in the order of their prefix hashes. Range by range of
    that order, the batches' arrays meet and tell each batch which of its anchors others have too.
    A prefix that many documents of a batch share is in its array once.
@@ -44,7 +44,7 @@ from eventflow.llm.shared import Tables
 from eventflow.llm.textscan import mix, powers, text_buffers
 
 LENGTH, PREFIX = 50, 16
-BATCH_BYTES, PIECE_BYTES, BUCKET_BYTES, RANGE_BYTES = 8 << 20, 1 << 20, 16 << 20, 16 << 20
+BATCH_BYTES, PIECE_BYTES, BUCKET_BYTES, RANGE_BYTES = 4 << 20, 1 << 20, 16 << 20, 16 << 20
 # Kinds of what is sent to batches: the first byte of a blob.
 SHARED, MARKS = b"S", b"M"
 # Strings in one new batch of a range's family.
@@ -150,74 +150,47 @@ def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
 
 
 class Batch:
-    """A run of documents of a bucket, in order of ids, and what was sent to it."""
-
-    def __init__(self, number: int, ids: list, columns: list[pa.Array], sent: list):
-        self.number, self.ids = number, np.array(ids, np.int64)
-        data, offsets = [], [0]
-        for c in columns:
-            d, o = text_buffers(c)
-            data.append(d)
-            offsets.extend((o[1:] + offsets[-1]).tolist())
-        self.data = np.concatenate(data) if data else np.zeros(0, np.uint8)
-        self.offsets = np.array(offsets, np.int64)
-        # By kind and range (rows that repeat the first id bring the same again).
-        got = {(s["blob"][:1], s["range"]): s["blob"][1:] for s in sent if s["batch"] == number}
+    """The documents of a slot, in order of ids, and what was sent to it."""
+
+    def __init__(self, key, rows: pa.Table, sent: pa.Table | None = None):
+        self.slot = key[0].as_py()
+        rows = rows.sort_by([("id", "ascending"), ("tie", "ascending")]).combine_chunks()
+        self.ids = rows["id"].to_numpy()
+        column = rows["text"].combine_chunks()
+        column = column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks or [pa.array([], column.type)])
+        self.data, self.offsets = text_buffers(column)
+        got = {(r["blob"][:1], r["range"]): r["blob"][1:] for r in sent.to_pylist()} if sent is not None else {}
         self.shared, self.marks = ([got[k] for k in sorted(got) if k[0] == kind] for kind in (SHARED, MARKS))
 
-    @property
-    def name(self) -> int:
-        return int(self.ids[0])
-
-
-def _batches(rows: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
-    """Batches of a task's rows: (id, text) and, after a join, ``sent``."""
-    number, ids, columns, sent, size = 0, [], [], [], 0
-    for r in rows:
-        text = r.column(1)
-        _, offsets = text_buffers(text)
-        lo = 0
-        for hi in range(1, r.num_rows + 1):
-            if size + offsets[hi] - offsets[lo] >= BATCH_BYTES or hi == r.num_rows:
-                size += int(offsets[hi] - offsets[lo])
-                ids.extend(r.column(0).slice(lo, hi - lo).to_pylist())
-                columns.append(text.slice(lo, hi - lo))
-                if r.num_columns > 2:
-                    sent.extend(x for s in r.column(2).slice(lo, hi - lo).drop_null().to_pylist() for x in s)
-                lo = hi
-                if size >= BATCH_BYTES:
-                    yield Batch(number, ids, columns, sent)
-                    number, ids, columns, sent, size = number + 1, [], [], [], 0
-    if ids:
-        yield Batch(number, ids, columns, sent)
-
 
 def _ranges(keys: np.ndarray, ranges: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
-SENT = "id long, batch int, range int, blob binary"
+SENT = "slot int, range int, blob binary"
 
 
-def _rows(found: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*found, strict=True)) if found else [[]] * 4
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["id", "batch", "range", "blob"])
+def _rows(found: list[tuple]) -> pa.Table:
+    columns = list(zip(*found, strict=True)) if found else [[]] * 3
+    types = [pa.int32(), pa.int32(), pa.binary()]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["slot", "range", "blob"])
 
 
 def _cut(keys: np.ndarray, ranges: int) -> list[tuple[int, int, int]]:
     """(range, from, to) of sorted keys, ranges without keys left out."""
+    if not len(keys):
+        return []
     own = _ranges(keys, ranges)
-    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
     return [(int(own[a]), int(a), int(b)) for a, b in zip(first, np.append(first[1:], len(own)), strict=True)]
 
 
 def _arrays(length: int, ranges: int):
     """Each batch's distinct anchor keys, sorted, in ranges."""
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _batches(rows):
-            keys = np.unique(Anchors(b.data, b.offsets, length).key)
-            yield _rows([(b.name, b.number, r, pack_sorted(keys[lo:hi])) for r, lo, hi in _cut(keys, ranges)])
+    def run(key, rows):
+        b = Batch(key, rows)
+        keys = np.unique(Anchors(b.data, b.offsets, length).key)
+        return _rows([(b.slot, r, pack_sorted(keys[lo:hi])) for r, lo, hi in _cut(keys, ranges)])
     return run
 
 
@@ -231,7 +204,7 @@ def _meet(key, table):
     both[order[1:][same]] = True
     both[order[:-1][same]] = True
     parts = np.split(both, np.cumsum([len(a) for a in arrays])[:-1])
-    return pa.table({"id": table.column("id"), "batch": table.column("batch"), "range": table.column("range"),
+    return pa.table({"slot": table.column("slot"), "range": table.column("range"),
                      "blob": pa.array([SHARED + pack(np.packbits(p), np.array([len(p)], np.int64)) for p in parts], pa.binary())})
 
 
@@ -281,16 +254,16 @@ def _hash_spans(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
 
 def _surroundings(length: int, ranges: int):
     """Each batch's groups of equal surroundings of shared anchors, by key, in ranges."""
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _batches(rows):
-            s = Shared(b, length)
-            a, out = s.anchors, []
-            for r, lo, hi in _cut(a.key[s.first], ranges):
-                f = s.first[lo:hi]
-                sizes = s.stop[f] - s.start[f]
-                inside = np.arange(sizes.sum()) + np.repeat(s.start[f] - np.cumsum(sizes) + sizes, sizes)
-                out.append((b.name, b.number, r, pack(a.key[f], s.ids[f], a.low[f].astype(np.uint8), a.high[f].astype(np.uint8)) + b"|" + zlib.compress(b.data[inside].tobytes(), 1)))
-            yield _rows(out)
+    def run(key, rows, sent):
+        b = Batch(key, rows, sent)
+        s = Shared(b, length)
+        a, out = s.anchors, []
+        for r, lo, hi in _cut(a.key[s.first], ranges):
+            f = s.first[lo:hi]
+            sizes = s.stop[f] - s.start[f]
+            inside = np.arange(sizes.sum()) + np.repeat(s.start[f] - np.cumsum(sizes) + sizes, sizes)
+            out.append((b.slot, r, pack(a.key[f], s.ids[f], a.low[f].astype(np.uint8), a.high[f].astype(np.uint8), b.data[inside])))
+        return _rows(out)
     return run
 
 
@@ -326,17 +299,10 @@ def _match(length: int):
     def run(key, table):
         """Per batch of a range: for each of its groups the offsets (bits) whose string also starts
         in a document with a smaller id."""
-        arrays, texts = [], []
-        for blob in table.column("blob"):
-            raw = blob.as_py()
-            z = zlib.decompressobj()
-            head = z.decompress(raw)
-            arrays.append(_unpack_raw(head, np.uint64, np.int64, np.uint8, np.uint8))
-            texts.append(zlib.decompress(z.unused_data[1:]))
+        arrays = [unpack(blob.as_py(), np.uint64, np.int64, np.uint8, np.uint8, np.uint8) for blob in table.column("blob")]
         counts = [len(a[0]) for a in arrays]
-        keys, ids, low, high = (np.concatenate(x) for x in zip(*arrays, strict=True))
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        del texts
+        keys, ids, low, high, data = (np.concatenate(x) for x in zip(*arrays, strict=True))
+        del arrays
         sizes = high.astype(np.int64) - low + length
         per = sizes - length + 1  # strings of each group, one per offset
         first = np.cumsum(per) - per
@@ -365,43 +331,40 @@ def _match(length: int):
             np.bitwise_or.at(marks, own[mine[hit]], bit[mine[hit]])
             at = to
         parts = np.split(marks, np.cumsum(counts)[:-1])
-        return pa.table({"id": table.column("id"), "batch": table.column("batch"), "range": table.column("range"),
+        return pa.table({"slot": table.column("slot"), "range": table.column("range"),
                          "blob": pa.array([MARKS + pack(p) for p in parts], pa.binary())})
     return run
 
 
-def _unpack_raw(raw: bytes, *types) -> list[np.ndarray]:
-    return unpack(zlib.compress(raw, 0), *types)
-
-
 def _remove(length: int, keep_text: bool):
     """The final figures (and texts) of every document of a bucket."""
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _batches(rows):
-            marks = [unpack(m, np.uint64)[0] for m in b.marks]
-            s = Shared(b, length)
-            a = s.anchors
-            marks = np.concatenate(marks) if marks else np.zeros(len(s.first), np.uint64)
-            mask = marks[s.group] if len(s.group) else np.zeros(0, np.uint64)
-            # A document that repeats a smaller id's surroundings has all its strings there.
-            copy = s.ids > s.ids[s.first][s.group] if len(s.group) else np.zeros(0, dtype=bool)
-            delta = np.zeros(len(b.data) + 1, np.int32)
-            for back in range(length - PREFIX + 1):
-                on = ((mask >> np.uint64(back)) & np.uint64(1)).astype(bool) | (copy & (a.low <= back) & (back <= a.high))
-                np.add.at(delta, a.at[on] - back, 1)
-                np.add.at(delta, a.at[on] - back + length, -1)
-            gone = np.cumsum(delta[:-1]) > 0
-            total = np.concatenate([[0], np.cumsum(gone)])
-            edge = gone.copy()
-            edge[1:] &= ~gone[:-1]
-            edge[b.offsets[:-1][b.offsets[:-1] < len(gone)]] = gone[b.offsets[:-1][b.offsets[:-1] < len(gone)]]
-            spans = np.concatenate([[0], np.cumsum(edge)])
-            kept = [b.data[lo:hi][~gone[lo:hi]].tobytes() for lo, hi in zip(b.offsets[:-1], b.offsets[1:], strict=True)]
-            columns = [pa.array(kept, pa.binary())] if keep_text else []
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(b.ids), pa.array(np.diff(b.offsets)), pa.array(total[b.offsets[1:]] - total[b.offsets[:-1]]), pa.array(spans[b.offsets[1:]] - spans[b.offsets[:-1]]),
-                 pa.array([hashlib.sha256(k).hexdigest() for k in kept]), *columns],
-                names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][:5 + len(columns)])
+    def run(key, rows, sent):
+        b = Batch(key, rows, sent)
+        marks = [unpack(m, np.uint64)[0] for m in b.marks]
+        s = Shared(b, length)
+        a = s.anchors
+        marks = np.concatenate(marks) if marks else np.zeros(len(s.first), np.uint64)
+        mask = marks[s.group] if len(s.group) else np.zeros(0, np.uint64)
+        # A document that repeats a smaller id's surroundings has all its strings there.
+        copy = s.ids > s.ids[s.first][s.group] if len(s.group) else np.zeros(0, dtype=bool)
+        delta = np.zeros(len(b.data) + 1, np.int32)
+        for back in range(length - PREFIX + 1):
+            on = ((mask >> np.uint64(back)) & np.uint64(1)).astype(bool) | (copy & (a.low <= back) & (back <= a.high))
+            np.add.at(delta, a.at[on] - back, 1)
+            np.add.at(delta, a.at[on] - back + length, -1)
+        gone = np.cumsum(delta[:-1]) > 0
+        total = np.concatenate([[0], np.cumsum(gone)])
+        edge = gone.copy()
+        edge[1:] &= ~gone[:-1]
+        begin = b.offsets[:-1][b.offsets[:-1] < len(gone)]
+        edge[begin] = gone[begin]
+        spans = np.concatenate([[0], np.cumsum(edge)])
+        kept = [b.data[lo:hi][~gone[lo:hi]].tobytes() for lo, hi in zip(b.offsets[:-1], b.offsets[1:], strict=True)]
+        columns = [pa.array(kept, pa.binary())] if keep_text else []
+        return pa.Table.from_arrays(
+            [pa.array(b.ids), pa.array(np.diff(b.offsets)), pa.array(total[b.offsets[1:]] - total[b.offsets[:-1]]), pa.array(spans[b.offsets[1:]] - spans[b.offsets[:-1]]),
+             pa.array([hashlib.sha256(k).hexdigest() for k in kept]), *columns],
+            names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][:5 + len(columns)])
     return run
 
 
@@ -414,34 +377,21 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     named = docs.where(F.col("id").isNotNull())
     size = named.agg(F.sum(F.octet_length("text")).alias("n")).head()["n"] or 0
-    buckets, ranges = max(1, -(-size // BUCKET_BYTES)), max(1, -(-size // RANGE_BYTES))
+    slots, ranges = max(1, -(-size // BATCH_BYTES)), max(1, -(-size // RANGE_BYTES))
+    buckets = max(1, -(-size // BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"eventflow_suffix_{uuid.uuid4().hex}"
-    (named.withColumn("tie", F.xxhash64("text")).repartition(buckets, "id").write.bucketBy(buckets, "id").sortBy("id", "tie")
+    slot = F.pmod(F.xxhash64("id"), F.lit(slots)).cast("int")
+    (named.withColumns({"slot": slot, "tie": F.xxhash64("text")}).repartition(buckets, "slot").write.bucketBy(buckets, "slot").sortBy("slot")
      .option("path", f"{tables.root}/docs").option("compression", "zstd").saveAsTable(name))
-    kept = spark.table(name)
-
-    def scan(sent: DataFrame | None) -> DataFrame:
-        """The bucketed files, a bucket a task, in order of ids, with what was sent to the batches
-        that start there."""
-        if sent is None:
-            return kept.sortWithinPartitions("id", "tie").select("id", "text")
-        gathered = sent.groupBy("id").agg(F.collect_list(F.struct("batch", "range", "blob")).alias("sent")).hint("merge")
-        return kept.join(gathered, "id", "left").sortWithinPartitions("id", "tie").select("id", "text", "sent")
-
+    batches = spark.table(name).groupBy("slot")
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
     columns = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_text
-    # A bucket is one task in every scan, also where no join asks for it: batches stay the same.
-    auto = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
-    before = spark.conf.get(auto)
-    spark.conf.set(auto, "false")
-    try:
-        arrays = scan(None).mapInArrow(_arrays(length, ranges), SENT)
-        shared = tables.put(arrays.groupBy("range").applyInArrow(_meet, SENT), "shared")
-        around = scan(shared).mapInArrow(_surroundings(length, ranges), SENT)
-        marks = tables.put(around.groupBy("range").applyInArrow(_match(length), SENT), "marks")
-        done = tables.put(scan(shared.unionByName(marks)).mapInArrow(_remove(length, keep_text), schema).select(*columns), "done")
-    finally:
-        spark.conf.set(auto, before)
+
+    arrays = batches.applyInArrow(_arrays(length, ranges), SENT)
+    shared = tables.put(arrays.groupBy("range").applyInArrow(_meet, SENT), "shared")
+    around = batches.cogroup(shared.groupBy("slot")).applyInArrow(_surroundings(length, ranges), SENT)
+    marks = tables.put(around.groupBy("range").applyInArrow(_match(length), SENT), "marks")
+    done = tables.put(batches.cogroup(shared.unionByName(marks).groupBy("slot")).applyInArrow(_remove(length, keep_text), schema), "done")
     spark.sql(f"DROP TABLE {name}")
     rest = docs.where(F.col("id").isNull()).select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
                                                    F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.encode("text", "UTF-8").alias("kept"))
