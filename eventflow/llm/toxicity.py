@@ -2,10 +2,12 @@
 
 A text is folded (case, look-alike letters of other scripts, digits and signs standing in for
 letters inside a word), scanned once by an Aho-Corasick automaton of whole words and word stems,
-hits inside exception phrases are set aside, and the weighted hits, as they are and per word of
-text, give a score through a two-feature logistic curve.
+and hits inside exception phrases are set aside. Each entry has a weight for its first hit and one
+for being hit again (a word beginning that also occurs in harmless words says little once). The
+entries' weights, the number of hits, and the hits per word of text give the score through a
+logistic curve.
 
-The lexicon's terms and weights are learnt from labelled rows. Corner cases: null and empty texts
+The lexicon's entries, weights and curve are learnt from labelled rows. Corner cases: null and empty texts
 have no hit and get the curve's value for no hit; a null ``doc_id`` is scored like any row and is
 never held out; repeated rows are scored each; with no toxic training row the lexicon is the
 built-in one.
@@ -28,13 +30,14 @@ from eventflow.llm.textscan import Words, chunks, mix, text_buffers
 
 # Labelled rows that a lexicon is learnt from, at most (those with the smallest id hashes).
 MAX_TRAINING_ROWS = 20_000
-# A learnt term is in this share of the toxic training texts at least, and this exact.
-MIN_SHARE, MIN_PRECISION = 0.03, 0.9
+# A learnt entry is in this share of the toxic training texts at least; of the training texts that
+# hold it (or hold it again) this share is toxic.
+MIN_SHARE, MIN_PRECISION, MIN_PRECISION_AGAIN = 0.02, 0.9, 0.75
 THRESHOLD = 0.3
 MIN_STEM, MAX_STEM = 4, 12
 
-DEFAULT_TERMS = {"idiot": 4.0, "moron": 4.0, "stupid": 3.0, "scum": 4.0, "loser": 3.0, "worthless": 3.0,
-                 "pathetic": 3.0, "disgusting": 3.0, "trash": 2.0, "clown": 2.0}
+DEFAULT_TERMS = {"idiot": (4.0, 1.0), "moron": (4.0, 1.0), "stupid": (3.0, 1.0), "scum": (4.0, 1.0), "loser": (3.0, 1.0), "worthless": (3.0, 1.0),
+                 "pathetic": (3.0, 1.0), "disgusting": (3.0, 1.0), "trash": (2.0, 1.0), "clown": (2.0, 1.0)}
 DEFAULT_EXCEPTIONS = ("trash can", "trash bin", "clown fish", "recycle trash", "sore loser")
 
 # Letters of other scripts that look like a Latin letter.
@@ -75,13 +78,14 @@ def fold(text: str) -> str:
 
 @dataclass
 class Lexicon:
-    """``terms``: folded word -> weight; ``stems``: folded word beginning -> weight; ``exceptions``:
-    phrases whose inside does not count; ``curve``: (bias, per log hit weight, per log hit density)."""
+    """``terms``: folded word -> (weight of the first hit, of further ones); ``stems``: the same for
+    beginnings of words; ``exceptions``: phrases whose inside does not count; ``curve``: (bias, per
+    weight, per log hits, per log hits in 100 words)."""
 
-    terms: dict[str, float] = field(default_factory=lambda: dict(DEFAULT_TERMS))
-    stems: dict[str, float] = field(default_factory=dict)
+    terms: dict[str, tuple[float, float]] = field(default_factory=lambda: dict(DEFAULT_TERMS))
+    stems: dict[str, tuple[float, float]] = field(default_factory=dict)
     exceptions: tuple[str, ...] = DEFAULT_EXCEPTIONS
-    curve: tuple[float, float, float] = (-4.0, 2.0, 1.0)
+    curve: tuple[float, float, float, float] = (-4.0, 1.0, 0.5, 0.5)
 
     def matcher(self) -> Matcher:
         return Matcher(self)
@@ -94,58 +98,62 @@ class Matcher:
         self.curve = lexicon.curve
         self.automaton = ahocorasick.Automaton()
         entries: dict[str, list] = {}
-        for term, weight in lexicon.terms.items():
-            entries.setdefault(term, []).append(("word", len(term), weight))
-        for stem, weight in lexicon.stems.items():
-            entries.setdefault(stem, []).append(("stem", len(stem), weight))
+        self.weights = []
+        for kind, words in (("word", lexicon.terms), ("stem", lexicon.stems)):
+            for word, weights in words.items():
+                entries.setdefault(word, []).append((kind, len(word), len(self.weights)))
+                self.weights.append(weights)
         for phrase in lexicon.exceptions:
-            entries.setdefault(fold(phrase), []).append(("except", len(fold(phrase)), 0.0))
+            entries.setdefault(fold(phrase), []).append(("except", len(fold(phrase)), -1))
+        entries.pop("", None)
         for text, found in entries.items():
-            if text:
-                self.automaton.add_word(text, tuple(found))
-        self.empty = not any(entries)
+            self.automaton.add_word(text, tuple(found))
+        self.empty = not entries
         if not self.empty:
             self.automaton.make_automaton()
 
-    def hits(self, text: str) -> list[tuple[int, int, float]]:
-        """(start, end, weight) of every counted hit in the folded text."""
+    def hits(self, text: str) -> list[tuple[int, int, int]]:
+        """(start, end, entry) of every counted hit in the folded text."""
         if self.empty or not text:
             return []
         folded = fold(text)
         n, found, masked = len(folded), [], []
         for last, entries in self.automaton.iter(folded):
-            for kind, length, weight in entries:
+            for kind, length, entry in entries:
                 lo, hi = last + 1 - length, last + 1
                 if lo and folded[lo - 1].isalpha():
                     continue
                 if kind != "stem" and hi < n and folded[hi].isalpha():
                     continue
-                (masked if kind == "except" else found).append((lo, hi, weight))
+                (masked if kind == "except" else found).append((lo, hi, entry))
         if masked:
             found = [h for h in found if not any(lo <= h[0] and h[1] <= hi for lo, hi, _ in masked)]
         return found
 
-    def features(self, text: str | None) -> tuple[float, float]:
+    def features(self, text: str | None) -> tuple[float, float, float]:
         found = self.hits(text or "")
         if not found:
-            return 0.0, 0.0
-        total = sum(w for _, _, w in found)
+            return 0.0, 0.0, 0.0
+        weight = 0.0
+        for entry, n in Counter(h[2] for h in found).items():
+            first, again = self.weights[entry]
+            weight += first + (again if n > 1 else 0.0)
         words = text.count(" ") + text.count("\n") + 1
-        return math.log1p(total), math.log1p(100.0 * total / (words + 20))
+        return weight, math.log1p(len(found)), math.log1p(100.0 * len(found) / (words + 20))
 
     def score(self, text: str | None) -> float:
-        a, b = self.features(text)
-        z = self.curve[0] + self.curve[1] * a + self.curve[2] * b
+        z = self.curve[0] + sum(c * x for c, x in zip(self.curve[1:], self.features(text), strict=True))
         return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, z))))
 
 
-def candidates(text: str) -> set[str]:
-    """Word beginnings and whole words (marked by a final ``$``) of a folded text."""
-    out = set()
-    for w in set(_WORD.findall(fold(text))):
+def candidates(text: str) -> Counter:
+    """How often each word beginning and whole word (marked by a final ``$``) is in a folded text."""
+    out: Counter = Counter()
+    for w, n in Counter(_WORD.findall(fold(text))).items():
         if len(w) >= 3:
-            out.add(w + "$")
-        out.update(w[:k] for k in range(MIN_STEM, min(len(w), MAX_STEM) + 1))
+            out[w + "$"] += n
+        for k in range(MIN_STEM, min(len(w), MAX_STEM) + 1):
+            out[w[:k]] += n
     return out
 
 
@@ -162,26 +170,32 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["text", "toxic", "copy_a", "copy_b"])
 
 
+_COUNTS = ("toxic", "clean", "toxic_again", "clean_again")
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        toxic, clean = Counter(), Counter()
+        counts = {c: Counter() for c in _COUNTS}
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            (toxic if label else clean).update(candidates(text or ""))
-        terms = list(toxic.keys() | clean.keys())
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()),
-                                          pa.array([clean[t] for t in terms], pa.int64())], names=["term", "toxic", "clean"])
-
-
-def _longest(kept: dict[str, tuple[int, int]]) -> list[str]:
-    """Of terms that begin alike, the longest one that stands for nearly all occurrences of the
-    shortest; a term is dropped when a chosen one covers it."""
+            kind = "toxic" if label else "clean"
+            found = candidates(text or "")
+            counts[kind].update(found.keys())
+            counts[kind + "_again"].update(t for t, n in found.items() if n > 1)
+        terms = list(counts["toxic"].keys() | counts["clean"].keys())
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([counts[c][t] for t in terms], pa.int64()) for c in _COUNTS)], names=["term", *_COUNTS])
+
+
+def _longest(kept: dict[str, tuple[int, ...]]) -> list[str]:
+    """Of terms that begin alike, the longest one that is as frequent and exact as the shortest; a
+    term is dropped when a chosen one covers it."""
+    worth = {t: max(c[0] * c[0] / (c[0] + c[1]), c[2] * c[2] / max(1, c[2] + c[3])) for t, c in kept.items()}
     chosen = []
-    for term in sorted(kept, key=lambda t: (-kept[t][0], len(t), t)):
+    for term in sorted(kept, key=lambda t: (-worth[t], len(t), t)):
         if any(term.startswith(c.rstrip("$")) or c.startswith(term.rstrip("$")) for c in chosen):
             continue
         best = term
         while True:
-            longer = [t for t in kept if len(t) == len(best) + 1 and t.startswith(best) and kept[t][0] >= 0.97 * kept[best][0]]
+            longer = [t for t in kept if len(t) == len(best) + 1 and t.startswith(best) and worth[t] >= 0.97 * worth[best]]
             if not longer or best.endswith("$"):
                 break
             best = min(longer)
@@ -189,6 +203,14 @@ def _longest(kept: dict[str, tuple[int, int]]) -> list[str]:
     return chosen
 
 
+def _weights(counts: tuple[int, ...], n_toxic: int, n_clean: int) -> tuple[float, float]:
+    """Log odds that a first hit, and being hit again, say for toxic texts."""
+    toxic, clean, toxic_again, clean_again = counts
+    first = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
+    again = math.log((toxic_again + 0.5) / (toxic + 1)) - math.log((clean_again + 0.5) / (clean + 1))
+    return round(min(6.0, max(0.0, first)), 4), round(min(6.0, max(0.0, again)), 4)
+
+
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           exceptions: Iterable[str] = DEFAULT_EXCEPTIONS, max_rows: int = MAX_TRAINING_ROWS) -> Lexicon:
     """A lexicon learnt from at most ``max_rows`` labelled rows (smallest id hashes first).
@@ -196,51 +218,52 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     Only ids and labels choose the sample; only texts make features. Copies of one text count once.
     """
     spark = docs.sparkSession
-    sample = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).dropna()
-              .groupBy("id").agg(F.max("toxic").alias("toxic"))
-              .orderBy(F.xxhash64("id"), "id").limit(max_rows))
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).dropna().groupBy("id").agg(F.max("toxic").alias("toxic"))
+    # A hash bound leaves little more than max_rows rows before the exact limit.
+    share = min(1.0, 1.2 * max_rows / max(1, known.count()) + 1e-9)
+    place = F.pmod(F.xxhash64("id"), F.lit(2**40))
+    sample = known.where(place <= int(share * 2**40)).orderBy(place, "id").limit(max_rows)
     # At most max_rows rows of two integers: small enough to send to every task.
     rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
             .join(F.broadcast(sample), "id").select("text", "toxic"))
     sketched = rows.mapInArrow(_sketch, "text string, toxic int, copy_a long, copy_b long")
-    rows = (sketched.orderBy("copy_a", "text").dropDuplicates(["copy_a"]).dropDuplicates(["copy_b"]).select("text", "toxic")).persist()
+    for copy in ("copy_a", "copy_b"):  # one text, always the same, of those that share a min-hash
+        sketched = sketched.groupBy(copy).agg(F.min(F.struct("text", "toxic", "copy_a", "copy_b")).alias("one")).select("one.*")
+    rows = sketched.select("text", "toxic").persist()
     try:
         sizes = {r["toxic"]: r["n"] for r in rows.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
         n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
         if not n_toxic:
             return Lexicon(exceptions=tuple(exceptions))
         least = max(3, math.ceil(MIN_SHARE * n_toxic))
-        counts = (rows.mapInArrow(_count, "term string, toxic long, clean long").groupBy("term")
-                  .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-                  .where((F.col("toxic") >= least) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean")))))
+        counts = rows.mapInArrow(_count, "term string, " + ", ".join(f"{c} long" for c in _COUNTS)).groupBy("term").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+        exact = (F.col("toxic") >= least) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean")))
+        again = (F.col("toxic_again") >= least) & (F.col("toxic_again") >= MIN_PRECISION_AGAIN * (F.col("toxic_again") + F.col("clean_again")))
         # Each training text has a bounded number of distinct words, so at most that over MIN_SHARE terms return.
-        kept = {r["term"]: (r["toxic"], r["clean"]) for r in counts.collect()}
+        kept = {r["term"]: tuple(r[c] for c in _COUNTS) for r in counts.where(exact | again).collect()}
         lexicon = Lexicon(terms={}, exceptions=tuple(exceptions))
         for t in _longest(kept):
-            a, b = kept[t]
-            weight = min(6.0, max(0.5, math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_clean + 1))))
-            (lexicon.terms if t.endswith("$") else lexicon.stems)[t.rstrip("$")] = round(weight, 4)
-        lexicon.terms = {t: lexicon.terms.get(t, w) for t, w in (DEFAULT_TERMS | lexicon.terms).items()}
+            (lexicon.terms if t.endswith("$") else lexicon.stems)[t.rstrip("$")] = _weights(kept[t], n_toxic, n_clean)
+        lexicon.terms = DEFAULT_TERMS | lexicon.terms
         lexicon.curve = _fit(rows, spark.sparkContext.broadcast(lexicon))
         return lexicon
     finally:
         rows.unpersist()
 
 
-def _fit(rows: DataFrame, shared) -> tuple[float, float, float]:
-    """The logistic curve over the two features, from the training rows' features (bounded)."""
+def _fit(rows: DataFrame, shared) -> tuple[float, ...]:
+    """The logistic curve over the features, from the training rows' features (bounded)."""
     def features(batches):
         matcher = shared.value.matcher()
         for batch in batches:
             got = [matcher.features(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.float64()), batch.column("toxic")],
-                                             names=["a", "b", "toxic"])
+            yield pa.RecordBatch.from_arrays([*(pa.array([g[k] for g in got], pa.float64()) for k in range(3)), batch.column("toxic")], names=["a", "b", "c", "toxic"])
 
-    got = rows.mapInArrow(features, "a double, b double, toxic int").toArrow()
-    x = np.column_stack([np.ones(len(got)), got["a"].to_numpy(), got["b"].to_numpy()])
+    got = rows.mapInArrow(features, "a double, b double, c double, toxic int").toArrow()
+    x = np.column_stack([np.ones(len(got)), *(got[c].to_numpy() for c in "abc")])
     y = (got["toxic"].to_numpy() > 0).astype(float)
-    w = np.zeros(3)
-    ridge = np.diag([0.01, 0.1, 0.1])
+    w = np.zeros(4)
+    ridge = np.diag([0.01, 0.1, 0.1, 0.1])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
