@@ -21,8 +21,8 @@ def poly_hash(text: Column | str, seed: int = DEFAULT_SEED, bits: int = DEFAULT_
     """Offset in a 2^bits bitmap for each string; runs JVM-side as a higher-order function."""
     if bits <= 0:
         bits = FALLBACK_BITS
-    if bits > 62:
-        raise ValueError("bits must be <= 62")
+    if bits > 56:  # seed * 2**bits must stay a positive long
+        raise ValueError("bits must be <= 56")
     mask = (1 << bits) - 1
     text = F.col(text) if isinstance(text, str) else text
     chars = F.split(text, "")

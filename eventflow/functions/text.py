@@ -24,7 +24,6 @@ MSG_LOGIN_CONSECUTIVE = "Login fails in {seconds} seconds"
 MSG_LOGIN_PATTERN = "login fail"
 # Marketing channels and behaviours of the simulated source, and the total labels.
 CHANNELS = ("Play Store", "AppStore")
-BEHAVIORS = ("CLICK", "DOWNLOAD", "INSTALL", "UNINSTALL")
 TOTAL_CHANNEL, TOTAL_BEHAVIOR = "app", "total"
 # ------------------------------------------------------------------------------------
 

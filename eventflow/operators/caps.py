@@ -39,11 +39,10 @@ def click_cap(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), ts: str
     return d.withColumn("verdict", verdict).withColumn("msg", msg)
 
 
-def split_outputs(df: DataFrame, col: str = "verdict") -> dict[str, DataFrame]:
-    """Side outputs (SNK4): one lazily filtered DataFrame per tag value seen in ``col``.
-
-    Tags are the fixed verdict names of the operator; no data is collected.
-    """
-    tags = {"pass", "blacklist", "dropped", "matched", "unmatched_pay", "unmatched_receipt",
-            "paid", "timeout", "success"}
-    return {t: df.filter(F.col(col) == t) for t in sorted(tags)}
+def split_outputs(df: DataFrame, tags: Sequence[str], col: str = "verdict", rest: str | None = None) -> dict[str, DataFrame]:
+    """Side outputs (SNK4): one lazily filtered DataFrame per tag of ``tags``; with ``rest`` also one
+    under that name for the rows of any other tag, null included. No data is collected."""
+    out = {t: df.filter(F.col(col) == t) for t in tags}
+    if rest is not None:
+        out[rest] = df.filter(~F.coalesce(F.col(col).isin(*tags), F.lit(False)))
+    return out

@@ -1,38 +1,18 @@
-"""Joins: size-checked lookup, interval join (JN1) and two-stream reconciliation (JN2)."""
+"""Joins: lookup, interval join (JN1) and two-stream reconciliation (JN2)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventflow.functions.time import duration_ms, interval_lit
 
-# Broadcast a lookup side only when it has at most this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-_FITS: dict[tuple[int, int, int], bool] = {}
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Cheap bounded check: counts at most ``max_rows + 1`` rows of the candidate side.
-    The answer is remembered per session and plan (same dimension, same answer)."""
-    key = (id(df.sparkSession._jsparkSession), df.semanticHash(), max_rows)
-    if key not in _FITS:
-        if len(_FITS) > 1024:
-            _FITS.clear()
-        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _FITS[key]
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a fact stream to a dimension; broadcast the dimension only behind a row-count check,
-    otherwise a shuffle join (AQE may still convert it at runtime from real sizes)."""
-    if not fact.isStreaming and fits_broadcast(dim, max_rows):
-        return fact.join(F.broadcast(dim), on, how)
+def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a fact stream to a dimension. No hint: Spark broadcasts the dimension by its size in
+    bytes (``spark.sql.autoBroadcastJoinThreshold``, and AQE from what a stage really wrote)."""
     return fact.join(dim, on, how)
 
 
@@ -46,15 +26,61 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
                   lower, upper, how: str = "inner", left_prefix: str = "l_", right_prefix: str = "r_") -> DataFrame:
     """Rows pairs with equal ``key`` and ``right.ts`` in ``[left.ts + lower, left.ts + upper]`` (both ends inclusive).
 
-    Planned as an equi-join on ``key`` with a range residual; on streams, give both sides a
-    watermark and Spark evicts state by the same bound. Columns are prefixed per side.
+    Batch: an equi-join on (key, time bucket). A bucket is as wide as the interval; a right row is
+    in its own bucket and a left row in the one or two that its interval touches, so each pair
+    meets once and a hot key's rows meet only those near them in time. The rows of an outer or anti
+    join that have no partner come from a scan over (key, bucket) for the nearest partner, so they
+    are decided after all buckets. Streams: an equi-join on ``key`` with the range as a residual;
+    give both sides a watermark and Spark evicts state by the same bound. Columns are prefixed per
+    side; rows with a null key or time have no partner.
     """
     lo, hi = _signed_ms(lower), _signed_ms(upper)
     l = left.select([F.col(c).alias(left_prefix + c) for c in left.columns])
     r = right.select([F.col(c).alias(right_prefix + c) for c in right.columns])
-    lt, rt = F.col(left_prefix + left_ts), F.col(right_prefix + right_ts)
-    cond = (F.col(left_prefix + key) == F.col(right_prefix + key)) & _range_cond(lt, rt, lo, hi)
-    return l.join(r, cond, how)
+    lk, rk, lt, rt = left_prefix + key, right_prefix + key, left_prefix + left_ts, right_prefix + right_ts
+    if left.isStreaming or right.isStreaming:
+        return l.join(r, (F.col(lk) == F.col(rk)) & _range_cond(F.col(lt), F.col(rt), lo, hi), how)
+    if how not in ("inner", "left_outer", "right_outer", "full_outer", "left_anti"):
+        raise ValueError(f"how must be inner, left_outer, right_outer, full_outer or left_anti, not {how}")
+    if hi < lo:
+        raise ValueError("upper is below lower")
+    if how == "left_anti":
+        return _without_partner(l, lk, lt, r, rk, rt, lo, hi)
+    width = (hi - lo) * 1000 + 1
+    near = l.select("*", F.explode(F.array_distinct(F.array(_bucket(lt, lo, width), _bucket(lt, hi, width)))).alias("_lb"))
+    far = r.select("*", _bucket(rt, 0, width).alias("_rb"))
+    cond = (F.col(lk) == F.col(rk)) & (F.col("_lb") == F.col("_rb")) & _range_cond(F.col(lt), F.col(rt), lo, hi)
+    out = near.join(far, cond, "inner").drop("_lb", "_rb")
+    if how in ("left_outer", "full_outer"):
+        out = out.unionByName(_without_partner(l, lk, lt, r, rk, rt, lo, hi), allowMissingColumns=True)
+    if how in ("right_outer", "full_outer"):
+        out = out.unionByName(_without_partner(r, rk, rt, l, lk, lt, -hi, -lo), allowMissingColumns=True)
+    return out
+
+
+def _bucket(ts: str, shift_ms: int, width_us: int):
+    at = F.unix_micros(F.col(ts).cast("timestamp")) + F.lit(shift_ms * 1000)
+    return ((at - F.pmod(at, F.lit(width_us))) / F.lit(width_us)).cast("long")
+
+
+def _without_partner(l: DataFrame, lk: str, lt: str, r: DataFrame, rk: str, rt: str, lo: int, hi: int) -> DataFrame:
+    """Rows of ``l`` with no row of ``r`` of the same key at ``lt + lo`` to ``lt + hi``.
+
+    Both sides go to (key, bucket) with buckets as wide as the interval: a left row to the bucket of
+    its interval's start, a right row to its own and the one before; there the first right time at
+    or after the start is a running value of a descending scan."""
+    width = (hi - lo) * 1000 + 1
+    start = F.unix_micros(F.col(lt).cast("timestamp")) + F.lit(lo * 1000)
+    mine = l.select(F.col(lk).alias("_k"), start.alias("_t"), _bucket(lt, lo, width).alias("_b"), F.lit(1).alias("_side"), F.struct(*l.columns).alias("_row"))
+    b = _bucket(rt, 0, width)
+    theirs = (r.where(F.col(rk).isNotNull() & F.col(rt).isNotNull())
+              .select(F.col(rk).alias("_k"), F.unix_micros(F.col(rt).cast("timestamp")).alias("_t"), F.explode(F.array(b, b - 1)).alias("_b"),
+                      F.lit(0).alias("_side"), F.lit(None).cast(mine.schema["_row"].dataType).alias("_row")).distinct())
+    w = Window.partitionBy("_k", "_b").orderBy(F.desc("_t"), "_side").rowsBetween(Window.unboundedPreceding, -1)
+    found = F.last(F.when(F.col("_side") == 0, F.col("_t")), ignorenulls=True).over(w)
+    seen = mine.unionByName(theirs).withColumn("_next", found).where(F.col("_side") == 1)
+    has = F.col("_k").isNotNull() & (F.col("_next") <= F.col("_t") + F.lit((hi - lo) * 1000))
+    return seen.where(~F.coalesce(has, F.lit(False))).select("_row.*")
 
 
 def _signed_ms(spec) -> int:
@@ -73,11 +99,10 @@ def reconcile(pays: DataFrame, receipts: DataFrame, key: str = "tx_id", ts: str
     prefixed columns of both sides (``pay_*``, ``receipt_*``), null on the missing side.
     Pays and receipts with an empty key never match (FLT3).
 
-    Batch: the union of an inner interval join (every matching pair) and two anti joins
-    with the same condition (pays / receipts without a partner). All three hash both sides
-    on the key, so each side's shuffle is shared, and AQE can split a hot key in every one
-    of them (it cannot in a full outer join). Streams: one full-outer interval join, which
-    Spark evicts by watermark and which emits the unmatched rows after their wait.
+    Batch: the inner interval join by (key, time bucket), and the pays and receipts without a
+    partner from scans over the same kind of buckets (see ``interval_join``). Streams: one
+    full-outer interval join, which Spark evicts by watermark and which emits the unmatched rows
+    after their wait.
     """
     p = pays.filter(F.col(key) != "")
     r = receipts.filter(F.col(key) != "")

@@ -11,8 +11,8 @@ a key's whole history (the reference keeps it in keyed state): rows are partitio
 by (key, time bucket), each bucket is scanned locally, and what a bucket needs from
 its past (last events, running max, the open segment's OR) comes from one summary
 row per earlier bucket, ordered per key - a segmented scan. Q13 then resolves each
-burst segment (fails at most ``window`` apart, no success between): short ones with an
-array fold in the JVM, long ones with a linear vectorised greedy scan.
+burst segment (fails at most ``window`` apart, no success between) by a streaming scan
+in window jumps. Joins that carry state are null-safe: null keys are one key.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from eventflow.functions.text import (MSG_LOGIN_BURST, MSG_LOGIN_CONSECUTIVE, MSG_LOGIN_PATTERN,
                                       MSG_ORDER_PAID, MSG_ORDER_TIMEOUT, seconds_text)
 from eventflow.functions.time import duration_ms
-from eventflow.operators.sequences import next_within, previous_within
+from eventflow.operators.sequences import left_null_safe, next_within, previous_within
 
 
 def _ms(c: str) -> Column:
@@ -67,80 +67,84 @@ def login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts", type_c
 
     Plan: a fail starts a segment when the event before it (looked up within the
     window, time-bucketed) is not a fail - a success, or nothing within the window.
-    Greedy windows never span a segment boundary, so each segment is folded on its
-    own. The segment id (its first fail) is the latest start at or before the row: a
-    running max inside (key, time bucket) plus the max carried from earlier buckets.
+    Greedy windows never span a segment boundary, so each segment is resolved on its
+    own. The segment id (time and tie-break of its first fail) is the latest start at or
+    before the row: a running max inside (key, time bucket) plus the max carried from
+    earlier buckets. Segments are then scanned in order, Arrow batch by Arrow batch, by
+    jumps from window to window; the open window is all that is kept between batches, so a
+    segment of any length takes the same path and bounded memory. Null keys are one key;
+    fails without a time open no window.
     """
     w_ms = duration_ms(window)
     w_us = w_ms * 1000
     b_us = max(duration_ms(bucket), 1) * 1000
     d = previous_within(df, [key], ts, [ts, tiebreak], w_ms, [type_col], inclusive=True)
-    fails = (d.filter(F.col(type_col) == "fail")
+    fails = (d.filter((F.col(type_col) == "fail") & F.col(ts).isNotNull())
               .select(key, tiebreak, _us(ts).alias("_t"),
                       F.coalesce(F.col("prev_" + type_col) != "fail", F.lit(True)).alias("_start")))
-    fails = fails.withColumn("_b", F.floor(F.col("_t") / F.lit(b_us))).repartition(_partitions(df), key, "_b")
+    fails = fails.withColumn("_b", F.floor(F.col("_t") / F.lit(b_us))).repartition(key, "_b")
+    start = F.when(F.col("_start"), F.struct(F.col("_t").alias("t"), F.col(tiebreak).alias("i")))
     run = Window.partitionBy(key, "_b").orderBy("_t", tiebreak).rowsBetween(Window.unboundedPreceding,
                                                                              Window.currentRow)
-    fails = fails.withColumn("_ls", F.max(F.when(F.col("_start"), F.col("_t"))).over(run))
-    starts = fails.groupBy(key, "_b").agg(F.max(F.when(F.col("_start"), F.col("_t"))).alias("_ms"))
+    fails = fails.withColumn("_ls", F.max(start).over(run))
+    starts = fails.groupBy(key, "_b").agg(F.max(start).alias("_ms"))
     carry = starts.select(key, "_b", F.max("_ms").over(
         Window.partitionBy(key).orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)).alias("_cs"))
-    fails = fails.join(carry, [key, "_b"], "left").withColumn("_seg", F.coalesce("_ls", "_cs"))
-    # Short segments (the common case) fold in the JVM; long ones - a key failing without
-    # pause - go to a vectorised greedy scan (O(windows log n), no quadratic array growth).
-    fails = fails.select(key, "_seg", "_t", tiebreak,
-                         F.count(F.lit(1)).over(Window.partitionBy(key, "_seg")).alias("_sn"))
-    long_out = _burst_windows_long(fails.filter(F.col("_sn") > LONG_SEGMENT), key, w_us, max_failed)
-    fails = fails.filter(F.col("_sn") <= LONG_SEGMENT)
-    segs = fails.groupBy(key, "_seg").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_t").alias("t"), F.col(tiebreak).alias("i")))).alias("_ev"))
-    fold = F.expr(f"""
-      aggregate(_ev,
-        named_struct('w', cast(array() as array<struct<s:bigint,e:bigint,n:int>>),
-                     's', cast(null as bigint), 'e', cast(null as bigint), 'n', 0),
-        (acc, x) -> if(acc.s is not null and x.t <= acc.s + {w_us},
-                       named_struct('w', acc.w, 's', acc.s, 'e', x.t, 'n', acc.n + 1),
-                       named_struct('w', if(acc.s is null, acc.w,
-                                            concat(acc.w, array(named_struct('s', acc.s, 'e', acc.e, 'n', acc.n)))),
-                                    's', x.t, 'e', x.t, 'n', 1)),
-        acc -> if(acc.s is null, acc.w, concat(acc.w, array(named_struct('s', acc.s, 'e', acc.e, 'n', acc.n)))))
-    """)
-    wins = segs.select(key, F.explode(fold).alias("_w")).filter(F.col("_w.n") >= max_failed)
-    wins = wins.select(key, F.col("_w.s").alias("_s"), F.col("_w.e").alias("_e"), F.col("_w.n").alias("_n"))
-    wins = wins.unionByName(long_out)
+    fails = left_null_safe(fails, carry, [key, "_b"]).withColumn("_seg", F.coalesce("_ls", "_cs"))
+    rows = fails.select(F.col(key).alias("_key"), F.col("_seg.t").alias("_st"), F.col("_seg.i").alias("_si"), "_t")
+    rows = rows.repartition("_key", "_st", "_si").sortWithinPartitions("_key", "_st", "_si", "_t")
+    key_type = dict(df.dtypes)[key]
+    wins = rows.mapInPandas(_greedy_windows(w_us, max_failed), f"_key {key_type}, _s long, _e long, _n int")
     secs = seconds_text(w_ms)
     msg = F.concat(F.lit(MSG_LOGIN_BURST.split("{count}")[0].format(seconds=secs)),
                    F.col("_n").cast("string"), F.lit(MSG_LOGIN_BURST.split("{count}")[1]))
-    return wins.select(key, F.floor(F.col("_s") / 1000).cast("long").alias("first_fail"),
+    return wins.select(F.col("_key").alias(key), F.floor(F.col("_s") / 1000).cast("long").alias("first_fail"),
                        F.floor(F.col("_e") / 1000).cast("long").alias("last_fail"), msg.alias("msg"))
 
 
-# Segments longer than this are scanned by ``_burst_windows_long`` instead of the array fold.
-LONG_SEGMENT = 64
-
-
-def _burst_windows_long(fails: DataFrame, key: str, w_us: int, max_failed: int) -> DataFrame:
-    """Greedy burst windows of long segments, one segment per pandas group (Arrow batches):
-    jump from each window start to the first fail after start + window with ``searchsorted``."""
-    import numpy as np
-    import pandas as pd
-
-    key_type = dict(fails.dtypes)[key]
-
-    def windows(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["_t"].to_numpy(dtype="int64"))
-        out_s, out_e, out_n = [], [], []
-        i, n = 0, len(t)
-        while i < n:
-            j = int(np.searchsorted(t, t[i] + w_us, side="right"))
-            if j - i >= max_failed:
-                out_s.append(t[i]); out_e.append(t[j - 1]); out_n.append(j - i)
-            i = j
-        k = pdf[key].iloc[0] if n else None
-        return pd.DataFrame({key: [k] * len(out_s), "_s": out_s, "_e": out_e, "_n": out_n})
-
-    return fails.groupBy(key, "_seg").applyInPandas(
-        windows, f"{key} {key_type}, _s long, _e long, _n int")
+def _greedy_windows(w_us: int, max_failed: int):
+    """Greedy windows of segments that arrive sorted by (segment, time), over batches of any cut."""
+    def scan(batches):
+        import numpy as np
+        import pandas as pd
+
+        segment, opened = None, None  # the segment being read; its open window [key, start, end, count]
+
+        def same(a, b):
+            return all(x == y or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
+
+        for pdf in batches:
+            out = []
+
+            def close():
+                if opened is not None and opened[3] >= max_failed:
+                    out.append(tuple(opened))
+
+            t = pdf["_t"].to_numpy("int64")
+            ids = pdf[["_key", "_st", "_si"]]
+            moved = ((ids != ids.shift()) & ~(ids.isna() & ids.shift().isna())).any(axis=1).to_numpy()
+            cuts = [0, *(np.flatnonzero(moved[1:]) + 1).tolist(), len(t)] if len(t) else [0]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                own = tuple(ids.iloc[lo])
+                i = lo
+                if segment is None or not same(segment, own):
+                    close()
+                    segment, opened = own, None
+                while i < hi:
+                    if opened is None:
+                        opened = [own[0], int(t[i]), int(t[i]), 0]
+                    j = i + int(np.searchsorted(t[i:hi], opened[1] + w_us, side="right"))
+                    if j > i:
+                        opened[2], opened[3] = int(t[j - 1]), opened[3] + j - i
+                    if j < hi:
+                        close()
+                        opened = None
+                    i = j
+            if out:
+                yield pd.DataFrame(out, columns=["_key", "_s", "_e", "_n"]).astype({"_key": pdf["_key"].dtype})
+        if opened is not None and opened[3] >= max_failed:
+            yield pd.DataFrame([tuple(opened)], columns=["_key", "_s", "_e", "_n"])
+    return scan
 
 
 # --------------------------------------------------------------------- relaxed "A followedBy B"
@@ -193,7 +197,7 @@ def order_deadline_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts",
     home = F.floor(F.col("_t") / F.lit(b_us))
     d = d.select("*", home.alias("_home"),
                  F.explode(F.when(is_c, F.array(home, home + 1)).otherwise(F.array(home))).alias("_b"))
-    d = d.withColumn("_own", F.col("_b") == F.col("_home")).repartition(_partitions(df), key, "_b")
+    d = d.withColumn("_own", F.col("_b") == F.col("_home")).repartition(key, "_b")
     own_pay = F.col("_own") & (F.col(type_col) == pay)
     before = (Window.partitionBy(key, "_b").orderBy("_t", "_r", tiebreak)
                     .rowsBetween(Window.unboundedPreceding, -1))
@@ -212,7 +216,7 @@ def order_deadline_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts",
     carry = summ.select(key, "_b",
                         F.max("_mc").over(kb.rangeBetween(Window.unboundedPreceding, -2)).alias("_cc"),
                         F.max("_mp").over(kb.rangeBetween(Window.unboundedPreceding, -1)).alias("_cp"))
-    c = own.filter(is_c).join(carry, [key, "_b"], "left")
+    c = left_null_safe(own.filter(is_c), carry, [key, "_b"])
     last_pay = F.greatest("_lp", "_cp")
     last_exp = F.greatest("_lc", "_cc") + F.lit(h_us)
     absorbed = last_pay.isNotNull() & (last_exp.isNull() | (last_pay > last_exp))
@@ -251,7 +255,7 @@ def pay_event_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type
     d = (df.filter(F.col(type_col).isin(create, pay))
            .select(key, type_col, tiebreak, _us(ts).alias("_t"), _type_rank(type_col, create).alias("_r")))
     d = d.withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
-    d = d.repartition(_partitions(df), key, "_b")
+    d = d.repartition(key, "_b")
     local = Window.partitionBy(key, "_b").orderBy("_t", "_r", tiebreak)
     back = Window.partitionBy(key, "_b").orderBy(F.col("_t").desc(), F.col("_r").desc(), F.col(tiebreak).desc())
     d = d.withColumns({"_i": F.row_number().over(local), "_j": F.row_number().over(back),
@@ -267,7 +271,7 @@ def pay_event_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type
     carry = summ.select(
         key, "_b", F.lag("_e1").over(kb).alias("_c1"), F.lag("_e1t").over(kb).alias("_c1t"),
         F.when(F.lag("_n").over(kb) >= 2, F.lag("_e2").over(kb)).otherwise(F.lag("_e1", 2).over(kb)).alias("_c2"))
-    d = d.join(carry, [key, "_b"], "left")
+    d = left_null_safe(d, carry, [key, "_b"])
     p1 = F.when(F.col("_i") == 1, F.col("_c1")).otherwise(F.col("_l1"))
     p1t = F.when(F.col("_i") == 1, F.col("_c1t")).otherwise(F.col("_l1t"))
     p2 = (F.when(F.col("_i") == 1, F.col("_c2")).when(F.col("_i") == 2, F.col("_c1")).otherwise(F.col("_l2")))
@@ -290,12 +294,8 @@ def pay_event_verdict(df: DataFrame, key: str = "order_id", ts: str = "ts", type
     ok_end = grp.withColumn("_end", F.bool_or("_tail").over(
         Window.partitionBy(key, "_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     carry_or = ok_end.select(key, "_b", F.lag("_end").over(kb).alias("_cin"))
-    p = p.join(carry_or, [key, "_b"], "left")
+    p = left_null_safe(p, carry_or, [key, "_b"])
     ok = F.when(F.col("_seg") == 0, F.coalesce(F.col("_cin"), F.lit(False)) | F.col("_or")).otherwise(F.col("_or"))
     return p.select(key, F.floor(F.col("_t") / 1000).cast("long").alias("pay_ts"),
                     F.when(ok, F.lit("success")).otherwise(F.lit("timeout")).alias("verdict"),
                     F.when(ok, F.lit(MSG_ORDER_PAID)).otherwise(F.lit(MSG_ORDER_TIMEOUT)).alias("result_msg"))
-
-
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

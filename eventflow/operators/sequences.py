@@ -31,19 +31,29 @@ def _micros(ts_col: str) -> Column:
     return F.unix_micros(F.col(ts_col).cast("timestamp"))
 
 
+def left_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Left equi-join in which null keys meet null keys; the right side's keys are dropped."""
+    other = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return left.join(other, cond, "left").drop(*[f"_r_{c}" for c in cols])
+
+
 def previous_within(df: DataFrame, keys: Sequence[str], ts_col: str, order: Sequence, horizon_ms: int,
                     cols: Sequence[str], prefix: str = "prev_", inclusive: bool = False) -> DataFrame:
     """Add ``prefix + c`` for each ``c`` in ``cols`` (and ``ts_col``) from the row just before
     in (keys, order), or nulls when that row is ``horizon_ms`` or more older (or absent);
-    with ``inclusive`` a row exactly ``horizon_ms`` older still counts."""
+    with ``inclusive`` a row exactly ``horizon_ms`` older still counts. A row without a time has
+    no neighbour and stays; null keys form one key."""
     h_us = horizon_ms * 1000
     t = _micros(ts_col)
     b = F.floor(t / F.lit(h_us))
-    d = df.select("*", b.alias("_home"), F.explode(F.array(b, b + 1)).alias(_B))
+    d = df.select("*", b.alias("_home"), F.explode(F.when(b.isNull(), F.array(b)).otherwise(F.array(b, b + 1))).alias(_B))
     w = Window.partitionBy(*keys, _B).orderBy(*_cols(order))
     wanted = list(dict.fromkeys([*cols, ts_col]))
     d = d.withColumns({prefix + c: F.lag(c).over(w) for c in wanted})
-    d = d.filter(F.col(_B) == F.col("_home"))
+    d = d.filter(F.col(_B).eqNullSafe(F.col("_home")))
     gap = t - _micros(prefix + ts_col)
     near = (gap <= F.lit(h_us)) if inclusive else (gap < F.lit(h_us))
     d = d.withColumns({prefix + c: F.when(near, F.col(prefix + c)) for c in wanted})
@@ -65,12 +75,12 @@ def next_within(df: DataFrame, keys: Sequence[str], ts_col: str, order: Sequence
     wanted = list(dict.fromkeys([*cols, ts_col]))
     tgt = F.when(is_target, F.struct(*[F.col(c).alias(c) for c in wanted]))
     d = df.select("*", b.alias("_home"), tgt.alias("_tgt"),
-                  F.explode(F.when(is_target, F.array(b, b - 1)).otherwise(F.array(b))).alias(_B))
+                  F.explode(F.when(is_target & b.isNotNull(), F.array(b, b - 1)).otherwise(F.array(b))).alias(_B))
     desc_order = [c.desc() for c in _cols(order)]
     w = (Window.partitionBy(*keys, _B).orderBy(*desc_order)
                .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("_nx", F.last("_tgt", ignorenulls=True).over(w))
-    d = d.filter(F.col(_B) == F.col("_home"))
+    d = d.filter(F.col(_B).eqNullSafe(F.col("_home")))
     near = _micros("_nx." + ts_col) < t + F.lit(h_us)
     d = d.withColumns({prefix + c: F.when(near, F.col("_nx." + c)) for c in wanted})
     return d.drop(_B, "_home", "_tgt", "_nx")
@@ -83,6 +93,7 @@ def bucketed_row_number(df: DataFrame, keys: Sequence, order: Sequence, bucket:
     ``bucket`` must be non-decreasing along ``order`` within a key (a time bucket of the
     first order column). One shuffle of the rows by (keys, bucket); the per-bucket
     counts are partial-aggregated before their (small) shuffle and turned into offsets.
+    Null keys are numbered like any other key, rows with a null bucket come first.
     """
     ks = _cols(keys)
     src = df.withColumn(_B, bucket)
@@ -95,5 +106,5 @@ def bucketed_row_number(df: DataFrame, keys: Sequence, order: Sequence, bucket:
     counts = src.groupBy(*[k.alias(n) for k, n in zip(ks, key_names)], F.col(_B)).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*key_names).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*key_names, _B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    j = local.join(offsets, [*key_names, _B])
+    j = left_null_safe(local, offsets, [*key_names, _B])
     return j.withColumn(out, (F.col("_lrn") + F.col("_off")).cast("long")).drop("_lrn", "_off", _B, *key_names)

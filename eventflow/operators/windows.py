@@ -8,11 +8,11 @@ computed by **pane aggregation** instead of ``window()``'s per-row Expand:
 
 1. partial aggregate per (keys, pane) where a pane is one slide long
    (map-side combine, then one shuffle of pane partials);
-2. count and sum (``method='steps'``, the default for them): each pane is a +c / -c
+2. counts and sums of exact types (``method='steps'``, the default for them): each pane is a +c / -c
    step at its end and one window later; a running sum per (keys, time block) gives
    every window's value and each constant stretch expands straight into its output
    rows - one more shuffle (of pane partials), no aggregation after the explode;
-3. min and max (``method='pane'``): hash-partition the pane partials by (keys, time
+3. everything else (``method='pane'``): hash-partition the pane partials by (keys, time
    block) so the panes of one window mostly sit in one task, explode each pane into
    its window ends, merge map-side, then a final merge per (keys, window_end).
 
@@ -33,8 +33,24 @@ AggSpec = tuple[str, str, str | None]
 
 _PARTIAL = {"count": lambda c: F.count(F.lit(1)) if c is None else F.count(F.col(c)),
             "sum": lambda c: F.sum(F.col(c)), "min": lambda c: F.min(F.col(c)),
-            "max": lambda c: F.max(F.col(c))}
-_MERGE = {"count": lambda c: F.sum(c).cast("long"), "sum": F.sum, "min": F.min, "max": F.max}
+            "max": lambda c: F.max(F.col(c)), "avg": lambda c: F.avg(F.col(c)),
+            "approx_distinct": lambda c: F.approx_count_distinct(F.col(c))}
+# Aggregates as (parts of a pane, merge of each part, value from the merged parts).
+_PANES = {
+    "count": lambda c: ([_PARTIAL["count"](c)], [lambda p: F.sum(p).cast("long")], lambda m: m[0]),
+    "sum": lambda c: ([F.sum(F.col(c))], [F.sum], lambda m: m[0]),
+    "min": lambda c: ([F.min(F.col(c))], [F.min], lambda m: m[0]),
+    "max": lambda c: ([F.max(F.col(c))], [F.max], lambda m: m[0]),
+    "avg": lambda c: ([F.sum(F.col(c)), F.count(F.col(c))], [F.sum, F.sum], lambda m: F.when(m[1] > 0, m[0] / m[1])),
+    "approx_distinct": lambda c: ([F.hll_sketch_agg(F.col(c))], [F.hll_union_agg], lambda m: F.coalesce(F.hll_sketch_estimate(m[0]), F.lit(0))),
+}
+# Sums that a +c / -c running sum gives exactly.
+_EXACT = ("tinyint", "smallint", "int", "bigint")
+
+
+def _exact_sum(df: DataFrame, c: str) -> bool:
+    kind = dict(df.dtypes)[c]
+    return kind in _EXACT or kind.startswith("decimal")
 
 
 def _keys(keys: str | Sequence[str] | None) -> list[str]:
@@ -69,7 +85,8 @@ def sliding_agg(df: DataFrame, keys, ts_col: str, size, slide,
                 method: str = "auto", block_windows: int = 8) -> DataFrame:
     """Sliding window aggregate -> keys..., window_start, window_end, aggs...
 
-    ``method='auto'`` picks ``steps`` for count/sum and ``pane`` otherwise (module docstring);
+    Kinds: count, sum, min, max, avg and approx_distinct (a mergeable sketch). ``method='auto'``
+    picks ``steps`` for counts and sums of exact types and ``pane`` otherwise (module docstring);
     ``method='direct'`` uses Spark's ``window(ts, size, slide)`` (one Expand row per
     window per event) and is kept for comparison and for tiny overlaps.
     """
@@ -80,7 +97,7 @@ def sliding_agg(df: DataFrame, keys, ts_col: str, size, slide,
     if size_ms == slide_ms:
         return tumbling_agg(df, ks, ts_col, size_ms, aggs)
     if method == "auto":
-        method = "steps" if all(k in ("count", "sum") for _, k, _ in aggs) else "pane"
+        method = "steps" if all(k == "count" or k == "sum" and _exact_sum(df, c) for _, k, c in aggs) else "pane"
     if method == "steps":
         return _sliding_steps(df, ks, ts_col, size_ms, slide_ms, aggs, block_windows)
     if method == "direct":
@@ -92,17 +109,16 @@ def sliding_agg(df: DataFrame, keys, ts_col: str, size, slide,
 
     t = _ts_ms(df, ts_col)
     pane_end = (t - F.pmod(t, F.lit(slide_ms)) + F.lit(slide_ms)).alias("_pane_end")
-    partial_names = [f"_p{i}" for i in range(len(aggs))]
-    panes = df.groupBy(*ks, pane_end).agg(
-        *[_PARTIAL[k](c).alias(p) for p, (_, k, c) in zip(partial_names, aggs)])
+    specs = [(n, *_PANES[k](c)) for n, k, c in aggs]
+    parts = [(f"_p{i}_{j}", part, merge) for i, (_, ps, ms, _) in enumerate(specs) for j, (part, merge) in enumerate(zip(ps, ms))]
+    panes = df.groupBy(*ks, pane_end).agg(*[part.alias(name) for name, part, _ in parts])
     block = F.floor(F.col("_pane_end") / F.lit(size_ms * block_windows))
     panes = panes.repartition(_shuffle_partitions(df), *[F.col(k) for k in ks], block)
     ends = F.sequence(F.col("_pane_end"), F.col("_pane_end") + F.lit(size_ms - slide_ms), F.lit(slide_ms))
-    exploded = panes.select(*ks, F.explode(ends).alias("window_end"), *partial_names)
-    merged = exploded.groupBy(*ks, "window_end").agg(
-        *[_MERGE[k](F.col(p)).alias(n) for p, (n, k, _) in zip(partial_names, aggs)])
-    return merged.select(*ks, (F.col("window_end") - F.lit(size_ms)).alias("window_start"),
-                         "window_end", *[n for n, _, _ in aggs])
+    exploded = panes.select(*ks, F.explode(ends).alias("window_end"), *[name for name, _, _ in parts])
+    merged = exploded.groupBy(*ks, "window_end").agg(*[merge(F.col(name)).alias(name) for name, _, merge in parts])
+    values = [value([F.col(f"_p{i}_{j}") for j in range(len(ps))]).alias(n) for i, (n, ps, _, value) in enumerate(specs)]
+    return merged.select(*ks, (F.col("window_end") - F.lit(size_ms)).alias("window_start"), "window_end", *values)
 
 
 def _sliding_steps(df: DataFrame, ks: list[str], ts_col: str, size_ms: int, slide_ms: int,
@@ -121,7 +137,11 @@ def _sliding_steps(df: DataFrame, ks: list[str], ts_col: str, size_ms: int, slid
     t = _ts_ms(df, ts_col)
     pane_end = (t - F.pmod(t, F.lit(slide_ms)) + F.lit(slide_ms)).alias("_p")
     names = [n for n, _, _ in aggs]
-    partial = [F.count(F.lit(1)).alias("_rows")] + [_PARTIAL[k](c).alias(n) for n, k, c in aggs]
+    # A sum's count of values tells a window of nulls (null) from one whose values add up to 0.
+    held = [f"_held{i}" for i, (_, k, _) in enumerate(aggs) if k == "sum"]
+    partial = [F.count(F.lit(1)).alias("_rows")] + [
+        (F.coalesce(_PARTIAL[k](c), F.lit(0)) if k == "sum" else _PARTIAL[k](c)).alias(n) for n, k, c in aggs]
+    partial += [F.count(F.col(c)).alias(f"_held{i}") for i, (_, k, c) in enumerate(aggs) if k == "sum"]
     panes = df.groupBy(*ks, pane_end).agg(*partial)
 
     block_ms = size_ms * block_windows
@@ -131,7 +151,7 @@ def _sliding_steps(df: DataFrame, ks: list[str], ts_col: str, size_ms: int, slid
     # The stage after this exchange emits size/slide rows per change point, far more
     # than it reads: pin the partition count so AQE does not coalesce it to one task.
     routed = routed.repartition(_shuffle_partitions(df), *[F.col(k) for k in ks], F.col("_b"))
-    vals = ["_rows", *names]
+    vals = ["_rows", *names, *held]
     # +c at the pane end, -c one window size later
     sign = F.explode(F.array(F.struct(F.col("_p").alias("x"), F.lit(1).alias("s")),
                              F.struct((F.col("_p") + F.lit(size_ms)).alias("x"), F.lit(-1).alias("s"))))
@@ -148,7 +168,8 @@ def _sliding_steps(df: DataFrame, ks: list[str], ts_col: str, size_ms: int, slid
     hi = F.least(F.col("_nx"), (F.col("_b") + 1) * F.lit(block_ms)) - F.lit(slide_ms)
     live = steps.filter((F.col("_rows") > 0) & F.col("_nx").isNotNull() & (hi >= lo))
     out = live.select(*ks, F.explode(F.sequence(lo, hi, F.lit(slide_ms))).alias("window_end"),
-                      *[(F.col(n).cast("long") if k == "count" else F.col(n)).alias(n) for n, k, _ in aggs])
+                      *[(F.col(n).cast("long") if k == "count" else F.when(F.col(f"_held{i}") > 0, F.col(n))).alias(n)
+                        for i, (n, k, _) in enumerate(aggs)])
     return out.select(*ks, (F.col("window_end") - F.lit(size_ms)).alias("window_start"), "window_end", *names)
 
 

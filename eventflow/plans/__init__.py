@@ -1,13 +1,6 @@
 """The reference's analytics wired to the driver tables; importing registers them."""
 
-from eventflow.plans import hotitems  # noqa: F401
+from eventflow.plans import hotitems, loginfail, market, networkflow, orderpay  # noqa: F401
 from eventflow.plans.registry import ORACLE, QUERIES
 
-for _m in ("networkflow", "market", "loginfail", "orderpay"):
-    try:
-        __import__(f"eventflow.plans.{_m}")
-    except ModuleNotFoundError as e:  # module not written yet
-        if e.name != f"eventflow.plans.{_m}":
-            raise
-
 __all__ = ["QUERIES", "ORACLE"]

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from eventflow.functions.text import TOTAL_BEHAVIOR, TOTAL_CHANNEL
 from eventflow.functions.time import duration_ms, java_timestamp_text
 from eventflow.operators.caps import click_cap
-from eventflow.operators.windows import windowed_count
+from eventflow.operators.windows import sliding_agg, windowed_count
 from eventflow.plans.registry import register
-from eventflow.sources.tables import ad_clicks, marketing_events
+from eventflow.functions.time import as_instant
+from eventflow.sources.tables import ad_clicks, marketing_events, table
 
 
 def marketing_by_channel(events: DataFrame, size="1 hour", slide="10 seconds", ts: str = "ts") -> DataFrame:
@@ -134,3 +135,29 @@ FROM w GROUP BY e, province"""
 def q12b(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = click_cap(ad_clicks(spark, sf_dir), CAP_KEYS, "ts", "event_id", CAP_MAX, "as_written")
     return ad_clicks_by_province(c.filter(F.col("verdict") == "pass"), "1 hour", "5 seconds")
+
+
+Q22_SQL = """WITH v AS (SELECT event_type, CAST(value AS DECIMAL(18, 4)) AS amount, epoch_us(ts) // 1000 AS t FROM events),
+w AS (SELECT event_type, amount, unnest(generate_series(t - t % 300000 + 300000, t - t % 300000 + 3600000, 300000)) AS window_end FROM v)
+SELECT event_type, window_end, count(*) AS n, CAST(sum(amount) AS VARCHAR) AS total FROM w GROUP BY event_type, window_end"""
+
+
+@register("q22_sliding_sum", Q22_SQL)
+def q22(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding totals of ``events.value`` (exact decimals) per event type."""
+    v = table(spark, sf_dir, "events").select("event_type", F.col("value").cast("decimal(18,4)").alias("amount"), as_instant("ts").alias("ts"))
+    out = sliding_agg(v, ["event_type"], "ts", "1 hour", "5 minutes", (("n", "count", None), ("total", "sum", "amount")))
+    return out.select("event_type", "window_end", "n", F.col("total").cast("string").alias("total"))
+
+
+Q23_SQL = """WITH v AS (SELECT event_type, value, epoch_us(ts) // 1000 AS t FROM events),
+w AS (SELECT event_type, value, unnest(generate_series(t - t % 300000 + 300000, t - t % 300000 + 3600000, 300000)) AS window_end FROM v)
+SELECT event_type, window_end, round(avg(value), 6) AS mean, max(value) AS largest FROM w GROUP BY event_type, window_end"""
+
+
+@register("q23_sliding_mean", Q23_SQL)
+def q23(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding means and maxima of ``events.value`` per event type (pane form)."""
+    v = table(spark, sf_dir, "events").select("event_type", "value", as_instant("ts").alias("ts"))
+    out = sliding_agg(v, ["event_type"], "ts", "1 hour", "5 minutes", (("mean", "avg", "value"), ("largest", "max", "value")))
+    return out.select("event_type", "window_end", F.round("mean", 6).alias("mean"), "largest")

@@ -7,7 +7,6 @@ session comes from the launcher; only ``shared_dir`` is consulted there.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,5 +57,4 @@ def shared_dir(spark: SparkSession, allow_local: bool = False) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set; set it to a folder every executor can reach")
     d = tempfile.mkdtemp(prefix="eventflow-ckpt-")
     sc.setCheckpointDir(d)
-    os.environ.setdefault("EVENTFLOW_LOCAL_CKPT", d)
     return sc.getCheckpointDir().rstrip("/")

@@ -61,11 +61,13 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = ",", mode
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError("mode must be 'failfast' or 'permissive'")
+    if mode == "failfast" and with_rejects:
+        raise ValueError("failfast has no rejects: a malformed line ends the job")
     parts = F.split(F.col(value_col), _quote(sep), -1)
     n = len(schema.fields)
     cols = []
     for i, f in enumerate(schema.fields):
-        raw = F.trim(parts.getItem(i))
+        raw = F.trim(F.get(parts, F.lit(i)))  # a short line's missing fields are null
         if isinstance(f.dataType, T.StringType):
             cols.append(raw.alias(f.name))
             continue
@@ -77,7 +79,7 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = ",", mode
     if "ts_sec" in schema.fieldNames():
         out = out.withColumn("ts", F.timestamp_seconds(F.col("ts_sec")))
     if mode == "failfast":
-        return out.drop("_n", "_line") if not with_rejects else (out.drop("_n", "_line"), out.limit(0))
+        return out.drop("_n", "_line")
     malformed = F.col("_n") < n
     for i, f in enumerate(schema.fields):
         if not isinstance(f.dataType, T.StringType):
@@ -94,10 +96,10 @@ def parse_access_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     The zone token is ignored and the time is read in the session time zone (UTC).
     """
     p = F.split(F.col(value_col), " ", -1)
-    t = F.to_timestamp(F.trim(p.getItem(3)), "dd/MM/yyyy:HH:mm:ss")
-    return lines.select(F.trim(p.getItem(0)).alias("ip"), F.trim(p.getItem(1)).alias("user_id"),
-                        F.unix_millis(t).alias("event_time"), F.trim(p.getItem(5)).alias("method"),
-                        F.trim(p.getItem(6)).alias("url"), t.alias("ts"))
+    t = F.to_timestamp(F.trim(F.get(p, F.lit(3))), "dd/MM/yyyy:HH:mm:ss")
+    return lines.select(F.trim(F.get(p, F.lit(0))).alias("ip"), F.trim(F.get(p, F.lit(1))).alias("user_id"),
+                        F.unix_millis(t).alias("event_time"), F.trim(F.get(p, F.lit(5))).alias("method"),
+                        F.trim(F.get(p, F.lit(6))).alias("url"), t.alias("ts"))
 
 
 def format_delimited(df: DataFrame, cols: list[str | Column], sep: str = ",") -> DataFrame:

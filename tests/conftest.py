@@ -19,8 +19,7 @@ def spark():
 
 
 def csv_lines(spark, name):
-    """One of the reference's sample inputs (inlined in ``fixture_rows``): a ``value`` row per
-    line plus its line number."""
+    """One of the inputs of ``fixture_rows``: a ``value`` row per line plus its line number."""
     import fixture_rows
 
     text = {"ad": fixture_rows.AD_CLICKS, "login": fixture_rows.LOGINS,

@@ -45,7 +45,7 @@ def test_side_outputs_split_by_tag(spark, tmp_path):
     n_err = ev.filter("event_type = 'error'").count()
     assert spark.read.parquet(f"{out}/blacklist").count() == n_err
     assert spark.read.parquet(f"{out}/pass").count() == ev.count() - n_err
-    parts = split_outputs(ev.select(F.lit("pass").alias("verdict")))
+    parts = split_outputs(ev.select(F.lit("pass").alias("verdict")), ["pass", "blacklist"])
     assert parts["pass"].count() == ev.count() and parts["blacklist"].count() == 0
 
 

@@ -44,3 +44,19 @@ def test_tumbling_matches_window(spark):
     w = ev.groupBy("behavior", F.window("ts", "1 hour").alias("w")).count().select(
         "behavior", F.unix_millis("w.end").alias("window_end"), "count")
     assert _rows(t, ["behavior", "window_end", "count"]) == _rows(w, ["behavior", "window_end", "count"])
+
+
+def test_sliding_values_with_nan_nulls_and_mixed_magnitudes(spark):
+    rows = [(k, "a" if k % 3 else "b", [0.1, 1e16, float("nan"), None, -3.5][k % 5] if k < 60 else None, None if k % 2 else k, 1_700_000_000 + 37 * k) for k in range(120)]
+    df = spark.createDataFrame(rows, "id long, k string, x double, n long, s long").withColumn("ts", F.timestamp_seconds("s"))
+    aggs = (("sx", "sum", "x"), ("mx", "avg", "x"), ("sn", "sum", "n"), ("u", "approx_distinct", "n"))
+    got = {(r.k, r.window_end): r for r in sliding_agg(df, ["k"], "ts", "10 minutes", "1 minute", aggs).collect()}
+    direct = {(r.k, r.window_end): r for r in sliding_agg(df, ["k"], "ts", "10 minutes", "1 minute", aggs[:3], method="direct").collect()}
+    assert got.keys() == direct.keys()
+    for w, r in direct.items():
+        for c in ("sx", "mx"):
+            a, b = r[c], got[w][c]
+            assert (a is None) == (b is None) and (a is None or str(a) == str(b) or abs(a - b) <= 1e-9 * abs(a))
+        assert r.sn == got[w].sn
+    exact = {(r.k, r.window_end): r.sn for r in sliding_agg(df, ["k"], "ts", "10 minutes", "1 minute", (("sn", "sum", "n"),)).collect()}
+    assert exact == {w: r.sn for w, r in direct.items()}  # steps: a window of nulls stays null
