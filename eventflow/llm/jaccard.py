@@ -14,7 +14,8 @@ Jaccard similarity reaches a threshold. The result is each document's component.
    by set size. A pair of blocks is entered only for the sizes whose best possible overlap from
    these positions reaches the threshold; the rest of a block is skipped by binary search. A pair
    that also shares the n-gram before is skipped: it was met there.
-5. The remaining pairs are verified on the whole sets; links join the components.
+5. The remaining pairs are held against each other by their prefixes, which bound the overlap, and
+   then verified on the whole sets; links join the components.
 
 Lists of n-grams that the sketch finds in very many documents are first reduced to those that
 touch several components and dealt out by pairs of blocks of bounded rows. Texts move only for
@@ -41,10 +42,11 @@ from eventflow.llm.components import components
 from eventflow.llm.shared import Tables
 from eventflow.llm.textscan import Words, chunks, mix, text_buffers
 
-# The frequency sketch: counters, and slices in which tasks' counts meet.
-SKETCH_BITS, SLICES = 20, 16
+# The frequency sketch: a counter for this many bytes of text, between 2**18 and 2**24 counters (one
+# byte each when sent to the tasks), and the slices in which tasks' counts meet.
+BYTES_A_COUNTER, LEAST_BITS, MOST_BITS, SLICES = 100, 18, 24, 16
 # A list whose n-gram may be in more documents than this is dealt out in blocks of this many rows.
-HOT_LIST = 4096
+HOT_LIST, HOT = 4096, 128
 MIN_HASHES, SHARED_HASHES, LEADERS = 8, 5, 2
 
 
@@ -54,52 +56,47 @@ def sets_of(batch: pa.RecordBatch, column: int, size: int) -> Iterator[np.ndarra
         yield from Words(data, offsets[lo:hi + 1]).shingle_sets(size)
 
 
-def _count(size: int):
+def _count(size: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counts = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             data, offsets = text_buffers(batch.column(0))
             for lo, hi in chunks(offsets):
-                got = [s for s in Words(data, offsets[lo:hi + 1]).shingle_sets(size) if len(s)]
-                if got:
-                    place = (np.concatenate(got) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
-                    counts += np.bincount(place, minlength=len(counts)).astype(np.uint32)
+                for s in Words(data, offsets[lo:hi + 1]).shingle_sets(size):
+                    np.add.at(counts, (s & np.uint64((1 << bits) - 1)).astype(np.int64), 1)
         if counts.any():
-            parts = np.split(counts, SLICES)
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())],
-                                             names=["slice", "counts"])
+            for k, part in enumerate(np.split(counts, SLICES)):
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["slice", "counts"])
     return run
 
 
-def _merge(key, batches):
-    total = np.zeros((1 << SKETCH_BITS) // SLICES, np.uint64)
-    for batch in batches:
-        for blob in batch.column("counts"):
-            total += np.frombuffer(zlib.decompress(blob.as_py()), np.uint32)
+def _merge(key, table):
+    total = None
+    for blob in table.column("counts"):
+        part = np.frombuffer(zlib.decompress(blob.as_py()), np.uint32)
+        total = part.astype(np.uint64) if total is None else total + part
     total = np.minimum(total, 2**32 - 1).astype(np.uint32)
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["slice", "counts"])
+    return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
 
 def sketch(texts: DataFrame, size: int) -> np.ndarray:
     """Counters of n-gram hashes over all texts: at least each n-gram's document frequency."""
-    parts = texts.mapInArrow(_count(size), "slice int, counts binary").groupBy("slice").applyInArrow(_merge_table, "slice int, counts binary")
-    out = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES), np.uint32)
-    for r in parts.collect():  # a table of fixed size
+    total = texts.agg(F.sum(F.octet_length(texts.columns[0])).alias("n")).head()["n"] or 0
+    bits = min(MOST_BITS, max(LEAST_BITS, (int(total) // BYTES_A_COUNTER).bit_length()))
+    parts = texts.mapInArrow(_count(size, bits), "slice int, counts binary").groupBy("slice").applyInArrow(_merge, "slice int, counts binary")
+    out = np.zeros((SLICES, (1 << bits) // SLICES), np.uint32)
+    for r in parts.toLocalIterator():  # a table of bounded size
         out[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
     return out.ravel()
 
 
-def _merge_table(key, table):
-    return pa.Table.from_batches(_merge(key, table.to_batches()))
-
-
 class Order:
     """One order of all n-grams: by the sketch's frequency level, then by hash."""
 
     def __init__(self, counts: np.ndarray):
         usual = max(4.0, 2.0 * float(np.median(counts)))
         self.level = np.ceil(np.log2(np.maximum(counts / usual, 1.0))).astype(np.uint8)
-        self.hot = counts > HOT_LIST
+        self.level[counts > HOT_LIST] |= HOT  # the most frequent come last in any case
 
     def place(self, s: np.ndarray) -> np.ndarray:
         return (s & np.uint64(len(self.level) - 1)).astype(np.int64)
@@ -126,7 +123,7 @@ def _describe(shared, size: int, num: int, den: int):
                 ordered = order.sort(s)
                 head = ordered[:prefix_length(len(s), num, den)]
                 prefix.append(head.view(np.int64))
-                hot.append(order.hot[order.place(head)])
+                hot.append(order.level[order.place(head)] >= HOT)
                 hashes.append(np.array([mix(s ^ np.uint64(0x9E3779B9 * (k + 1))).min() for k in range(MIN_HASHES)] if len(s) else [], np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                                               pa.array(prefix, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.bool_())), pa.array(hashes, pa.list_(pa.int64()))],
@@ -157,6 +154,33 @@ def _overlaps(num: int, den: int):
     return run
 
 
+def _heads_overlap(shared, num: int, den: int):
+    """Keeps the pairs that their prefixes do not rule out. Up to the lesser of the two prefixes'
+    last n-grams both sets are known, so they share what the prefixes share there and at most what
+    the smaller rest holds."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = shared.value
+        for batch in batches:
+            keep = []
+            sizes = zip(batch.column("n").to_pylist(), batch.column("m").to_pylist(), strict=True)
+            for a, b, (n, m) in zip(batch.column("left"), batch.column("right"), sizes, strict=True):
+                x, y = (c.values.to_numpy().view(np.uint64) for c in (a, b))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ends = [(int(order.level[order.place(z[-1:])][0]), int(z[-1])) for z in (x, y)]
+                # The prefix that ends first is known whole; the other one up to there.
+                rest = n - len(x) if ends[0] <= ends[1] else m - len(y)
+                keep.append((both + rest) * (den + num) >= num * (n + m))
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def possible(pairs: DataFrame, reps: DataFrame, shared, num: int, den: int) -> DataFrame:
+    """The pairs (u, v) that the prefixes of both do not rule out."""
+    left = reps.select(F.col("node").alias("u"), "n", F.col("prefix").alias("left"))
+    right = reps.select(F.col("node").alias("v"), F.col("n").alias("m"), F.col("prefix").alias("right"))
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "n", "m", "left", "right").mapInArrow(_heads_overlap(shared, num, den), "u long, v long").distinct()
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """The pairs (u, v) whose whole sets link. Only the texts of documents in pairs are moved."""
     needed = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
@@ -293,7 +317,12 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size:
     near = near.where(F.least("n", "first.n") * den >= F.greatest("n", "first.n") * num).select("node", F.col("first.node").alias("leader"), shared_hashes.alias("hits"))
     near = near.where(F.col("hits") >= SHARED_HASHES).groupBy("node").agg(F.sort_array(F.collect_set(F.struct((-F.col("hits")).alias("hits"), "leader"))).alias("best"))
     near = near.select(F.col("node").alias("u"), F.explode(F.slice("best", 1, LEADERS)).alias("b")).select("u", F.col("b.leader").alias("v"))
-    links = tables.put(verified(tables.put(near, "near"), docs, classes, size, num, den), "links")
+    # An id in several classes joins them: its rows are one document.
+    twice = full.groupBy("id").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
+    named = full.join(twice, "id", "left_semi").join(classes, ["d1", "d2"]).select("id", "node").distinct()
+    same = named.join(named.groupBy("id").agg(F.min("node").alias("v")), "id").where(F.col("node") != F.col("v")).select(F.col("node").alias("u"), "v")
+    near = tables.put(near, "near")
+    links = tables.put(verified(near, docs, classes, size, num, den).unionByName(same), "links")
     groups = components(links, tables)
 
     # All other links: pairs of different components whose prefixes meet.
@@ -303,11 +332,11 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size:
                        F.when(F.col("at") > 0, F.get("prefix", F.col("at") - 1)).otherwise(0).alias("prev"))
     cold, hot = rows.where(~F.col("hot")).drop("hot"), rows.where("hot").drop("hot")
     pairs = tables.put(candidates(cold, hot, num, den), "pairs")
+    pairs = tables.put(possible(pairs, reps, shared, num, den), "possible")
     more = tables.put(verified(pairs, docs, classes, size, num, den), "links")
     groups = components(links.unionByName(more), tables)
 
     named = classes.join(groups, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component_id"))
-    # A repeated id is one document, so a row's component is its id's smallest.
     got = sets.select("id", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
     return got.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("component_id"))).otherwise(F.col("id")).alias("component_id"))

@@ -26,7 +26,7 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 FORMATS = {
     "email": r"(?<![._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)++",
     "access_key": r"A(?:KIA|SIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "password": r"(?i:password|passwd|pwd)[=:] ?[^\s\"']{6,}",
+    "password": r"(?:[Pp]assword|PASSWORD|[Pp]asswd|PASSWD|[Pp]wd|PWD)[=:] ?[^\s\"']{6,}",
     "hex_token": r"[0-9a-f]{32,64}(?![A-Za-z0-9])",
     "date": r"(?<![0-9/.\-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/\-]|\.[0-9])",
     "phone": r"(?<![0-9A-Za-z.\-])(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9A-Za-z]|[.\-][0-9])",
