@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(4, shuffle_partitions=4, driver_memory="6g")
+    # A folder of this run: stable checkpoint names must not meet those of an earlier run.
+    s = local_session(4, shuffle_partitions=4, driver_memory="6g", extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="eventflow-tests-")})
     shared_dir(s, allow_local=True)
     yield s
     s.stop()

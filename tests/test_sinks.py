@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from eventflow.operators.caps import split_outputs
 from eventflow.sources import kafka
-from eventflow.sources.sinks import print_sink, read_upserts, side_output_sink, upsert_sink
+from eventflow.sources.sinks import append_sink, print_sink, read_upserts, side_output_sink, upsert_sink
 from eventflow.sources.tables import table
-from eventflow.sources.text import USER_BEHAVIOR, format_delimited, parse_delimited
+from eventflow.sources.text import USER_BEHAVIOR, format_delimited, parse_delimited, read_lines
 from eventflow.streaming.runner import checkpoint_for
 from eventflow.streaming.windows import stream_windowed_count
 
@@ -66,3 +66,34 @@ def test_kafka_surface_and_line_roundtrip(spark):
     lines = format_delimited(rows, ["u", "i", "c", "b", "t"])
     back = parse_delimited(lines, USER_BEHAVIOR).first()
     assert (back.user_id, back.item_id, back.category_id, back.behavior, back.ts_sec) == (1, 2, 3, "pv", 1511658000)
+
+
+def test_append_sink_writes_closed_windows_once(spark, tmp_path):
+    ev, s = _events_stream(spark, tmp_path)
+    counts = stream_windowed_count(s, ["event_type"], "ts", "1 day")
+    out = str(tmp_path / "closed")
+    q = append_sink(counts, out, checkpoint_for(spark, f"append-{tmp_path.name}"))
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.event_type, r.window_end): r["count"] for r in spark.read.parquet(out).collect()}
+    last = ev.agg(F.max("ts")).first()[0]
+    want = {(r.event_type, int(r.w.end.timestamp() * 1000)): r["count"]
+            for r in ev.groupBy("event_type", F.window("ts", "1 day").alias("w")).count().collect() if r.w.end <= last}
+    assert got == want
+
+
+def test_read_lines_batch_and_stream(spark, tmp_path):
+    src = tmp_path / "lines"
+    src.mkdir()
+    (src / "a.txt").write_text("1,2,3,pv,10\n\n4,5,6,buy,20")
+    assert [r.value for r in read_lines(spark, str(src)).collect()] == ["1,2,3,pv,10", "", "4,5,6,buy,20"]
+    from eventflow.streaming.runner import run_available
+
+    got = run_available(read_lines(spark, str(src), streaming=True, max_files_per_trigger=1), f"lines_{abs(hash(tmp_path))}")
+    assert sorted(r.value for r in got.collect()) == ["", "1,2,3,pv,10", "4,5,6,buy,20"]
+
+
+def test_side_outputs_by_given_tags(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "verdict string")
+    parts = split_outputs(df, ["a", "b"], rest="other")
+    assert {k: v.count() for k, v in parts.items()} == {"a": 1, "b": 1, "other": 2}
