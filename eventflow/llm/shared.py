@@ -36,8 +36,14 @@ class Tables:
         writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
-        """Delete what was put (through the file system of the folder)."""
+    def finish(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """``put`` the last table of a run and delete all that it was made from (under the same folder,
+        also what others wrote there)."""
+        done = self.put(df, name)
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(conf).delete(path, True)
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(conf)
+        for status in fs.listStatus(root):
+            if status.getPath().getName() != f"{self.count - 1}-{name}":
+                fs.delete(status.getPath(), True)
+        return done

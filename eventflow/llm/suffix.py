@@ -44,7 +44,7 @@ from eventflow.llm.shared import Tables
 from eventflow.llm.textscan import mix, powers, text_buffers
 
 LENGTH, PREFIX = 50, 16
-BATCH_BYTES, PIECE_BYTES, BUCKET_BYTES, RANGE_BYTES = 4 << 20, 1 << 20, 16 << 20, 16 << 20
+BATCH_BYTES, PIECE_BYTES, BUCKET_BYTES, RANGE_BYTES = 4 << 20, 1 << 20, 16 << 20, 8 << 20
 # Kinds of what is sent to batches: the first byte of a blob.
 SHARED, MARKS = b"S", b"M"
 # Strings in one new batch of a range's family.
@@ -127,7 +127,8 @@ class Anchors:
             new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (row[1:] != row[:-1])]))
             last = np.append(new[1:], len(start)) - 1
             at = place[new]
-            parts.append((at + np.int64(lo), row[new], keys[at], at - start[last], at - start[new]))
+            # Anchors have small hashes by choice; mixed again, they spread evenly over the ranges.
+            parts.append((at + np.int64(lo), row[new], mix(keys[at] + np.uint64(1)), at - start[last], at - start[new]))
         if parts:
             self.at, self.row, self.key, self.low, self.high = (np.concatenate(x) for x in zip(*parts, strict=True))
         else:
@@ -310,7 +311,9 @@ def _match(length: int):
         back = np.arange(len(own)) - first[own]
         start = (np.cumsum(sizes) - sizes)[own] + back
         strings = mix(_hash_spans(data, start, start + length) ^ (keys[own] * np.uint64(0x9E3779B97F4A7C15)))
+        del start, data
         bit = np.uint64(1) << (high[own].astype(np.int64) - back).astype(np.uint64)
+        del back
         marks = np.zeros(len(keys), np.uint64)
         order = np.argsort(ids, kind="stable")
         ordered, ends = ids[order], np.cumsum(per[order])
@@ -386,12 +389,11 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     batches = spark.table(name).groupBy("slot")
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
     columns = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_text
-
     arrays = batches.applyInArrow(_arrays(length, ranges), SENT)
     shared = tables.put(arrays.groupBy("range").applyInArrow(_meet, SENT), "shared")
     around = batches.cogroup(shared.groupBy("slot")).applyInArrow(_surroundings(length, ranges), SENT)
     marks = tables.put(around.groupBy("range").applyInArrow(_match(length), SENT), "marks")
-    done = tables.put(batches.cogroup(shared.unionByName(marks).groupBy("slot")).applyInArrow(_remove(length, keep_text), schema), "done")
+    done = tables.finish(batches.cogroup(shared.unionByName(marks).groupBy("slot")).applyInArrow(_remove(length, keep_text), schema))
     spark.sql(f"DROP TABLE {name}")
     rest = docs.where(F.col("id").isNull()).select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
                                                    F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.encode("text", "UTF-8").alias("kept"))
