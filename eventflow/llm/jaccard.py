@@ -181,7 +181,7 @@ def possible(pairs: DataFrame, reps: DataFrame, shared, num: int, den: int) -> D
     return pairs.join(left, "u").join(right, "v").select("u", "v", "n", "m", "left", "right").mapInArrow(_heads_overlap(shared, num, den), "u long, v long").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, num: int, den: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """The pairs (u, v) whose whole sets link. Only the texts of documents in pairs are moved."""
     needed = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     sets = docs.join(needed.hint("shuffle_hash"), docs["id"] == needed["node"], "left_semi").select("id", "text").mapInArrow(_pack_sets(size), "node long, members binary")
@@ -303,11 +303,10 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size:
     shared = spark.sparkContext.broadcast(Order(sketch(docs.select("text"), size)))
     sets = tables.put(docs.mapInArrow(_describe(shared, size, num, den), "id long, n long, d1 long, d2 long, prefix array<long>, hot array<boolean>, hashes array<long>"), "sets")
     full = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
-    classes = full.groupBy("d1", "d2", "n").agg(F.min("id").alias("node"))
-    classes = tables.put(classes, "classes")
-    # One row per class: that of its smallest id (repeated rows once).
-    reps = tables.put(full.join(classes.select("d1", "d2", F.col("node").alias("id")), ["d1", "d2", "id"], "left_semi")
-                      .dropDuplicates(["d1", "d2", "id"]).select(F.col("id").alias("node"), "n", "prefix", "hot", "hashes"), "reps")
+    # One row per class: that of its smallest id.
+    reps = tables.put(full.groupBy("d1", "d2").agg(F.min(F.struct("id", "n", "prefix", "hot", "hashes")).alias("one"))
+                      .select("d1", "d2", F.col("one.id").alias("node"), "one.n", "one.prefix", "one.hot", "one.hashes"), "reps")
+    classes = reps.select("d1", "d2", "node")
 
     # Near copies: the earliest classes that share each min-hash, by how many they share in all.
     keys = reps.select("node", "n", "hashes", F.explode(F.array_distinct("hashes")).alias("key"))
@@ -322,7 +321,7 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size:
     named = full.join(twice, "id", "left_semi").join(classes, ["d1", "d2"]).select("id", "node").distinct()
     same = named.join(named.groupBy("id").agg(F.min("node").alias("v")), "id").where(F.col("node") != F.col("v")).select(F.col("node").alias("u"), "v")
     near = tables.put(near, "near")
-    links = tables.put(verified(near, docs, classes, size, num, den).unionByName(same), "links")
+    links = tables.put(verified(near, docs, size, num, den).unionByName(same), "links")
     groups = components(links, tables)
 
     # All other links: pairs of different components whose prefixes meet.
@@ -333,13 +332,14 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size:
     cold, hot = rows.where(~F.col("hot")).drop("hot"), rows.where("hot").drop("hot")
     pairs = tables.put(candidates(cold, hot, num, den), "pairs")
     pairs = tables.put(possible(pairs, reps, shared, num, den), "possible")
-    more = tables.put(verified(pairs, docs, classes, size, num, den), "links")
-    groups = components(links.unionByName(more), tables)
+    more = tables.put(verified(pairs, docs, size, num, den), "links")
+    stars = groups.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    groups = components(stars.unionByName(more), tables)
 
     named = classes.join(groups, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component_id"))
     got = sets.select("id", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
-    return got.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("component_id"))).otherwise(F.col("id")).alias("component_id"))
+    return tables.finish(got.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                                    F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("component_id"))).otherwise(F.col("id")).alias("component_id")))
 
 
 def keep_one(df: DataFrame, *, id_col: str = "doc_id", **kw) -> DataFrame:
