@@ -42,9 +42,9 @@ from eventflow.llm.components import components
 from eventflow.llm.shared import Tables
 from eventflow.llm.textscan import Words, chunks, mix, text_buffers
 
-# The frequency sketch: a counter for this many bytes of text, between 2**18 and 2**24 counters (one
+# The frequency sketch: a counter for this many bytes of text, between 2**18 and 2**23 counters (one
 # byte each when sent to the tasks), and the slices in which tasks' counts meet.
-BYTES_A_COUNTER, LEAST_BITS, MOST_BITS, SLICES = 100, 18, 24, 16
+BYTES_A_COUNTER, LEAST_BITS, MOST_BITS, SLICES = 100, 18, 23, 16
 # A list whose n-gram may be in more documents than this is dealt out in blocks of this many rows.
 HOT_LIST, HOT = 4096, 128
 MIN_HASHES, SHARED_HASHES, LEADERS = 8, 5, 2

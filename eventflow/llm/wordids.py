@@ -15,7 +15,7 @@ import unicodedata
 import numpy as np
 
 # Distinct words whose ids a worker keeps, at most; the memory is emptied when full.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
 # Signs that end words: a run of them is a token run of its own after letters.
 TAIL = ".,;:!?*$%&#|"
 _loaded: dict[str, WordIds] = {}
