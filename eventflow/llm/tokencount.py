@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 MARK = "▁"
 # Segments whose arrays a worker keeps, at most; the memory is emptied when full.
-KEPT_SEGMENTS = 400_000
+KEPT_SEGMENTS = 1_200_000
 TAIL = ".,;:!?*$%&#|"
 _loaded: dict[str, PrefixCounter] = {}
 
