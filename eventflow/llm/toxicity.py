@@ -30,14 +30,23 @@ from eventflow.llm.textscan import Words, chunks, mix, text_buffers
 
 # Labelled rows that a lexicon is learnt from, at most (those with the smallest id hashes).
 MAX_TRAINING_ROWS = 20_000
-# A learnt entry is in this share of the toxic training texts at least; of the training texts that
-# hold it (or hold it again) this share is toxic.
-MIN_SHARE, MIN_PRECISION, MIN_PRECISION_AGAIN = 0.02, 0.9, 0.75
+# A learnt entry is in so many training texts at least, whatever their number; of the training texts
+# that hold it (or hold it again) this share is toxic, and of all entries learnt at most the share
+# FALSE_ENTRIES is expected to be there by chance (Benjamini-Hochberg).
+MIN_TEXTS, MIN_PRECISION, MIN_PRECISION_AGAIN, FALSE_ENTRIES = 3, 0.9, 0.75, 0.01
 THRESHOLD = 0.3
 MIN_STEM, MAX_STEM = 4, 12
 
-DEFAULT_TERMS = {"idiot": (4.0, 1.0), "moron": (4.0, 1.0), "stupid": (3.0, 1.0), "scum": (4.0, 1.0), "loser": (3.0, 1.0), "worthless": (3.0, 1.0),
-                 "pathetic": (3.0, 1.0), "disgusting": (3.0, 1.0), "trash": (2.0, 1.0), "clown": (2.0, 1.0)}
+# A general English list. Where the labelled rows hold an entry, they set its weights.
+DEFAULT_TERMS = dict.fromkeys((
+    "idiot", "idiots", "moron", "morons", "imbecile", "imbeciles", "cretin", "cretins", "halfwit", "nitwit", "dimwit", "dimwits", "dunce", "numbskull",
+    "scum", "scumbag", "scumbags", "lowlife", "lowlifes", "degenerate", "degenerates", "subhuman", "subhumans", "vermin", "bastard", "bastards", "bitch",
+    "bitches", "cunt", "cunts", "twat", "twats", "prick", "pricks", "wanker", "wankers", "whore", "whores", "slut", "sluts", "retard", "retards",
+    "retarded", "asshole", "assholes", "arsehole", "arseholes", "dumbass", "jackass", "dickhead", "dickheads", "shithead", "dipshit", "douchebag",
+    "douchebags", "faggot", "faggots", "tranny", "kike", "kikes", "wetback", "wetbacks", "raghead", "ragheads", "nigger", "niggers"), (4.0, 1.0)) | dict.fromkeys((
+    "stupid", "loser", "losers", "worthless", "pathetic", "disgusting", "despicable", "contemptible", "repulsive", "shit", "shitty", "bullshit", "creep", "freak",
+    "coward", "sissy"), (3.0, 1.0)) | dict.fromkeys(("trash", "clown", "dumb", "fool", "jerk", "crap", "garbage", "ugly", "liar"), (2.0, 1.0))
+DEFAULT_STEMS = {"fuck": (4.0, 1.0), "motherfuck": (4.0, 1.0), "cocksuck": (4.0, 1.0)}
 DEFAULT_EXCEPTIONS = ("trash can", "trash bin", "clown fish", "recycle trash", "sore loser")
 
 # Letters of other scripts that look like a Latin letter.
@@ -83,7 +92,7 @@ class Lexicon:
     weight, per log hits, per log hits in 100 words)."""
 
     terms: dict[str, tuple[float, float]] = field(default_factory=lambda: dict(DEFAULT_TERMS))
-    stems: dict[str, tuple[float, float]] = field(default_factory=dict)
+    stems: dict[str, tuple[float, float]] = field(default_factory=lambda: dict(DEFAULT_STEMS))
     exceptions: tuple[str, ...] = DEFAULT_EXCEPTIONS
     curve: tuple[float, float, float, float] = (-4.0, 1.0, 0.5, 0.5)
 
@@ -185,21 +194,60 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([counts[c][t] for t in terms], pa.int64()) for c in _COUNTS)], names=["term", *_COUNTS])
 
 
+def _surprise(hits, others, base: float, log=math.log, least=max, most=min):
+    """Least log of one over the chance that of ``hits + others`` texts, each toxic at the rate
+    ``base``, so many are toxic (the Chernoff bound of the binomial tail; 0 at the rate or below)."""
+    n = hits + others
+    share = least(hits / n, base)
+    rest = least(1 - share, 1e-12)
+    return n * (share * log(share / base) + rest * log(rest / most(1 - base + 1e-12, 1.0)))
+
+
+def _significant(counts: DataFrame, base: float, keep: Iterable[str]) -> dict[str, tuple[int, ...]]:
+    """The terms that the labels show to be toxic, and those of ``keep``, with their counts; a
+    term is tested by the texts that hold it and by those that hold it again."""
+    def exact(toxic, clean, precision):
+        enough = (toxic >= MIN_TEXTS) & (toxic >= precision * (toxic + clean))
+        surprise = _surprise(toxic, clean, base, F.log, lambda x, y: F.greatest(x, F.lit(y)), min)
+        return F.when(enough, surprise).otherwise(0.0)
+
+    tested = counts.agg(*[F.sum((F.col("toxic" + e) + F.col("clean" + e) >= MIN_TEXTS).cast("long")) for e in ("", "_again")]).head()
+    tests = sum(n or 0 for n in tested)
+    tries = counts.withColumn("first", exact(F.col("toxic"), F.col("clean"), MIN_PRECISION)).withColumn("more", exact(F.col("toxic_again"), F.col("clean_again"), MIN_PRECISION_AGAIN))
+    # No bound of the procedure is over FALSE_ENTRIES: others need not return.
+    hopeful = (F.greatest("first", "more") >= -math.log(FALSE_ENTRIES)) | F.col("term").isin(list(keep))
+    got = tries.where(hopeful).collect()
+    ranked = sorted((x for r in got for x in (r["first"], r["more"]) if x > 0), reverse=True)
+    bound = math.inf
+    for k, x in enumerate(ranked, 1):
+        if x >= math.log(tests / (FALSE_ENTRIES * k)):
+            bound = x
+    return {r["term"]: (*(r[c] for c in _COUNTS), max(r["first"], r["more"]) >= bound) for r in got}
+
+
 def _longest(kept: dict[str, tuple[int, ...]]) -> list[str]:
     """Of terms that begin alike, the longest one that is as frequent and exact as the shortest; a
-    term is dropped when a chosen one covers it."""
+    term is dropped when a chosen stem covers it, and a stem when it covers a chosen term."""
     worth = {t: max(c[0] * c[0] / (c[0] + c[1]), c[2] * c[2] / max(1, c[2] + c[3])) for t, c in kept.items()}
-    chosen = []
+    longer_by: dict[str, list[str]] = {}
+    for t in kept:
+        longer_by.setdefault(t[:-1], []).append(t)
+    chosen, stems, beginnings = [], set(), set()
     for term in sorted(kept, key=lambda t: (-worth[t], len(t), t)):
-        if any(term.startswith(c.rstrip("$")) or c.startswith(term.rstrip("$")) for c in chosen):
+        if term in beginnings or any(term[:k] in stems for k in range(MIN_STEM, len(term) + 1)):
             continue
         best = term
-        while True:
-            longer = [t for t in kept if len(t) == len(best) + 1 and t.startswith(best) and worth[t] >= 0.97 * worth[best]]
-            if not longer or best.endswith("$"):
+        while not best.endswith("$"):
+            longer = [t for t in longer_by.get(best, ()) if worth[t] >= 0.97 * worth[best]]
+            if not longer:
                 break
             best = min(longer)
+        if best in beginnings:
+            continue
         chosen.append(best)
+        beginnings.update(best[:k] for k in range(1, len(best) + 1))
+        if not best.endswith("$"):
+            stems.add(best)
     return chosen
 
 
@@ -235,16 +283,20 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
         if not n_toxic:
             return Lexicon(exceptions=tuple(exceptions))
-        least = max(3, math.ceil(MIN_SHARE * n_toxic))
         counts = rows.mapInArrow(_count, "term string, " + ", ".join(f"{c} long" for c in _COUNTS)).groupBy("term").agg(*[F.sum(c).alias(c) for c in _COUNTS])
-        exact = (F.col("toxic") >= least) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean")))
-        again = (F.col("toxic_again") >= least) & (F.col("toxic_again") >= MIN_PRECISION_AGAIN * (F.col("toxic_again") + F.col("clean_again")))
-        # Each training text has a bounded number of distinct words, so at most that over MIN_SHARE terms return.
-        kept = {r["term"]: tuple(r[c] for c in _COUNTS) for r in counts.where(exact | again).collect()}
-        lexicon = Lexicon(terms={}, exceptions=tuple(exceptions))
-        for t in _longest(kept):
-            (lexicon.terms if t.endswith("$") else lexicon.stems)[t.rstrip("$")] = _weights(kept[t], n_toxic, n_clean)
-        lexicon.terms = DEFAULT_TERMS | lexicon.terms
+        counts = counts.where(F.col("toxic") + F.col("clean") >= MIN_TEXTS).persist()
+        general = [t + "$" for t in DEFAULT_TERMS] + [t for t in DEFAULT_STEMS]
+        found = _significant(counts, n_toxic / (n_toxic + n_clean), general)
+        counts.unpersist()
+        lexicon = Lexicon(terms={}, stems={}, exceptions=tuple(exceptions))
+        for t in _longest({t: c[:4] for t, c in found.items() if c[4]}):
+            (lexicon.terms if t.endswith("$") else lexicon.stems)[t.rstrip("$")] = _weights(found[t][:4], n_toxic, n_clean)
+        learnt = tuple(lexicon.stems)
+        for t in general:
+            into, usual = (lexicon.terms, DEFAULT_TERMS) if t.endswith("$") else (lexicon.stems, DEFAULT_STEMS)
+            word = t.rstrip("$")
+            if word not in into and not word.startswith(learnt):
+                into[word] = _weights(found[t][:4], n_toxic, n_clean) if t in found else usual[word]
         lexicon.curve = _fit(rows, spark.sparkContext.broadcast(lexicon))
         return lexicon
     finally:
