@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from eventflow.session import local_session, shared_dir  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,12 +17,3 @@ def spark():
     yield s
     s.stop()
 
-
-def csv_lines(spark, name):
-    """One of the inputs of ``fixture_rows``: a ``value`` row per line plus its line number."""
-    import fixture_rows
-
-    text = {"ad": fixture_rows.AD_CLICKS, "login": fixture_rows.LOGINS,
-            "order": fixture_rows.ORDERS, "receipt": fixture_rows.RECEIPTS}[name]
-    lines = [ln for ln in text.splitlines() if ln.strip()]
-    return spark.createDataFrame([(i + 1, ln) for i, ln in enumerate(lines)], "line_no long, value string")

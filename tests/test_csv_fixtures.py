@@ -10,7 +10,7 @@ from eventflow.plans.market import ad_clicks_by_province
 from eventflow.operators.windows import windowed_count
 from eventflow.sources.text import AD_CLICK, LOGIN, ORDER, RECEIPT, parse_delimited
 
-from conftest import csv_lines
+from base_rows import csv_lines
 
 
 def table(spark, name, schema):

@@ -8,7 +8,7 @@ import pytest
 from eventflow.plans import ORACLE, QUERIES
 from eventflow.sources.tables import TABLES
 
-from conftest import SF_SMALL
+from base_rows import SF_SMALL
 
 
 def _norm(v):

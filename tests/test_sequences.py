@@ -61,7 +61,7 @@ def test_reconcile_partitions_both_inputs(spark):
     """Keys unique per side: every pay and every receipt is in exactly one outcome row."""
     from eventflow.operators.joins import reconcile
     from eventflow.sources.tables import pay_events, receipt_events
-    from conftest import SF_SMALL
+    from base_rows import SF_SMALL
 
     pays, receipts = pay_events(spark, SF_SMALL), receipt_events(spark, SF_SMALL)
     out = reconcile(pays, receipts, "tx_id", "ts", "60 days", "30 days")

@@ -12,7 +12,7 @@ from eventflow.sources.text import USER_BEHAVIOR, format_delimited, parse_delimi
 from eventflow.streaming.runner import checkpoint_for
 from eventflow.streaming.windows import stream_windowed_count
 
-from conftest import SF_SMALL
+from base_rows import SF_SMALL
 
 
 def _events_stream(spark, tmp_path):

@@ -9,7 +9,7 @@ from eventflow.operators.caps import click_cap
 from eventflow.operators.patterns import login_fail_burst, order_deadline_verdict, pay_event_verdict
 from eventflow.sources.tables import login_events, order_events
 
-from conftest import SF_SMALL
+from base_rows import SF_SMALL
 
 
 def _rows(df):

@@ -20,7 +20,7 @@ from eventflow.streaming.state import stream_click_cap, stream_match_next
 from eventflow.streaming.windows import (stream_sliding_count, stream_unique_visitors, stream_windowed_count,
                                          top_n_writer)
 
-from conftest import SF_SMALL
+from base_rows import SF_SMALL
 
 _n = itertools.count()
 

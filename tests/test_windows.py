@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from eventflow.operators.windows import sliding_agg, tumbling_agg, windowed_count
 from eventflow.sources.tables import user_behavior
 
-from conftest import SF_SMALL
+from base_rows import SF_SMALL
 
 
 def _rows(df, cols):
