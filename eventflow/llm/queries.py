@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import ann, chat, decontam, jaccard, licenses, packing, pii, suffix, tokencount, toxicity
+from eventflow.llm import ann, chat, decontam, jaccard, licenses, packing, pii, suffix, tokencount, toxicity, whiten
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -85,3 +85,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = F.filter("found", lambda f: f["pseudonym"].isNotNull())
     return docs.select("doc_id", "text", F.size(valid).cast("long").alias("n_moved"), F.size("found").cast("long").alias("n_candidates"),
                        F.array_join(F.transform(valid, lambda f: f["kind"]), ",").alias("kinds"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whiten.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))

@@ -36,6 +36,17 @@ class Tables:
         writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.drop()
+
+    def drop(self) -> None:
+        """Delete all tables of the run; what reads them afterwards fails."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
+
     def finish(self, df: DataFrame, name: str = "result") -> DataFrame:
         """``put`` the last table of a run and delete all that it was made from (under the same folder,
         also what others wrote there)."""
