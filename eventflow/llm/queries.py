@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import ann, chat, decontam, jaccard, licenses, packing, pii, suffix, tokencount, toxicity, whiten
+from eventflow.llm import ann, chat, decontam, jaccard, licenses, packing, pii, spelling, suffix, tokencount, toxicity, whiten
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -87,6 +87,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_join(F.transform(valid, lambda f: f["kind"]), ",").alias("kinds"))
 
 
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.words_of(table(spark, sf_dir, "documents"), damage=199))
+
+
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = whiten.whiten(table(spark, sf_dir, "embeddings"))
