@@ -13,7 +13,8 @@
    at least one is always left; words are therefore indexed by the length of the shorter word of a pair.
 4. *List merging.* Of a word with bound k only the k + 1 rarest grams enter lists, by (lengths, place,
    gram): two words one edit apart meet in at least one such list. The lists are the keys of a Spark join,
-   which splits long ones; the join's own condition verifies the edit distance, so only true links leave it.
+   which splits long ones; the join's own condition compares the words' letter masks (one edit changes two
+   bits at most) and verifies the edit distance, so only true links leave it.
 
 Corner cases: null and empty texts hold no words; a null id is written as an empty text where the id is
 hashed; repeated rows are counted as often as they occur; texts of any length are cut into words by Spark's
@@ -92,6 +93,14 @@ def affected(word: str, grams: list[tuple[int, int]], longest: int, frequent: di
     return max(worst, sum(e == size and e - p < longest and word[p:e] in frequent for p, e in grams))  # one put in at the end
 
 
+def letter_mask(word: str) -> int:
+    """The word's letters as bits of a signed 64-bit integer."""
+    mask = 0
+    for c in word:
+        mask |= 1 << (ord(c) & 63)
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
 def _reach(shorter: int) -> int:
     return min(LONGEST, shorter // 2)
 
@@ -119,11 +128,12 @@ def _keys(min_length: int, frequent: dict[str, int]):
 
     def run(batches):
         for b in batches:
-            rows = [(w, n, *k) for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for k in list_keys(w, min_length, frequent, tails)]
+            rows = [(w, n, mask, *k) for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for mask in (letter_mask(w),)
+                    for k in list_keys(w, min_length, frequent, tails)]
             if rows:
                 cols = list(zip(*rows))
-                types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["word", "n", "kind", "shorter", "place", "gram", "as_short", "as_long"])
+                types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["word", "n", "mask", "kind", "shorter", "place", "gram", "as_short", "as_long"])
     return run
 
 
@@ -132,10 +142,12 @@ def near_pairs(words: DataFrame, tables: Tables, min_length: int = MIN_LENGTH) -
     if min_length < 2 * SHORTEST:
         raise ValueError(f"words need at least {2 * SHORTEST} code points")
     keys = tables.put(words.mapInArrow(_keys(min_length, gram_frequencies(words)),
-                                       "word string, n long, kind int, shorter int, place int, gram string, as_short boolean, as_long boolean"), "lists")
+                                       "word string, n long, mask long, kind int, shorter int, place int, gram string, as_short boolean, as_long boolean"), "lists")
     a, b = keys.where("as_short").drop("as_short", "as_long").alias("a"), keys.where("as_long").drop("as_short", "as_long").alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("gram", "kind", "shorter", "place")]
-    met = a.join(b, same + [(F.col("a.kind") != EQUAL) | (F.col("a.word") < F.col("b.word")), F.levenshtein("a.word", "b.word", 1) == 1])
+    letters = F.bit_count(F.col("a.mask").bitwiseXOR(F.col("b.mask"))) <= F.when(F.col("a.kind") == EQUAL, 2).otherwise(1)
+    once = (F.col("a.kind") != EQUAL) | (F.col("a.word") < F.col("b.word"))
+    met = a.join(b, same + [letters & once & (F.levenshtein("a.word", "b.word", 1) == 1)])
     one = met.select("a.word", "a.n", F.col("b.word").alias("near"), F.col("b.n").alias("near_n")).distinct()
     return one.unionByName(one.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")))
 
