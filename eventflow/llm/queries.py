@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow.llm import ann, chat, decontam, jaccard, licenses, packing, pii, spelling, suffix, tokencount, toxicity, whiten
+from eventflow.llm import ann, chat, decontam, jaccard, kneser, licenses, packing, pii, spelling, suffix, tokencount, toxicity, whiten
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -87,6 +87,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_join(F.transform(valid, lambda f: f["kind"]), ",").alias("kinds"))
 
 
+@query
+def op11_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
+    out = kneser.learn_and_score(table(spark, sf_dir, "documents"), fold)
+    return out.select("doc_id", fold.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 @query
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.words_of(table(spark, sf_dir, "documents"), damage=199))
