@@ -1,8 +1,8 @@
 """Interpolated modified Kneser-Ney n-gram model: counted in Spark, kept as sorted hash arrays, mapped by workers.
 
 *Counting.* A task cuts its texts into tokens and counts the distinct n-grams of a block; an n-gram is its last
-word's hash and the hashes of the 1 to n-1 words before it (64 bits each). Rows go to shards of the history's
-hash; words that hold a large share of the tokens (found on a sample, which only decides the placement) have
+word's hash and the hashes of the 1 to n-1 words before it (64 bits each). A row is a history with the words
+after it and their counts, as packed arrays. Rows go to shards of the history's hash; words that hold a large share of the tokens (found on a sample, which only decides the placement) have
 the n-grams behind them spread over ``SPREAD`` shards. A task adds up one shard at a time, writes its n-grams as
 a sorted array of hashes and an array of counts, and hands on: per history the total and how many n-grams
 occur once, twice, more often; per word its count; and the next shorter n-grams, whose count is the number of
@@ -46,12 +46,14 @@ from eventflow.llm.shared import Tables
 #: Two words. The query's order: three words come to more than four times the input on disk (README).
 ORDER = 2
 #: Bytes of text a shard has on average, and the least number of shards as a power of two.
-SHARD_BYTES, LEAST_BITS = 16 << 20, 6
+SHARD_BYTES, LEAST_BITS = 8 << 20, 6
 #: Bytes of text counted or scored at a time.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 16 << 20
 #: The share of a sample's tokens from which on a word is spread, and over how many shards.
 HOT_SHARE, SAMPLE, SPREAD = 1 / 256, 0.01, 64
 OUT_ROWS = 100_000
+#: Words whose figures a task holds before it hands them on.
+HELD_WORDS = 1 << 21
 
 U = np.uint64
 #: Hashes of the marks before and after a text.
@@ -149,13 +151,45 @@ def _rows(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c[lo:lo + OUT_ROWS].view(np.int64) if c.dtype == U else c[lo:lo + OUT_ROWS]) for c in columns.values()], list(columns))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+def _packed(shard: np.ndarray, histories: list[np.ndarray], lead: np.ndarray, w: np.ndarray, c: np.ndarray) -> pa.Table:
+    """N-grams as rows of a history (in a shard): its own columns once, its words and their counts as arrays."""
+    at = np.lexsort((histories[-1], shard))
+    shard, top, w, c = shard[at], histories[-1][at], np.ascontiguousarray(w[at]), np.ascontiguousarray(c[at])
+    first = np.flatnonzero(np.concatenate([[True], (shard[1:] != shard[:-1]) | (top[1:] != top[:-1])])) if len(w) else np.zeros(0, np.int64)
+    cuts = np.append(first, len(w))
+
+    def binary(a):
+        return pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((cuts * a.itemsize).astype(np.int32)), pa.py_buffer(a)])
+
+    rows = at[first]
+    return pa.table({"shard": pa.array(shard[first]), "words": binary(w), "counts": binary(c), "lead": pa.array(lead[rows]),
+                     **{f"h{m + 1}": pa.array(h[rows].view(np.int64)) for m, h in enumerate(histories)}})
+
+
+def _unpacked(t: pa.Table, level: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Per n-gram: the hashes of its histories, lead, word, count."""
+    def flat(name):
+        bodies, sizes = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+        for chunk in t.column(name).chunks:
+            cuts = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+            bodies.append(np.frombuffer(chunk.buffers()[2], np.uint8)[cuts[0]:cuts[-1]])
+            sizes.append(np.diff(cuts))
+        return np.concatenate(bodies), np.concatenate(sizes)
+
+    w, sizes = flat("words")
+    sizes = sizes // 8
+    w = w.view(U)
+    c, _ = flat("counts")
+    c = c.view(f"u{max(len(c) // max(len(w), 1), 1)}").astype(np.int64)
+    return [np.repeat(t.column(f"h{m}").to_numpy().view(U), sizes) for m in range(1, level)], np.repeat(t.column("lead").to_numpy(), sizes), w, c
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
     """Rows that come sorted by their first column, ``shard``, one shard at a time."""
     held: list[pa.RecordBatch] = []
 
     def close():
-        t = pa.Table.from_batches(held)
-        return {n: t.column(n).to_numpy() for n in t.column_names}
+        return pa.Table.from_batches(held)
 
     for b in batches:
         shards = b.column(0).to_numpy()
@@ -232,7 +266,7 @@ def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _count_grams(order: int, placing: Placing):
-    """Texts to rows: shard, c, w, lead (marks at the n-gram's start), h1 to h(order-1)."""
+    """Texts to packed n-grams. ``lead``: the marks at an n-gram's start."""
     def run(batches):
         for batch in batches:
             for part in blocks(batch, 0):
@@ -240,13 +274,13 @@ def _count_grams(order: int, placing: Placing):
                 h = b.histories(order - 1)
                 _, at, c = np.unique(gram_key(h[-1], b.ids), return_index=True, return_counts=True)
                 h, w = [x[at] for x in h], b.ids[at]
-                yield from _rows({"shard": placing.of_gram(h[-1], h[0], w), "c": c.astype(np.int64), "w": w,
-                                  "lead": np.maximum(order - 1 - b.place[at], 0).astype(np.int8), **{f"h{m + 1}": x for m, x in enumerate(h)}})
+                lead = np.maximum(order - 1 - b.place[at], 0).astype(np.int8)
+                yield from _packed(placing.of_gram(h[-1], h[0], w), h, lead, w, c.astype(np.uint32)).to_batches(OUT_ROWS)
     return run
 
 
 def _gram_schema(level: int) -> str:
-    return "shard int, c long, w long, lead byte" + "".join(f", h{m} long" for m in range(1, level))
+    return "shard int, words binary, counts binary, lead byte" + "".join(f", h{m} long" for m in range(1, level))
 
 
 STATS = "shard int, kind byte, level byte, key long, a long, b long, c long, d long"
@@ -269,43 +303,61 @@ def _counts_of_counts(shard: int, level: int, c: np.ndarray) -> dict[str, np.nda
 
 
 def _add_up(level: int, order: int, placing: Placing, root: str):
-    """Rows of one level, sorted by shard: arrays written, rows of figures and (above 2) of shorter n-grams given."""
+    """Packed n-grams of one level, sorted by shard: arrays written; figures and (above 2) shorter n-grams given."""
     longer = [f"h{m}" for m in range(1, level - 1)]
+    names = [f.split()[0] for f in STATS.split(", ")]
+
+    def figures(columns):
+        for b in _rows(columns):
+            none = {"words": pa.nulls(len(b), pa.binary()), "counts": pa.nulls(len(b), pa.binary()), "lead": pa.nulls(len(b), pa.int8()),
+                    **{m: pa.nulls(len(b), pa.int64()) for m in longer}}
+            yield b if level == 2 else pa.RecordBatch.from_arrays([*b.columns, *none.values()], [*names, *none])
+
+    def of_words(held):
+        key, raw, left = _sums(*(np.concatenate(x) for x in zip(*held)))
+        return key, raw, left
 
     def run(batches):
+        held, size = [], 0  # figures of words, of the task's shards so far
         for shard, t in _groups(batches):
-            w, h = t["w"].view(U), t[f"h{level - 1}"].view(U)
-            keys = gram_key(h, w)
+            h, lead, w, c = _unpacked(t, level)
+            keys = gram_key(h[-1], w)
             at = np.argsort(keys)
             first = np.concatenate([[True], keys[at][1:] != keys[at][:-1]])
-            c = np.add.reduceat(t["c"][at], np.flatnonzero(first))
+            c = np.add.reduceat(c[at], np.flatnonzero(first))
             at = at[first]
-            w, h = w[at], h[at]
+            h, lead, w = [x[at] for x in h], lead[at], w[at]
             _write(root, GRAM, level, shard, {"key": keys[at], "n": c})
-            hk, total, n1, n2, n3 = _sums(h, c, *_times(c))
-            wk, raw, left = _sums(w, c, np.ones(len(c), np.int64))
-            figures = [_stats(placing.of(hk), HISTORY, level, hk, total, n1, n2, n3), _counts_of_counts(shard, level, c)]
+            hk, total, n1, n2, n3 = _sums(h[-1], c, *_times(c))
+            yield from figures(_stats(placing.of(hk), HISTORY, level, hk, total, n1, n2, n3))
+            yield from figures(_counts_of_counts(shard, level, c))
             if level == order or level == 2:
-                figures.append(_stats(placing.of(wk), WORD, 1, wk, raw if level == order else raw * 0, left if level == 2 else left * 0))
-            for f in figures:
-                yield from (_rows(f) if level == 2 else _rows(f | _no_gram(len(f["key"]), longer)))
+                held.append(_sums(w, c if level == order else c * 0, np.full(len(c), int(level == 2))))
+                size += len(held[-1][0])
+                if size > HELD_WORDS:
+                    held = [of_words(held)]
+                    size = len(held[0][0])
+                    if size > HELD_WORDS // 2:
+                        yield from figures(_stats(placing.of(held[0][0]), WORD, 1, *held[0]))
+                        held, size = [], 0
             if level > 2:
-                lead = t["lead"][at]
-                rest = {m: t[m].view(U)[at] for m in longer}
-                shards = placing.of_gram(rest[longer[-1]], rest["h1"], w)
-                shorter = _stats(shards, GRAM, level - 1, w, np.where(lead >= 2, c, 1))
-                yield from _rows(shorter | {"lead": np.maximum(lead - 1, 0).astype(np.int8)} | rest)
+                rest = h[:-1]
+                shorter = _packed(placing.of_gram(rest[-1], rest[0], w), rest, np.maximum(lead - 1, 0).astype(np.int8), w,
+                                  np.where(lead >= 2, c, 1).astype(np.uint64))
+                for b in shorter.to_batches(OUT_ROWS):
+                    none = [pa.nulls(len(b), pa.int8()) if n in ("kind", "level") else pa.nulls(len(b), pa.int64()) for n in names[1:]]
+                    yield pa.RecordBatch.from_arrays([b.column(0), *none, *b.columns[1:]], [*names, *b.schema.names[1:]])
+        if held:
+            done = of_words(held)
+            yield from figures(_stats(placing.of(done[0]), WORD, 1, *done))
     return run
 
 
-def _no_gram(size: int, histories: list[str]) -> dict[str, np.ndarray]:
-    return {"lead": np.zeros(size, np.int8)} | {m: np.zeros(size, np.int64) for m in histories}
-
-
 def _finish(root: str):
     """Figures of histories and words, sorted by shard: arrays written, counts of counts given."""
     def run(batches):
         for shard, t in _groups(batches):
+            t = {n: t.column(n).to_numpy() for n in t.column_names}
             for kind in (HISTORY, WORD, COUNTS):
                 for level in np.unique(t["level"][t["kind"] == kind]).tolist():
                     mine = (t["kind"] == kind) & (t["level"] == level)
@@ -381,12 +433,12 @@ def train(texts: DataFrame, tables: Tables, order: int = ORDER) -> Model:
     parts = []
     for level in range(order, 1, -1):
         longer = [f"h{m}" for m in range(1, level - 1)]
-        schema = STATS if level == 2 else f"{STATS}, lead byte" + "".join(f", {m} long" for m in longer)
+        schema = STATS if level == 2 else f"{STATS}, {_gram_schema(level - 1).split(', ', 1)[1]}"
         out = grams.repartition("shard").sortWithinPartitions("shard").mapInArrow(_add_up(level, order, placing, root), schema)
         if level > 2:
             out = tables.put(out, f"level{level}")
-            grams = out.where(F.col("kind") == GRAM).select("shard", F.col("a").alias("c"), F.col("key").alias("w"), "lead", *longer)
-            out = out.where(F.col("kind") != GRAM).select("shard", "kind", "level", "key", "a", "b", "c", "d")
+            grams = out.where(F.col("kind").isNull()).select("shard", "words", "counts", "lead", *longer)
+            out = out.where(F.col("kind").isNotNull()).select(*[f.split()[0] for f in STATS.split(", ")])
         parts.append(out)
     stats = parts[0]
     for p in parts[1:]:
