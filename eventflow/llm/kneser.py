@@ -47,8 +47,8 @@ from eventflow.llm.shared import Tables
 ORDER = 2
 #: Bytes of text a shard has on average, and the least number of shards as a power of two.
 SHARD_BYTES, LEAST_BITS = 8 << 20, 6
-#: Bytes of text counted or scored at a time.
-BLOCK_BYTES = 16 << 20
+#: Bytes of text counted, and scored, at a time.
+BLOCK_BYTES, SCORE_BYTES = 16 << 20, 6 << 20
 #: The share of a sample's tokens from which on a word is spread, and over how many shards.
 HOT_SHARE, SAMPLE, SPREAD = 1 / 256, 0.01, 64
 OUT_ROWS = 100_000
@@ -132,12 +132,13 @@ def tokens(texts: pa.Array) -> Block:
     return Block(ids, np.arange(len(ids)) - np.repeat(starts, sizes), starts)
 
 
-def blocks(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of at most BLOCK_BYTES of text, or one text."""
+def blocks(batch: pa.RecordBatch, column: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``most`` (else BLOCK_BYTES) bytes of text, or one text."""
+    most = most or BLOCK_BYTES
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     lo = total = 0
     for i, s in enumerate(sizes):
-        if i > lo and total + s > BLOCK_BYTES:
+        if i > lo and total + s > most:
             yield batch.slice(lo, i - lo)
             lo, total = i, 0
         total += s
@@ -221,22 +222,17 @@ def _write(root: str, kind: int, level: int, shard: int, arrays: dict[str, np.nd
 
 
 class Arrays:
-    """The mapped arrays of a model, opened as they are asked for."""
+    """The arrays of a model. One shard is mapped at a time, so that what a worker maps does not grow with the model."""
 
     def __init__(self, root: str):
-        self.root, self.open = root, {}
+        self.root = root
 
     def get(self, kind: int, level: int, shard: int, name: str) -> np.ndarray:
-        at = (kind, level, shard, name)
-        if at not in self.open:
-            found = np.zeros(0, U)
-            for dtype in ("u8",) if name == "key" else ("u1", "u2", "u4", "u8"):
-                path = _path(self.root, kind, level, shard, f"{name}.{dtype}")
-                if os.path.exists(path) and os.path.getsize(path):
-                    found = np.memmap(path, dtype, "r")
-                    break
-            self.open[at] = found
-        return self.open[at]
+        for dtype in ("u8",) if name == "key" else ("u1", "u2", "u4", "u8"):
+            path = _path(self.root, kind, level, shard, f"{name}.{dtype}")
+            if os.path.exists(path) and os.path.getsize(path):
+                return np.memmap(path, dtype, "r")
+        return np.zeros(0, U)
 
     def look_up(self, kind: int, level: int, shards: np.ndarray, keys: np.ndarray, names: list[str]) -> list[np.ndarray]:
         """The values of sorted ``keys``; 0 for those that are not there."""
@@ -483,7 +479,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches):
         arrays = Arrays(model.root)
         for batch in batches:
-            for part in blocks(batch, 1):
+            for part in blocks(batch, 1, min(SCORE_BYTES, BLOCK_BYTES)):
                 b = tokens(part.column(1))
                 p, n, base = probabilities(b, model, arrays)
                 size = np.diff(np.append(b.starts, len(b.ids)))
