@@ -30,20 +30,20 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     in its own bucket and a left row in the one or two that its interval touches, so each pair
     meets once and a hot key's rows meet only those near them in time. The rows of an outer or anti
     join that have no partner come from a scan over (key, bucket) for the nearest partner, so they
-    are decided after all buckets. Streams: an equi-join on ``key`` with the range as a residual;
-    give both sides a watermark and Spark evicts state by the same bound. Columns are prefixed per
-    side; rows with a null key or time have no partner.
+    are decided after all buckets. Streams (inner and outer): an equi-join on (key, time bucket) too,
+    see ``_interval_outer``; give both sides a watermark and Spark evicts state by the range.
+    Columns are prefixed per side; rows with a null key or time have no partner.
     """
     lo, hi = _signed_ms(lower), _signed_ms(upper)
     l = left.select([F.col(c).alias(left_prefix + c) for c in left.columns])
     r = right.select([F.col(c).alias(right_prefix + c) for c in right.columns])
     lk, rk, lt, rt = left_prefix + key, right_prefix + key, left_prefix + left_ts, right_prefix + right_ts
+    if hi < lo:
+        raise ValueError("upper is below lower")
     if left.isStreaming or right.isStreaming:
-        return l.join(r, (F.col(lk) == F.col(rk)) & _range_cond(F.col(lt), F.col(rt), lo, hi), how)
+        return _interval_outer(l, r, lk, lt, rk, rt, lo, hi, how).select("_l.*", "_r.*")
     if how not in ("inner", "left_outer", "right_outer", "full_outer", "left_anti"):
         raise ValueError(f"how must be inner, left_outer, right_outer, full_outer or left_anti, not {how}")
-    if hi < lo:
-        raise ValueError("upper is below lower")
     if how == "left_anti":
         return _without_partner(l, lk, lt, r, rk, rt, lo, hi)
     width = (hi - lo) * 1000 + 1
@@ -99,42 +99,40 @@ def reconcile(pays: DataFrame, receipts: DataFrame, key: str = "tx_id", ts: str
     prefixed columns of both sides (``pay_*``, ``receipt_*``), null on the missing side.
     Pays and receipts with an empty key never match (FLT3).
 
-    Batch: the inner interval join by (key, time bucket), and the pays and receipts without a
-    partner from scans over the same kind of buckets (see ``interval_join``). Streams: one
-    full-outer interval join, which Spark evicts by watermark and which emits the unmatched rows
-    after their wait.
+    One full outer join by (key, time bucket), see ``_interval_outer``; a row without a time has no
+    partner. On streams Spark evicts state by watermark and emits the unmatched rows after their wait.
     """
-    p = pays.filter(F.col(key) != "")
-    r = receipts.filter(F.col(key) != "")
-    lower = -_signed_ms(receipt_wait)
-    if p.isStreaming or r.isStreaming:
-        j = interval_join(p, r, key, ts, ts, lower, pay_wait, how="full_outer",
-                          left_prefix="pay_", right_prefix="receipt_")
-        verdict = (F.when(F.col(f"pay_{key}").isNotNull() & F.col(f"receipt_{key}").isNotNull(), F.lit("matched"))
-                    .when(F.col(f"pay_{key}").isNotNull(), F.lit("unmatched_pay"))
-                    .otherwise(F.lit("unmatched_receipt")))
-        return j.select(F.coalesce(F.col(f"pay_{key}"), F.col(f"receipt_{key}")).alias(key),
-                        verdict.alias("verdict"), *j.columns)
-    pc = [f"pay_{c}" for c in p.columns]
-    rc = [f"receipt_{c}" for c in r.columns]
-    matched = interval_join(p, r, key, ts, ts, lower, pay_wait, how="inner",
-                            left_prefix="pay_", right_prefix="receipt_")
-    lone_pays = interval_join(p, r, key, ts, ts, lower, pay_wait, how="left_anti",
-                              left_prefix="pay_", right_prefix="receipt_")
-    # receipts without a pay: the same condition seen from the receipt side
-    lone_receipts = _right_anti(p, r, key, ts, lower, _signed_ms(pay_wait))
-    null_r = [F.lit(None).cast(t).alias(c) for c, t in zip(rc, [f.dataType for f in r.schema.fields])]
-    null_p = [F.lit(None).cast(t).alias(c) for c, t in zip(pc, [f.dataType for f in p.schema.fields])]
-    out = (matched.select(F.col(f"pay_{key}").alias(key), F.lit("matched").alias("verdict"), *pc, *rc)
-           .unionByName(lone_pays.select(F.col(f"pay_{key}").alias(key), F.lit("unmatched_pay").alias("verdict"),
-                                         *pc, *null_r))
-           .unionByName(lone_receipts.select(F.col(f"receipt_{key}").alias(key),
-                                             F.lit("unmatched_receipt").alias("verdict"), *null_p, *rc)))
-    return out
-
+    p, r = (d.filter(F.col(key) != "").select([F.col(c).alias(f"{side}_{c}") for c in d.columns]) for d, side in ((pays, "pay"), (receipts, "receipt")))
+    j = _interval_outer(p, r, f"pay_{key}", f"pay_{ts}", f"receipt_{key}", f"receipt_{ts}", -_signed_ms(receipt_wait), _signed_ms(pay_wait), "full_outer")
+    verdict = (F.when(F.col("_l").isNotNull() & F.col("_r").isNotNull(), F.lit("matched"))
+                .when(F.col("_l").isNotNull(), F.lit("unmatched_pay")).otherwise(F.lit("unmatched_receipt")))
+    return j.select(F.coalesce(f"_l.pay_{key}", f"_r.receipt_{key}").alias(key), verdict.alias("verdict"), "_l.*", "_r.*")
+
+
+def _interval_outer(l: DataFrame, r: DataFrame, lk: str, lt: str, rk: str, rt: str, lo: int, hi: int, how: str) -> DataFrame:
+    """Pairs with ``rt`` in ``[lt + lo, lt + hi]`` (ms) and, as ``how`` says, rows without a partner: ``_l``, ``_r``
+    (structs of the sides' rows, null where there is no partner). Tables or streams.
+
+    One join on (key, bucket), buckets as wide as the interval; each side is read and exchanged once. On one
+    time line (a left row stands where its interval starts) a left row is at home in its bucket and leaves its
+    place, without its columns, in the next; a right row is at home in its bucket and once more in the one
+    before. All partners of a left row are in its home, and so are the places of all partners of a right row:
+    a home row that the join leaves alone has no partner anywhere, and a pair is taken where its left row is at
+    home. Other rows of the join (places that met or missed) are dropped."""
+    width = (hi - lo) * 1000 + 1
 
-def _right_anti(p: DataFrame, r: DataFrame, key: str, ts: str, lower_ms: int, upper_ms: int) -> DataFrame:
-    """Receipts with no pay such that receipt.ts in [pay.ts + lower, pay.ts + upper], i.e.
-    pay.ts in [receipt.ts - upper, receipt.ts - lower]: a left anti join from the receipt side."""
-    return interval_join(r, p, key, ts, ts, -upper_ms, -lower_ms, how="left_anti",
-                         left_prefix="receipt_", right_prefix="pay_")
+    def placed(d, side, key, ts, shift_ms, other, everywhere):
+        b = _bucket(ts, shift_ms, width)
+        places = F.explode(F.array(F.struct(b.alias("b"), F.lit(True).alias("home")), F.struct((b + other).alias("b"), F.lit(False).alias("home"))))
+        d = d.select(F.col(key).alias(f"_k{side}"), F.col(ts).alias(f"_t{side}"), F.struct(*d.columns).alias("row"), places.alias("at"))
+        row = F.col("row") if everywhere else F.when(F.col("at.home"), F.col("row"))
+        return d.select(f"_k{side}", f"_t{side}", F.col("at.b").alias(f"_b{side}"), F.col("at.home").alias(f"_h{side}"), row.alias(f"_{side}"))
+
+    if how not in ("inner", "left_outer", "right_outer", "full_outer"):
+        raise ValueError(f"how must be inner, left_outer, right_outer or full_outer, not {how}")
+    a, b = placed(l, "l", lk, lt, lo, 1, False), placed(r, "r", rk, rt, 0, -1, True)
+    gap = F.unix_micros(F.col("_tr").cast("timestamp")) - F.unix_micros(F.col("_tl").cast("timestamp"))
+    # Streams evict by a condition on the event times themselves; on tables plain integers are cheaper.
+    near = _range_cond(F.col("_tl"), F.col("_tr"), lo, hi) if l.isStreaming or r.isStreaming else gap.between(lo * 1000, hi * 1000)
+    j = a.join(b, (F.col("_kl") == F.col("_kr")) & (F.col("_bl") == F.col("_br")) & near, how)
+    return j.where(F.coalesce("_hl", "_hr")).select("_l", "_r")

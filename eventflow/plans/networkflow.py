@@ -88,7 +88,10 @@ SELECT t - t % 3600000 + 3600000 AS window_end,
 FROM ub WHERE behavior = 'pv' GROUP BY t - t % 3600000 + 3600000"""
 
 
-@register("q08_unique_visitors_bitmap", _q8_sql(29))
+Q8_SQL = _q8_sql(29)
+
+
+@register("q08_unique_visitors_bitmap", Q8_SQL)
 def q08(spark: SparkSession, sf_dir: str) -> DataFrame:
     pv = user_behavior(spark, sf_dir, "pv").filter(F.col("behavior") == "pv")
     return unique_visitors_bitmap(pv, "ts", "1 hour", "user_id", bits=29)

@@ -44,8 +44,8 @@ def shared_dir(spark: SparkSession, allow_local: bool = False) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     Used for ``DataFrame.checkpoint()`` and streaming checkpoint locations. When the
-    setting is missing we refuse on a cluster; tests pass ``allow_local=True`` and
-    get a fresh scratch folder (set once per session).
+    setting is missing we refuse on a cluster; in local mode, where all tasks run on this
+    machine, a fresh scratch folder is set once per session.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -53,7 +53,7 @@ def shared_dir(spark: SparkSession, allow_local: bool = False) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
         return d.rstrip("/")
-    if not allow_local:
+    if not allow_local and not sc.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir is not set; set it to a folder every executor can reach")
     d = tempfile.mkdtemp(prefix="eventflow-ckpt-")
     sc.setCheckpointDir(d)

@@ -31,6 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if _STREAM_OPTS.get("max_files_per_trigger"):
             r = r.option("maxFilesPerTrigger", _STREAM_OPTS["max_files_per_trigger"])
         src = _STREAM_OPTS.get("paths", {}).get(name, path)
+        at = spark._jvm.org.apache.hadoop.fs.Path(src)
+        if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile():  # file streams read folders
+            return r.option("pathGlobFilter", at.getName()).parquet(at.getParent().toString())
         return r.parquet(src)
     return spark.read.parquet(path)
 

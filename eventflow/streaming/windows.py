@@ -3,10 +3,9 @@
 * ``stream_windowed_count``: ``window()`` + watermark. Watermark = out-of-orderness
   delay + allowed lateness (ST2, ST3). ``append`` emits each window once, when the
   watermark passes its end; ``update`` emits running counts and late corrections.
-* ``stream_sliding_count``: the pane plan on streams (PX1-S) as two chained
-  aggregations: tumbling panes of one slide, then sliding windows over the panes
-  (``window_time`` of a pane lies in exactly the windows that contain the pane), so
-  the Expand multiplies pane rows, not events.
+* ``stream_sliding_count``: panes of one slide, then keyed state that turns panes
+  into stretches of equal window values (``streaming.panes``); nothing is expanded before
+  the output rows.
 * ``stream_unique_visitors``: exact distinct per window as two chained aggregations
   (``countDistinct`` is not supported on streams).
 * ``top_n_writer``: ranks each micro-batch of an append-mode count stream; all keys of
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 
 from eventflow.functions.time import duration_ms
 from eventflow.operators.ranking import top_n
+from eventflow.streaming.panes import sliding_count
 
 
 def _ms_interval(ms: int) -> str:
@@ -49,12 +49,7 @@ def stream_windowed_count(df: DataFrame, keys: Sequence[str], ts: str, size, sli
 
 def stream_sliding_count(df: DataFrame, keys: Sequence[str], ts: str, size, slide,
                          delay="0 seconds", count_col: str = "count") -> DataFrame:
-    size_ms, slide_ms = duration_ms(size), duration_ms(slide)
-    d = with_event_time(df, ts, delay)
-    panes = d.groupBy(*keys, F.window(ts, _ms_interval(slide_ms)).alias("pane")).agg(F.count(F.lit(1)).alias("_c"))
-    w = F.window(F.window_time("pane"), _ms_interval(size_ms), _ms_interval(slide_ms))
-    g = panes.groupBy(*keys, w.alias("window")).agg(F.sum("_c").cast("long").alias(count_col))
-    return g.select(*_bounds(keys, count_col))
+    return sliding_count(df, keys, ts, size, slide, delay, count_col)
 
 
 def stream_unique_visitors(df: DataFrame, ts: str = "ts", size="1 hour", user: str = "user_id",
@@ -65,6 +60,60 @@ def stream_unique_visitors(df: DataFrame, ts: str = "ts", size="1 hour", user: s
     return g.select(F.unix_millis(F.col("window.end")).alias("window_end"), "uv_count")
 
 
+def stream_running_visitors(df: DataFrame, ts: str = "ts", size="1 hour", user: str = "user_id", bits: int = 29,
+                            delay="0 seconds") -> DataFrame:
+    """Unique visitors of open windows as they arrive (ST6 with AG8), for update mode: window_end, piece, bits, n.
+
+    The bitmap of a window is kept in pieces of 2**15 offsets, each a state row that Spark's bitmap aggregate
+    sets bits in (map-side partials merge), so no window is one task, and a micro-batch touches the pieces that
+    its users fall in. ``n`` only rises; ``running_visitors_writer`` adds the pieces of a window up. Pieces of
+    several windows merge with ``merge_visitors``."""
+    from eventflow.functions.hashing import poly_hash
+
+    off = df.withColumn("_offset", poly_hash(F.col(user).cast("string"), bits=bits))
+    d = with_event_time(off, ts, delay)
+    g = d.groupBy(F.window(ts, _ms_interval(duration_ms(size))).alias("window"), F.bitmap_bucket_number("_offset").alias("piece"))
+    g = g.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_offset")).alias("bits"))
+    return g.select(F.unix_millis(F.col("window.end")).alias("window_end"), "piece", "bits", F.bitmap_count("bits").alias("n"))
+
+
+def merge_visitors(pieces: DataFrame, size) -> DataFrame:
+    """Unique visitors of longer windows (a whole number of the pieces' windows) from pieces with bits."""
+    size_ms = duration_ms(size)
+    end = F.floor((F.col("window_end") + (size_ms - 1)) / size_ms) * size_ms
+    whole = pieces.groupBy(end.alias("window_end"), "piece").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    return whole.groupBy("window_end").agg(F.sum("n").alias("uv_count"))
+
+
+def running_visitors_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` for ``stream_running_visitors``: writes each touched window's count so far to
+    ``path/updates`` (window_end, uv_count, _batch).
+
+    The counts of pieces are kept in ``path/pieces``, a folder per day of windows, of which a batch reads the
+    days it touches; older days are not read again. A batch that is run again overwrites what it wrote."""
+    day = F.floor(F.col("window_end") / 86_400_000).alias("_day")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        pieces, updates = f"{path}/pieces", f"{path}/updates"
+        (batch.select("window_end", "piece", "n", day, F.lit(batch_id).cast("long").alias("_batch")).repartition("_day").write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy("_day", "_batch").parquet(pieces))
+        known = spark.read.schema("window_end long, piece long, n long, _day long, _batch long").parquet(pieces).where(F.col("_batch") <= batch_id)
+        now = known.groupBy("_day", "window_end", "piece").agg(F.max("n").alias("n"), F.max("_batch").alias("_last"))
+        now = now.groupBy("_day", "window_end").agg(F.sum("n").alias("uv_count"), F.max("_last").alias("_batch")).where(F.col("_batch") == batch_id)
+        days = [r["_day"] for r in known.where(F.col("_batch") == batch_id).select("_day").distinct().collect()]
+        (now.where(F.col("_day").isin(days)).drop("_day").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(updates))
+    return run
+
+
+def last_updates(spark, path: str, key: str = "window_end") -> DataFrame:
+    """The last row that ``path/updates`` has for each ``key``."""
+    d = spark.read.parquet(f"{path}/updates")
+    rest = [c for c in d.columns if c not in (key, "_batch")]
+    return d.groupBy(key).agg(F.max_by(F.struct(*rest), "_batch").alias("r")).select(key, "r.*")
+
+
 def top_n_writer(n: int, order_col: str, tiebreak: Sequence[str], sink: Callable[[DataFrame, int], None],
                  group_col: str = "window_end", rank_col: str = "rank") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: rank the batch's (closed) windows and hand the top rows to ``sink``."""

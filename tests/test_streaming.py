@@ -282,3 +282,99 @@ def test_hot_items_sql_on_stream(spark, stream_dir, tmp_path):
     want = hot_items_sql(spark, batch, "1 hour", 5).filter(F.col("window_end") + 3_600_000 <= _wm_ms(batch))
     cols = ["item_id", "cnt", "window_end", "row_num"]
     assert _rows(got, cols) == _rows(want, cols) and got.count() > 0
+
+
+def _run_and_explain(df, path, checkpoint):
+    """Runs the stream to its end into ``path``; the physical plan of its last micro-batch."""
+    q = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q._jsq.explainInternal(False)
+
+
+def test_fine_slides_from_pane_state(spark, stream_dir, tmp_path):
+    """1 h / 5 s: no Expand in the stream's plan, equal to the batch form; late events count in open windows."""
+    batch = ad_clicks(spark, SF_SMALL)
+    with _stream(stream_dir):
+        s = ad_clicks(spark, SF_SMALL)
+    counts = stream_sliding_count(s, ["province"], "ts", "1 hour", "5 seconds")
+    path = str(tmp_path / "fine")
+    name = f"fine{next(_n)}"
+    plan = _run_and_explain(counts, path, str(tmp_path / name))
+    assert "FlatMapGroupsInPandasWithState" in plan and "Expand" not in plan
+    want = windowed_count(batch, ["province"], "ts", "1 hour", "5 seconds").filter(F.col("window_end") <= _wm_ms(batch))
+    cols = ["province", "window_start", "window_end", "count"]
+    assert _rows(spark.read.parquet(path), cols) == _rows(want, cols)
+
+
+def test_pane_state_with_late_events_and_null_keys(spark, tmp_path):
+    base = 1_700_000_000 - 1_700_000_000 % 28_800
+    batches = [[("a", base + 10), (None, base + 20), ("a", None)], [("a", base + 4000), ("b", base + 28_790)], [("a", base + 28_000), (None, base + 28_795)],
+               [("z", base + 60_000)]]
+    src = str(tmp_path / "panes")
+    for rows in batches:
+        spark.createDataFrame(rows, "k string, sec long").withColumn("ts", F.timestamp_seconds("sec")).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    s = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    got = run_available(stream_sliding_count(s, ["k"], "ts", "1 hour", "5 minutes", delay="20 minutes"), f"panes{next(_n)}")
+    rows = spark.read.parquet(src).where("ts is not null")
+    want = windowed_count(rows, ["k"], "ts", "1 hour", "5 minutes").filter(F.col("window_end") <= (base + 60_000 - 1200) * 1000)
+    key = lambda r: (r[0] or "", *r[1:])
+    cols = ["k", "window_end", "count"]
+    assert sorted(_rows_any(got, cols), key=key) == sorted(_rows_any(want, cols), key=key) and got.count() > 30
+
+
+def _rows_any(df, cols):
+    return [tuple(r[c] for c in cols) for r in df.collect()]
+
+
+def test_running_unique_visitors(spark, stream_dir, tmp_path):
+    """Update mode over four batches: the last update of each window is the batch result, updates only rise."""
+    from eventflow.operators.distinct import unique_visitors_bitmap
+    from eventflow.streaming.windows import last_updates, merge_visitors, running_visitors_writer, stream_running_visitors
+
+    for bits in (29, 5):
+        with _stream(stream_dir):
+            s = user_behavior(spark, SF_SMALL, "pv")
+        path = str(tmp_path / f"uv{bits}")
+        pieces = stream_running_visitors(s, "ts", "1 hour", bits=bits, delay="1 hour")
+        run_available(pieces, f"ruv{next(_n)}", "update", running_visitors_writer(path))
+        want = unique_visitors_bitmap(user_behavior(spark, SF_SMALL, "pv"), "ts", "1 hour", bits=bits)
+        assert _rows(last_updates(spark, path), ["window_end", "uv_count"]) == _rows(want, ["window_end", "uv_count"])
+        seen = {}
+        for r in spark.read.parquet(f"{path}/updates").orderBy("_batch").collect():
+            seen.setdefault(r["window_end"], []).append(r["uv_count"])
+        assert all(v == sorted(v) and len(v) == len(set(v)) or v == sorted(v) for v in seen.values())
+    batch = user_behavior(spark, SF_SMALL, "pv")
+    days = unique_visitors_bitmap(batch, "ts", "1 day", bits=29)
+    assert _rows(merge_visitors(stream_running_visitors(batch, "ts", "1 hour"), "1 day"), ["window_end", "uv_count"]) == _rows(days, ["window_end", "uv_count"])
+
+
+def test_one_hot_key_in_stream_joins(spark, tmp_path):
+    """All rows of one key: the bucket is a join key of the stream, and unmatched rows come out once."""
+    hour = 3_600_000
+    base = 1_700_000_000_000 - 1_700_000_000_000 % (24 * hour)
+    rng = __import__("random").Random(5)
+    pays = [("hot", base + rng.randrange(40 * hour)) for _ in range(60)] + [("hot", base + 90 * hour)]
+    receipts = [("hot", base + rng.randrange(40 * hour)) for _ in range(60)] + [("hot", base + 90 * hour)]
+    sides = []
+    for name, rows in (("p", pays), ("r", receipts)):
+        d = str(tmp_path / name)
+        rows = sorted(rows)
+        for lo in range(0, len(rows), 21):
+            spark.createDataFrame(rows[lo:lo + 21], "tx_id string, ms long").select("tx_id", F.timestamp_millis("ms").alias("ts")).coalesce(1).write.mode("append").parquet(d)
+            time.sleep(1.1)
+        sides.append((spark.read.parquet(d), spark.readStream.schema("tx_id string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(d)))
+    (bp, sp), (br, sr) = sides
+    for pay_wait, receipt_wait in (("20 minutes", "10 minutes"), ("2 hours", "0 seconds")):
+        out = stream_reconcile(sp, sr, "tx_id", "ts", pay_wait, receipt_wait)
+        path = str(tmp_path / f"hot{next(_n)}")
+        keys = _run_and_explain(out, path, path + "-c").split("StreamingSymmetricHashJoin [")[1].split("]")[0]
+        assert "_kl" in keys and "_bl" in keys
+        want = reconcile(bp, br, "tx_id", "ts", pay_wait, receipt_wait).filter(F.coalesce("pay_ts", "receipt_ts") < F.timestamp_millis(F.lit(base + 80 * hour)))
+        got = spark.read.parquet(path).filter(F.coalesce("pay_ts", "receipt_ts") < F.timestamp_millis(F.lit(base + 80 * hour)))
+        cols = ["tx_id", "verdict", "pay_ts", "receipt_ts"]
+        key = lambda r: tuple(str(x) for x in r)
+        assert sorted(_rows_any(got, cols), key=key) == sorted(_rows_any(want, cols), key=key)
+        naive = [(p, r) for p in pays[:-1] for r in receipts[:-1] if -(600_000 if receipt_wait == "10 minutes" else 0) <= r[1] - p[1] <= (1_200_000 if pay_wait == "20 minutes" else 2 * hour)]
+        assert sum(r[1] == "matched" for r in _rows_any(want, cols)) == len(naive) > 0
+        assert {r[1] for r in _rows_any(want, cols)} == {"matched", "unmatched_pay", "unmatched_receipt"}
