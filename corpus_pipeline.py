@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from eventflow.llm import decontam, jaccard, packing, pii, toxicity
@@ -20,7 +19,8 @@ from eventflow.llm.shared import shared_dir
 ORACLE_SQL = None
 #: Near copies: five words a shingle, Jaccard similarity of 0.8 or more.
 SHINGLE_WORDS, SIMILARITY = 5, (80, 100)
-PII_KEY = pii.DEFAULT_KEY
+#: The corpus's secret is ``spark.eventflow.pii.key``; the test tables hold made-up data and go without.
+PII_KEY = "no secret: test tables only"
 
 
 def toxic_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,11 +41,13 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by pseudonyms of the same format."""
-    return pii.pseudonymise(docs, key=PII_KEY)
+    return pii.pseudonymise(docs, key=spark.conf.get("spark.eventflow.pii.key", PII_KEY))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in training windows."""
+    import public_tokenizers  # only here: the other stages, and the queries beside this module, do without
+
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -54,12 +56,23 @@ STAGES = [("toxicity", toxic_stage), ("near copies", near_copies_stage), ("bench
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; stages hand over Parquet tables in the shared folder."""
+    """All stages over ``documents``; stages hand over Parquet tables in the shared folder. Each table goes when the
+    next one stands, the last stays, as the result reads it; after a failure none stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs.write.parquet(f"{root}/{k}")
-            docs = spark.read.parquet(f"{root}/{k}")
+    try:
+        for k, (_, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if k < len(STAGES) - 1:
+                docs.write.parquet(f"{root}/{k}")
+                docs = spark.read.parquet(f"{root}/{k}")
+                _delete(spark, f"{root}/{k - 1}")
+    except BaseException:
+        _delete(spark, root)
+        raise
     return docs
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
