@@ -7,14 +7,15 @@ impacts cannot reach a threshold (the WAND bound); for the rest the blocks' larg
 summed, and only items of blocks that can still reach their threshold are scored. An item is
 retrieved by a passage that scores at least ``RETRIEVE`` of what the item's own text would score.
 Retrieved pairs are verified on the whole text: the item's question (all but its last sentence)
-and answer (its last sentence) are held when enough of their word 5-grams occur in the text.
+and answer (its last sentence) are held when enough of their word 5-grams occur in the text; a part of fewer
+than five words is held when its whole word sequence occurs in or beside a passage that retrieved the item.
 
 A passage holds at least as many words as the longest item plus the step between passages, so an
 item copied into a text lies whole in one passage. The index is sent to every task after a check
 of its size; beyond ``MAX_INDEX_WORDS`` the items are handled in groups of that size, one scan each.
 
 Corner cases: null and empty texts and items without words match nothing; items shorter than five
-words count as one shingle; repeated items are reported under each id, repeated rows each; null
+words are held where their words occur in a row; repeated items are reported under each id, repeated rows each; null
 ids are kept; empty tables give no pairs.
 """
 
@@ -49,8 +50,11 @@ def _scan(texts: list[str]) -> Words:
     return Words(data, offsets)
 
 
-def _sets(texts: list[str]) -> list[np.ndarray]:
-    return list(_scan(texts).shingle_sets(SHINGLE))
+def _parts(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray | None]]:
+    """Each text's set of shingles and, when it has fewer words than a shingle, its words' hashes."""
+    w = _scan(texts)
+    words = [w.hash[w.first[i]:w.first[i + 1]] for i in range(len(texts))]
+    return [(s, x if len(x) < SHINGLE else None) for s, x in zip(w.shingle_sets(SHINGLE), words, strict=True)]
 
 
 class Index:
@@ -61,9 +65,9 @@ class Index:
         self.ids = [i for i, _ in items]
         texts = [t for _, t in items]
         cut = [_answer_start(t) for t in texts]
-        self.question = _sets([t[:c] if c else t for t, c in zip(texts, cut, strict=True)])
-        self.answer = _sets([t[c:] for t, c in zip(texts, cut, strict=True)])
-        self.whole = _sets(texts)
+        self.question = _parts([t[:c] if c else t for t, c in zip(texts, cut, strict=True)])
+        self.answer = _parts([t[c:] for t, c in zip(texts, cut, strict=True)])
+        self.whole = _parts(texts)
         w = _scan(texts)
         n = len(texts)
         lengths = np.bincount(w.row, minlength=n) if n else np.zeros(0)
@@ -102,13 +106,15 @@ class Index:
         # Common terms: those of least impact, whose impacts together stay under a third of what any
         # block needs. A passage's other terms must reach the rest by themselves.
         small = np.argsort(self.largest, kind="stable")
-        counts = np.diff(self.block_first)
-        per_block = np.zeros((len(self.terms), self.blocks))
-        per_block[np.repeat(np.arange(len(self.terms)), counts), self.block_of] = self.block_impact
-        together = np.cumsum(per_block[small], axis=0)
-        fits = (together < self.block_least / 3).all(axis=1) if n else np.zeros(0, dtype=bool)
-        n_common = len(fits) if fits.all() else int(np.argmin(fits))
-        self.block_rest = self.block_least - (together[n_common - 1] if n_common else 0.0)
+        together, n_common = np.zeros(self.blocks), 0
+        for t in small:
+            at = slice(self.block_first[t], self.block_first[t + 1])
+            more = together[self.block_of[at]] + self.block_impact[at]
+            if (more >= self.block_least[self.block_of[at]] / 3).any():
+                break
+            together[self.block_of[at]] = more
+            n_common += 1
+        self.block_rest = self.block_least - together
         rare = np.ones(len(self.terms), dtype=bool)
         rare[small[:n_common]] = False
         self.rare = np.flatnonzero(rare)
@@ -158,8 +164,21 @@ def _spread(first: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.arange(counts.sum()) + (first[keys] - np.cumsum(counts) + counts)[own], own
 
 
-def _share(part: np.ndarray, text: np.ndarray) -> float:
-    return float(np.isin(part, text, assume_unique=True).mean()) if len(part) else 0.0
+def _share(part: tuple[np.ndarray, np.ndarray | None], text: np.ndarray, around: list[np.ndarray]) -> float:
+    """How much of a part is held: of its shingles in the text's, or (short parts) whether its words are in a
+    row in one of the stretches ``around`` the passages."""
+    shingles, words = part
+    if words is not None:
+        return float(len(words) > 0 and any(_in_a_row(words, a) for a in around))
+    return float(np.isin(shingles, text, assume_unique=True).mean()) if len(shingles) else 0.0
+
+
+def _in_a_row(words: np.ndarray, text: np.ndarray) -> bool:
+    n = len(text) - len(words) + 1
+    found = np.ones(max(n, 0), dtype=bool)
+    for j in range(len(words) if n > 0 else 0):
+        found &= text[j:j + n] == words[j]
+    return bool(found.any())
 
 
 def scan(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, float, float, float, float]]:
@@ -185,20 +204,22 @@ def scan(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int,
     pair = np.unique(np.concatenate(keys) * len(index.terms) + np.concatenate(terms))
     hot, block = index.blocks_reached(pair // len(index.terms), pair % len(index.terms), int(base[-1]))
     best: dict[tuple[int, int], float] = {}
+    places: dict[tuple[int, int], list[np.ndarray]] = {}
     for p in np.unique(hot):
         row = int(np.searchsorted(base, p, side="right")) - 1
         lo = int(w.first[row] + (p - base[row]) * step)
         passage = index.lookup(w.hash[lo:min(lo + width, int(w.first[row + 1]))])
         for item, score in index.search(passage, block[hot == p]):
             best[row, item] = max(best.get((row, item), 0.0), score / index.own[item])
+            places.setdefault((row, item), []).append(w.hash[max(int(w.first[row]), lo - width):min(lo + 2 * width, int(w.first[row + 1]))])
     if not best:
         return []
     out, held = [], {}
     for (row, item), score in sorted(best.items()):
         if row not in held:
             held = {row: next(Words(w.data, w.offsets[row:row + 2]).shingle_sets(SHINGLE))}
-        text = held[row]
-        out.append((row, item, score, _share(index.question[item], text), _share(index.answer[item], text), _share(index.whole[item], text)))
+        text, around = held[row], places[row, item]
+        out.append((row, item, score, *(_share(part[item], text, around) for part in (index.question, index.answer, index.whole))))
     return out
 
 

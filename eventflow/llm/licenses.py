@@ -8,14 +8,17 @@ band. Two windows of Jaccard similarity s share one with probability 1 - (1 - s*
 above 0.99 from s = 0.6 on, and 1 for equal windows, one of which lies in every whole copy.
 
 A retrieved template is verified on the words around the window: the share of its distinct
-shingles that occur there must reach ``CONTAINED``. Overlapping findings of a template are one.
+shingles that occur there must reach ``CONTAINED``, and of each phrase that tells its license from siblings
+(``DECIDING``: a version, Affero, Lesser, BY/NC/SA) at least ``DECIDED`` of the shingles must be there. Overlapping
+findings of a template are one. A sibling without a template of its own is not reported under another's name.
 
 Corner cases: null, empty and short texts match nothing; texts of any length are scanned whole;
-repeated rows are reported each; null ids are kept; an empty table gives no rows.
+repeated rows are reported each; null ids are kept; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,19 +43,47 @@ TEMPLATES = (
             "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
             "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+                 "as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+                 "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
                 "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
                 "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-                     "following conditions are met:"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+            "following conditions are met:"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+                     "derived from this software without specific prior written permission."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+# Phrases that tell a license from its siblings. Those that a template has must be in the text.
+DECIDING = ("version 1", "version 2", "version 3", "v 2", "gnu general", "gnu affero", "gnu lesser", "attribution 4", "sharealike 4",
+            "noncommercial 4", "by 4", "nc 4", "sa 4", "apache license", "mit license", "mozilla public", "neither the name")
+#: Share of a deciding phrase's shingles that a text must hold (a word beside it may differ).
+DECIDED = 0.5
+
+
+def _deciding(text: str, shingles: np.ndarray) -> list[np.ndarray]:
+    """Per deciding phrase of a template, the shingles that contain it."""
+    words = re.findall("[^ \\t-\\r!-/:-@\\[-`{-~]+", text.lower())
+    out = []
+    for phrase in (p.split() for p in DECIDING):
+        for a in (a for a in range(len(words)) if words[a:a + len(phrase)] == phrase):
+            out.append(shingles[max(0, a + len(phrase) - SHINGLE):a + 1])
+    return out
+
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(data, offsets, PUNCTUATION)
@@ -94,7 +125,7 @@ class Templates:
 
     def __init__(self, templates):
         self.names = [name for name, _ in templates]
-        self.sets, self.words, keys, owners = [], [], [], []
+        self.sets, self.words, self.deciding, keys, owners = [], [], [], [], []
         for i, (_, text) in enumerate(templates):
             w = _words(*text_buffers(pa.array([text], pa.large_string())))
             if len(w.hash) < SHINGLE:
@@ -102,6 +133,7 @@ class Templates:
             shingles = _shingles(w)
             self.sets.append(np.unique(shingles))
             self.words.append(len(w.hash))
+            self.deciding.append(_deciding(text, shingles))
             best = max(s for s in SIZES if s <= len(w.hash))
             for band in range(BANDS):
                 for size, key in band_keys(shingles, band):
@@ -150,7 +182,7 @@ def find(t: Templates, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int,
         around = shingles[lo:hi - SHINGLE + 1]
         held = np.isin(around, t.sets[i])
         share = len(np.unique(around[held])) / len(t.sets[i])
-        if share >= CONTAINED:
+        if share >= CONTAINED and all(np.isin(d, around).mean() >= DECIDED for d in t.deciding[i]):
             inside = np.flatnonzero(held)
             begin = int(w.offsets[row])
             out.append((row, i, share, int(w.start[lo + inside[0]]) - begin, int(w.end[lo + inside[-1] + SHINGLE - 1]) - begin))

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
-DEFAULT_KEY = "set a secret key per corpus"
 
 # The formats. Every pattern starts and ends on its own characters (no look-around
 # needed to tell a match from its text), so the first alternative that matches names the kind.
@@ -39,8 +38,8 @@ _NUMBERS = ("date", "phone", "ssn", "ip", "card")
 # Inside a word nothing is tried; numbers only where one can start.
 PATTERN = (r"(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{p})" for k, p in FORMATS.items() if k not in _NUMBERS)
            + r"|(?=[0-9+(])(?:" + "|".join(f"(?:{FORMATS[k]})" for k in _NUMBERS) + "))")
-# A text without any of these characters has no candidate.
-_HINT = "[0-9@=:]"
+# A text without any of these has no candidate: keys and tokens may be of letters alone.
+_HINT = "[0-9@=:]|A(?:KIA|SIA)[A-Z]{16}|[a-f]{32}"
 _LOWER, _UPPER, _DIGIT, _HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
 
 
@@ -154,12 +153,42 @@ def _date(m: Column, key: str) -> Column:
         return F.when(valid.isNotNull(), F.date_format(moved, "yyyy-MM-dd")).alias("d")
     d, iso, dots = _digits(m), m.rlike("^[0-9]{4}-"), m.contains(".")
     month_first = ~dots & (_int(m, 1, 2) <= 12)
+    day_first = ~iso & ~dots & ~month_first
     text = (F.when(iso, m).when(month_first, F.concat_ws("-", F.substring(d, 5, 4), F.substring(d, 1, 2), F.substring(d, 3, 2)))
             .otherwise(F.concat_ws("-", F.substring(d, 5, 4), F.substring(d, 3, 2), F.substring(d, 1, 2))))
     def write(p: Column) -> Column:
         y, mo, da = F.substring(p, 1, 4), F.substring(p, 6, 2), F.substring(p, 9, 2)
         return F.when(p.isNull(), None).when(iso, p).otherwise(_refill(m, F.when(month_first, F.concat(mo, da, y)).otherwise(F.concat(da, mo, y))))
-    return _let(_let(F.struct(text.alias("iso")), permuted), write)
+    return _let(F.when(day_first, _let(text, lambda t: _late_day(t, key))).otherwise(_let(F.struct(text.alias("iso")), permuted)), write)
+
+
+# Months by length, and the leap years of 1800 to 2199.
+_LONG_MONTHS, _MONTHS_OF_30 = (1, 3, 5, 7, 8, 10, 12), (1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12)
+_LEAP_YEARS = tuple(y for y in range(1800, 2200) if y % 4 == 0 and (y % 100 != 0 or y % 400 == 0))
+
+
+def _late_day(iso: Column, key: str) -> Column:
+    """Dates written day first that only the day tells from month first: they move among themselves (days 13 to
+    28 of all months; the 29th, 30th and 31st each among the months that have them), so that a pseudonym is read
+    as it is written and no two dates get the same."""
+    day = F.try_to_date(iso) if hasattr(F, "try_to_date") else F.to_date(iso)
+    y, m, d = F.year(day), F.month(day), F.dayofmonth(day)
+
+    def date(year: Column, month: Column, of: Column) -> Column:
+        return F.concat_ws("-", year.cast("string"), F.lpad(month.cast("string"), 2, "0"), F.lpad(of.cast("string"), 2, "0"))
+
+    def among(months: tuple[int, ...], tag: str) -> Column:
+        have, n = F.array(*[F.lit(x) for x in months]), len(months)
+        moved = feistel(((y - 1800) * n + F.array_position(have, m) - 1).cast("long"), 400, n, key, tag)
+        return _let(moved, lambda v: date((v / n).cast("int") + 1800, F.element_at(have, (v % n + 1).cast("int")), d))
+
+    middle = feistel((((y - 1800) * 12 + m - 1) * 16 + d - 13).cast("long"), 240, 320, key, "late day")
+    leap = F.array(*[F.lit(x) for x in _LEAP_YEARS])
+    leap_day = feistel((F.array_position(leap, y) - 1).cast("long"), len(_LEAP_YEARS), 1, key, "leap day")
+    moved = (F.when(d <= 28, _let(middle, lambda v: date((v / 192).cast("int") + 1800, ((v / 16).cast("int") % 12) + 1, (v % 16 + 13).cast("int"))))
+             .when((d == 29) & (m == 2), date(F.element_at(leap, (leap_day + 1).cast("int")), m, d))
+             .when(d == 29, among(_MONTHS_OF_30, "29")).when(d == 30, among(_MONTHS_OF_30, "30")).otherwise(among(_LONG_MONTHS, "31")))
+    return F.when((y >= 1800) & (y <= 2199), moved)
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -236,7 +265,7 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
 FOUND = "array<struct<kind:string,pseudonym:string>>"
 
 
-def pseudonymise(df: DataFrame, *, text_col: str = "text", key: str = DEFAULT_KEY, found_col: str | None = None) -> DataFrame:
+def pseudonymise(df: DataFrame, *, key: str, text_col: str = "text", found_col: str | None = None) -> DataFrame:
     """``df`` with pseudonyms in ``text_col``; all other columns and rows as they are.
 
     ``found_col`` names an extra column: array of kind and pseudonym, in text order (a null

@@ -123,3 +123,32 @@ def test_license_corner_cases(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
     with pytest.raises(ValueError):
         licenses.Templates([("x", "too short")])
+
+
+def test_split_questions_and_answers(spark):
+    """Question and answer verbatim with words between them, answers of fewer than five words among them."""
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()]
+    cuts = {i: decontam._answer_start(t) for i, t in items}
+    short = [i for i, t in items if cuts[i] and len(t[cuts[i]:].split()) < 5]
+    assert len(short) > 20
+    around = "plain words that stand around it and say nothing at all "
+    docs = [(i, around * 20 + t[:cuts[i]] + " Answer: " + t[cuts[i]:] + " " + around * 20, "en", "a", 1) for i, t in items]
+    docs += [(10**6 + i, around * 20 + t[:cuts[i]] + around, "en", "a", 1) for i, t in items if i in short]  # the question alone
+    found = decontam.contaminated(decontam.retrieve(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string"))).collect()
+    assert {i for i, _ in items} <= {r["doc_id"] for r in found if r["doc_id"] == r["item_id"]}
+    assert not any(r["doc_id"] == 10**6 + r["item_id"] and r["item_share"] < 0.8 for r in found)
+
+
+def test_license_siblings_get_their_own_names(spark):
+    texts = {i: t for i, (_, t) in enumerate(licenses.TEMPLATES)}
+    names = {i: n for i, (n, _) in enumerate(licenses.TEMPLATES)}
+    texts[1000] = "This work is licensed under the GNU General Public License, version 1."
+    texts[1001] = licenses.TEMPLATES[1][1].replace("obtain", "get")
+    names[1001] = "Apache-2.0"
+    texts[1002] = "\n".join(t for n, t in licenses.TEMPLATES if n in ("GPL-2.0", "GPL-3.0", "AGPL-3.0"))
+    got = licenses.scan(documents(spark, [(i, "before it " + t + " after it", "en", "a", 1) for i, t in texts.items()])).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r["doc_id"], set()).add(r["license"])
+    assert found.pop(1002) == {"GPL-2.0", "GPL-3.0", "AGPL-3.0"}
+    assert found == {i: {n} for i, n in names.items()}
