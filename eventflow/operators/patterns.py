@@ -11,8 +11,8 @@ a key's whole history (the reference keeps it in keyed state): rows are partitio
 by (key, time bucket), each bucket is scanned locally, and what a bucket needs from
 its past (last events, running max, the open segment's OR) comes from one summary
 row per earlier bucket, ordered per key - a segmented scan. Q13 then resolves each
-burst segment (fails at most ``window`` apart, no success between) by a streaming scan
-in window jumps. Joins that carry state are null-safe: null keys are one key.
+burst segment (fails at most ``window`` apart, no success between) by functions of time
+blocks that compose (``greedy``). Joins that carry state are null-safe: null keys are one key.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from eventflow.functions.text import (MSG_LOGIN_BURST, MSG_LOGIN_CONSECUTIVE, MSG_LOGIN_PATTERN,
                                       MSG_ORDER_PAID, MSG_ORDER_TIMEOUT, seconds_text)
 from eventflow.functions.time import duration_ms
+from eventflow.operators.greedy import greedy_windows
 from eventflow.operators.sequences import left_null_safe, next_within, previous_within
 
 
@@ -70,10 +71,9 @@ def login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts", type_c
     Greedy windows never span a segment boundary, so each segment is resolved on its
     own. The segment id (time and tie-break of its first fail) is the latest start at or
     before the row: a running max inside (key, time bucket) plus the max carried from
-    earlier buckets. Segments are then scanned in order, Arrow batch by Arrow batch, by
-    jumps from window to window; the open window is all that is kept between batches, so a
-    segment of any length takes the same path and bounded memory. Null keys are one key;
-    fails without a time open no window.
+    earlier buckets. Each segment's windows come from ``greedy.greedy_windows``, which
+    spreads a segment of any length over many tasks. Null keys are one key; fails without a
+    time open no window.
     """
     w_ms = duration_ms(window)
     w_us = w_ms * 1000
@@ -91,60 +91,13 @@ def login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts", type_c
     carry = starts.select(key, "_b", F.max("_ms").over(
         Window.partitionBy(key).orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)).alias("_cs"))
     fails = left_null_safe(fails, carry, [key, "_b"]).withColumn("_seg", F.coalesce("_ls", "_cs"))
-    rows = fails.select(F.col(key).alias("_key"), F.col("_seg.t").alias("_st"), F.col("_seg.i").alias("_si"), "_t")
-    rows = rows.repartition("_key", "_st", "_si").sortWithinPartitions("_key", "_st", "_si", "_t")
-    key_type = dict(df.dtypes)[key]
-    wins = rows.mapInPandas(_greedy_windows(w_us, max_failed), f"_key {key_type}, _s long, _e long, _n int")
+    rows = fails.select(F.col(key).alias("_key"), F.col("_seg.t").alias("_first"), F.col("_seg.i").alias("_id"), "_t")
+    wins = greedy_windows(rows, ["_key", "_first", "_id"], "_t", w_us).where(F.col("n") >= max_failed)
     secs = seconds_text(w_ms)
     msg = F.concat(F.lit(MSG_LOGIN_BURST.split("{count}")[0].format(seconds=secs)),
-                   F.col("_n").cast("string"), F.lit(MSG_LOGIN_BURST.split("{count}")[1]))
-    return wins.select(F.col("_key").alias(key), F.floor(F.col("_s") / 1000).cast("long").alias("first_fail"),
-                       F.floor(F.col("_e") / 1000).cast("long").alias("last_fail"), msg.alias("msg"))
-
-
-def _greedy_windows(w_us: int, max_failed: int):
-    """Greedy windows of segments that arrive sorted by (segment, time), over batches of any cut."""
-    def scan(batches):
-        import numpy as np
-        import pandas as pd
-
-        segment, opened = None, None  # the segment being read; its open window [key, start, end, count]
-
-        def same(a, b):
-            return all(x == y or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
-
-        for pdf in batches:
-            out = []
-
-            def close():
-                if opened is not None and opened[3] >= max_failed:
-                    out.append(tuple(opened))
-
-            t = pdf["_t"].to_numpy("int64")
-            ids = pdf[["_key", "_st", "_si"]]
-            moved = ((ids != ids.shift()) & ~(ids.isna() & ids.shift().isna())).any(axis=1).to_numpy()
-            cuts = [0, *(np.flatnonzero(moved[1:]) + 1).tolist(), len(t)] if len(t) else [0]
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                own = tuple(ids.iloc[lo])
-                i = lo
-                if segment is None or not same(segment, own):
-                    close()
-                    segment, opened = own, None
-                while i < hi:
-                    if opened is None:
-                        opened = [own[0], int(t[i]), int(t[i]), 0]
-                    j = i + int(np.searchsorted(t[i:hi], opened[1] + w_us, side="right"))
-                    if j > i:
-                        opened[2], opened[3] = int(t[j - 1]), opened[3] + j - i
-                    if j < hi:
-                        close()
-                        opened = None
-                    i = j
-            if out:
-                yield pd.DataFrame(out, columns=["_key", "_s", "_e", "_n"]).astype({"_key": pdf["_key"].dtype})
-        if opened is not None and opened[3] >= max_failed:
-            yield pd.DataFrame([tuple(opened)], columns=["_key", "_s", "_e", "_n"])
-    return scan
+                   F.col("n").cast("string"), F.lit(MSG_LOGIN_BURST.split("{count}")[1]))
+    return wins.select(F.col("_key").alias(key), F.floor(F.col("start") / 1000).cast("long").alias("first_fail"),
+                       F.floor(F.col("end") / 1000).cast("long").alias("last_fail"), msg.alias("msg"))
 
 
 # --------------------------------------------------------------------- relaxed "A followedBy B"
