@@ -25,27 +25,23 @@ from eventflow.session import shared_dir
 LEVELS_A_PLAN = 6
 
 
-def greedy_windows(points: DataFrame, group: Sequence[str], t: str, width: int) -> DataFrame:
+def greedy_windows(points: DataFrame, group: Sequence[str], first: str, t: str, width: int) -> DataFrame:
     """group..., start, end (first and last point), n (points) of the greedy windows of every group.
 
-    ``t`` is a long without nulls; neighbouring points of a group must be at most ``width`` apart (cut wider gaps
-    into groups: a window never reaches over one). Null group values are values; equal points count each; an
-    empty table has no windows. Jobs run when this is called."""
+    ``first`` is the group column that holds the group's first point. ``t`` and it are longs without nulls;
+    neighbouring points of a group must be at most ``width`` apart (cut wider gaps into groups: a window never
+    reaches over one). Null values in other group columns are values; equal points count each; an empty table
+    has no windows. Jobs run when this is called."""
     shared_dir(points.sparkSession)  # sets the checkpoint folder
     group = list(group)
-    spots = points.groupBy(*group, F.col(t).alias("_t")).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
-    spans = spots.groupBy(*group).agg(F.min("_t").alias("_st"), F.max("_t").alias("_mt"), F.sum("_n").alias("_all"))
-    longest = spans.agg(F.max(F.col("_mt") - F.col("_st"))).first()[0] or 0
-    one = spans.where(F.col("_mt") - F.col("_st") <= width)
-    one = one.select(*group, F.col("_st").alias("start"), F.col("_mt").alias("end"), F.col("_all").alias("n"))
+    spots = points.groupBy(*group, F.col(t).alias("_t")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_st", F.col(first)).checkpoint()
+    longest = spots.agg(F.max(F.col("_t") - F.col("_st"))).first()[0] or 0
     if longest <= width:
-        return one
-    heads = spans.where(F.col("_mt") - F.col("_st") > width).select(*group, "_st").checkpoint()
-    spots = left_null_safe(spots, heads, group).where(F.col("_st").isNotNull())
+        return spots.groupBy(*group).agg(F.min("_t").alias("start"), F.max("_t").alias("end"), F.sum("_n").alias("n"))
     levels = [_hops(spots, group, width).checkpoint()]
     while width << len(levels) <= longest:
         levels.append(_compose(levels[-1], group, width << len(levels), width).checkpoint())
-    entered = heads.withColumn("_t", F.col("_st"))
+    entered = spots.where(F.col("_t") == F.col("_st")).select(*group, "_st", "_t")
     for k in range(len(levels) - 1, -1, -1):
         found = left_null_safe(entered, levels[k].select(*group, "_t", "_x"), [*group, "_t"])
         inside = _block("_x", width << (k + 1)) == _block("_t", width << (k + 1))
@@ -53,7 +49,7 @@ def greedy_windows(points: DataFrame, group: Sequence[str], t: str, width: int)
         entered = found.select(*group, "_st", F.explode(both).alias("_t"))
         if k and k % LEVELS_A_PLAN == 0:
             entered = entered.checkpoint()
-    return one.unionByName(_members(spots, entered, group, width))
+    return _members(spots, entered, group, width)
 
 
 def _block(t: str, width: int) -> Column:
@@ -62,7 +58,7 @@ def _block(t: str, width: int) -> Column:
 
 
 def _hops(spots: DataFrame, group: list[str], width: int) -> DataFrame:
-    """For every point the first one after ``_t + width`` (``_x``; null: none). It is at most two widths away, so the
+    """For every point that has one, the first point after ``_t + width`` (``_x``). It is at most two widths away, so the
     question, asked in the next block, meets the points of that block and the one after."""
     b = _block("_t", width)
     rows = F.array(F.struct(b.alias("_b"), F.col("_t").alias("_q"), F.lit(True).alias("_p")),
@@ -71,7 +67,8 @@ def _hops(spots: DataFrame, group: list[str], width: int) -> DataFrame:
     d = spots.select(*group, "_st", F.explode(rows).alias("_r")).select(*group, "_st", "_r.*")
     after = (Window.partitionBy(*group, "_b").orderBy(F.col("_q").desc(), F.col("_p"))
                    .rowsBetween(Window.unboundedPreceding, -1))
-    d = d.withColumn("_x", F.last(F.when(F.col("_p"), F.col("_q")), ignorenulls=True).over(after)).where(~F.col("_p"))
+    d = d.withColumn("_x", F.last(F.when(F.col("_p"), F.col("_q")), ignorenulls=True).over(after))
+    d = d.where(~F.col("_p") & F.col("_x").isNotNull())
     return d.select(*group, "_st", (F.col("_q") - F.lit(width)).alias("_t"), "_x")
 
 
@@ -81,7 +78,7 @@ def _compose(level: DataFrame, group: list[str], block: int, width: int) -> Data
     may = level.where(F.col("_t") - F.col("_st") - _block("_t", block) * F.lit(block) <= F.lit(2 * width))
     d = left_null_safe(may, then, [*group, "_x"])
     inside = _block("_x", block) == _block("_t", block)
-    return d.select(*group, "_st", "_t", F.when(inside, F.col("_xx")).otherwise(F.col("_x")).alias("_x"))
+    return d.select(*group, "_st", "_t", F.when(inside, F.col("_xx")).otherwise(F.col("_x")).alias("_x")).where(F.col("_x").isNotNull())
 
 
 def _members(spots: DataFrame, starts: DataFrame, group: list[str], width: int) -> DataFrame:

@@ -92,7 +92,7 @@ def login_fail_burst(df: DataFrame, key: str = "user_id", ts: str = "ts", type_c
         Window.partitionBy(key).orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)).alias("_cs"))
     fails = left_null_safe(fails, carry, [key, "_b"]).withColumn("_seg", F.coalesce("_ls", "_cs"))
     rows = fails.select(F.col(key).alias("_key"), F.col("_seg.t").alias("_first"), F.col("_seg.i").alias("_id"), "_t")
-    wins = greedy_windows(rows, ["_key", "_first", "_id"], "_t", w_us).where(F.col("n") >= max_failed)
+    wins = greedy_windows(rows, ["_key", "_first", "_id"], "_first", "_t", w_us).where(F.col("n") >= max_failed)
     secs = seconds_text(w_ms)
     msg = F.concat(F.lit(MSG_LOGIN_BURST.split("{count}")[0].format(seconds=secs)),
                    F.col("n").cast("string"), F.lit(MSG_LOGIN_BURST.split("{count}")[1]))
