@@ -10,11 +10,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventflow.plans.hotitems import Q4_SQL, hot_items_sql_stream
 from eventflow.plans.market import CLICKS_SQL
 from eventflow.plans.networkflow import Q8_SQL
 from eventflow.plans.registry import register
 from eventflow.session import shared_dir
 from eventflow.sources.tables import ad_clicks, streaming_tables, user_behavior
+from eventflow.streaming.changelog import ChangeLog, by_day, ranking_changes_writer
 from eventflow.streaming.runner import run_available
 from eventflow.streaming.windows import last_updates, running_visitors_writer, stream_running_visitors, stream_sliding_count
 
@@ -49,3 +51,24 @@ def q25(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, path = _run(spark, "q25")
     run_available(stream_running_visitors(views, "ts", "1 hour", "user_id", 29), name, "update", running_visitors_writer(path))
     return last_updates(spark, path).select("window_end", "uv_count")
+
+
+def hot_items_changes(spark: SparkSession, sf_dir: str, n: int = 5, files: int = 8, files_a_batch: int = 2) -> ChangeLog:
+    """Q4's top ``n`` as a retract stream: the views arrive in ``files`` files of mixed times, so that later batches
+    change counts and push items out of rankings; no view is late."""
+    name, path = _run(spark, "q26")
+    views = user_behavior(spark, sf_dir, "pv").select("item_id", "behavior", "ts")
+    views.repartition(files).write.parquet(f"{path}/views")
+    stream = spark.readStream.schema(views.schema).option("maxFilesPerTrigger", files_a_batch).parquet(f"{path}/views")
+    day = by_day("window_end")
+    counts = ChangeLog(f"{path}/counts", "item_id long, cnt long, window_end long", ["window_end", "item_id"], day)
+    ranks = ChangeLog(f"{path}/ranks", "item_id long, cnt long, window_end long, row_num long", ["window_end", "item_id"], day)
+    write = ranking_changes_writer(counts, ranks, n, "window_end", "cnt", ["item_id"], "row_num", compact_every=2)
+    run_available(hot_items_sql_stream(spark, stream, "1 hour", "10000 days"), name, "update", write)
+    return ranks
+
+
+@register("q26_hot_items_changes", Q4_SQL)
+def q26(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 from the replay of its retract stream."""
+    return hot_items_changes(spark, sf_dir).current(spark).drop("_part")
