@@ -51,14 +51,14 @@ def test_changes_of_batches_and_replay(spark, tmp_path):
 
 def test_rankings_retract_items_that_fall_out(spark):
     """Added up, the changes are the table: a retract consumer that adds and subtracts rows ends with Q4's rows.
-    With one place a window, later batches push items out."""
-    log = hot_items_changes(spark, SF_SMALL, n=1)
+    With two places a window, later batches move items and push some out."""
+    log = hot_items_changes(spark, SF_SMALL, n=2)
     total = Counter()
     changes = log.changes(spark).collect()
     for r in changes:
         total[(r.window_end, r.row_num, r.item_id, r.cnt)] += 1 if r._op in ("+I", "+U") else -1
     assert {r._op for r in changes} == {"+I", "-U", "+U", "-D"} and len({r._batch for r in changes}) >= 4
-    want = hot_items_sql(spark, user_behavior(spark, SF_SMALL, "pv"), "1 hour", 1).collect()
+    want = hot_items_sql(spark, user_behavior(spark, SF_SMALL, "pv"), "1 hour", 2).collect()
     want = {(r.window_end, r.row_num, r.item_id, r.cnt) for r in want}
     assert want == {row for row, k in total.items() if k} and set(total.values()) <= {0, 1}
     assert want == {(r.window_end, r.row_num, r.item_id, r.cnt) for r in log.current(spark).collect()}
