@@ -41,9 +41,10 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
     ``on_watermark(carry, wm_us) -> rows`` runs after each release (e.g. to close a window
     the watermark has passed) and ``wake_at(carry) -> epoch us`` asks for a timeout then.
     ``rank`` names a column ordering rows with equal time before the tie-break (type rank).
+    Rows without a time are in no order and left out; null ranks and tie-breaks come first, as in ``orderBy``.
     """
     cols = list(dict.fromkeys([*keys, *fields, *([rank] if rank else []), tiebreak]))
-    d = with_event_time(df, ts, delay).select(*cols, ts, F.unix_micros(ts).alias("_t"))
+    d = with_event_time(df.where(F.col(ts).isNotNull()), ts, delay).select(*cols, ts, F.unix_micros(ts).alias("_t"))
     out_cols = [c.strip().split(" ")[0] for c in out_schema.split(",")]
 
     def fn(key, pdfs, state):
@@ -55,7 +56,7 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
         for pdf in pdfs:
             pending.extend(pdf[[*cols, "_t"]].to_dict("records"))
         wm_us = state.getCurrentWatermarkMs() * 1000
-        pending.sort(key=lambda r: (r["_t"], r[rank] if rank else 0, r[tiebreak]))
+        pending.sort(key=lambda r: (r["_t"], _nulls_first(r[rank]) if rank else (), _nulls_first(r[tiebreak])))
         ready = [r for r in pending if r["_t"] <= wm_us]
         rest = [r for r in pending if r["_t"] > wm_us]
         out = []
@@ -78,6 +79,10 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
                                                    GroupStateTimeout.EventTimeTimeout)
 
 
+def _nulls_first(v) -> tuple:
+    return (False,) if pd.isna(v) else (True, v)
+
+
 def _plain(o):
     if hasattr(o, "item"):
         return o.item()

@@ -378,3 +378,18 @@ def test_one_hot_key_in_stream_joins(spark, tmp_path):
         naive = [(p, r) for p in pays[:-1] for r in receipts[:-1] if -(600_000 if receipt_wait == "10 minutes" else 0) <= r[1] - p[1] <= (1_200_000 if pay_wait == "20 minutes" else 2 * hour)]
         assert sum(r[1] == "matched" for r in _rows_any(want, cols)) == len(naive) > 0
         assert {r[1] for r in _rows_any(want, cols)} == {"matched", "unmatched_pay", "unmatched_receipt"}
+
+
+def test_folds_with_null_times_and_tie_breaks(spark, tmp_path):
+    """Rows without a time are left out, null tie-breaks come first among equal times, as in the batch form."""
+    rows = [("b", 1, "fail", 10), (None, 1, "success", 10), ("c", 1, "fail", 11), (None, 1, "fail", None),
+            (None, 2, "fail", 10), ("a", 2, "success", 10), ("d", 2, "fail", 11), (None, 3, "success", 100)]
+    df = spark.createDataFrame(rows, "event_id string, user_id long, event_type string, s long")
+    df = df.select("event_id", "user_id", "event_type", F.timestamp_seconds(F.col("s") + 1_700_000_000).alias("ts"))
+    path = str(tmp_path / "logins")
+    df.coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(df.schema).parquet(path)
+    got = run_available(stream_match_next(stream, "user_id", "ts", "event_type", "fail", "fail", "2 seconds", delay="0 seconds"), f"nf{next(_n)}")
+    want = match_next(df.where("ts is not null"), "user_id", "ts", "event_type", "fail", "fail", "2 seconds")
+    cols = ["user_id", "first_ts", "second_ts", "msg"]
+    assert _rows(got, cols) == _rows(want, cols) and got.count() == 1
