@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventflow.functions.text import REPORT_ITEM_LABEL
-from eventflow.operators.aggregates import truncated_mean
+from eventflow.operators.accumulate import accumulate
+from eventflow.operators.aggregates import truncated_mean, truncated_mean_accumulator
 from eventflow.operators.ranking import top_n, top_n_report
 from eventflow.operators.windows import tumbling_agg, windowed_count
 from eventflow.plans.registry import register
-from eventflow.sources.tables import behavior_lines, table, user_behavior
+from eventflow.sources.tables import as_instant, behavior_lines, table, user_behavior
 from eventflow.sources.text import USER_BEHAVIOR, parse_delimited
 
 _view_ids = itertools.count()
@@ -135,6 +136,20 @@ def q21(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncated_mean(table(spark, sf_dir, "events"), ["event_type"], "event_id")
 
 
+Q28_SQL = """WITH v AS (SELECT event_type, event_id, epoch_us(ts) // 1000 AS t FROM events),
+w AS (SELECT event_type, event_id, unnest(generate_series(t - t % 300000 + 300000, t - t % 300000 + 3600000, 300000)) AS window_end FROM v)
+SELECT event_type, window_end, CAST(sum(event_id) // count(event_id) AS DOUBLE) AS mean FROM w GROUP BY event_type, window_end"""
+
+
+@register("q28_sliding_truncated_mean", Q28_SQL)
+def q28(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG9 over sliding windows, as a user accumulator merged over panes."""
+    v = table(spark, sf_dir, "events").select("event_type", "event_id", as_instant("ts").alias("ts"))
+    means = accumulate(v, ["event_type"], "ts", "1 hour", truncated_mean_accumulator("event_id"), ["event_id"], "5 minutes", out="mean")
+    return means.select("event_type", "window_end", "mean")
+
+
+
 def hot_items_kafka(spark: SparkSession, servers: str, topic: str = "user-behaviors",
                     size="1 hour", slide="5 minutes", n: int = 3, delay="0 seconds"):
     """Q2: hot items over a Kafka topic of UserBehavior lines (needs the Kafka connector).
