@@ -46,6 +46,9 @@ def q05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hot_urls(parse_access_log(access_log_lines(spark, sf_dir)), "10 minutes", "5 seconds", 3)
 
 
+#: Q5's windows with a slide of a minute.
+Q5_MINUTES_SQL = Q5_SQL.replace("5000", "60000")
+
 Q5R_SQL = Q5_SQL.replace("SELECT window_end, rank, url, count FROM r WHERE rank <= 3", """SELECT window_end,
        '时间：' || strftime(epoch_ms(window_end), '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
        || string_agg('No' || rank || ':' || ' URL=' || url || ' 浏览量=' || count || chr(10), '' ORDER BY rank)

@@ -10,15 +10,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventflow.functions.text import is_not_static
 from eventflow.plans.hotitems import Q4_SQL, hot_items_sql_stream
 from eventflow.plans.market import CLICKS_SQL
-from eventflow.plans.networkflow import Q8_SQL
+from eventflow.plans.networkflow import Q5_MINUTES_SQL, Q8_SQL
 from eventflow.plans.registry import register
 from eventflow.session import shared_dir
-from eventflow.sources.tables import ad_clicks, streaming_tables, user_behavior
-from eventflow.streaming.changelog import ChangeLog, by_day, ranking_changes_writer
+from eventflow.sources.tables import access_log_lines, ad_clicks, streaming_tables, user_behavior
+from eventflow.sources.text import parse_access_log
+from eventflow.streaming.changelog import ChangeLog, by_day, ranking_changes_writer, rising_ranking_writer
 from eventflow.streaming.runner import run_available
-from eventflow.streaming.windows import last_updates, running_visitors_writer, stream_running_visitors, stream_sliding_count
+from eventflow.streaming.windows import (last_updates, running_visitors_writer, stream_running_visitors, stream_sliding_count,
+                                         stream_windowed_count)
 
 
 def _run(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -72,3 +75,22 @@ def hot_items_changes(spark: SparkSession, sf_dir: str, n: int = 5, files: int =
 def q26(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4 from the replay of its retract stream."""
     return hot_items_changes(spark, sf_dir).current(spark).drop("_part")
+
+
+def hot_urls_corrections(spark: SparkSession, sf_dir: str, n: int = 3, files: int = 6, files_a_batch: int = 2) -> ChangeLog:
+    """Q5's top ``n`` (10 minutes, a slide of one) with late corrections: the pages arrive in ``files`` files of mixed
+    times, so most rows of a later batch are late for their windows, and all are within the lateness."""
+    name, path = _run(spark, "q27")
+    pages = parse_access_log(access_log_lines(spark, sf_dir)).filter(is_not_static("url")).select("url", "ts")
+    pages.repartition(files).write.parquet(f"{path}/pages")
+    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", files_a_batch).parquet(f"{path}/pages")
+    counts = stream_windowed_count(stream, ["url"], "ts", "10 minutes", "1 minute", delay="1 second", lateness="10000 days")
+    ranks = ChangeLog(f"{path}/ranks", "window_end long, rank long, url string, count long", ["window_end", "url"], by_day("window_end", 28))
+    run_available(counts, name, "update", rising_ranking_writer(ranks, n, "window_end", "count", ["url"], compact_every=2))
+    return ranks
+
+
+@register("q27_hot_urls_late_corrections", Q5_MINUTES_SQL)
+def q27(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 after the last late correction, from the replay of its changes."""
+    return hot_urls_corrections(spark, sf_dir).current(spark).drop("_part")

@@ -26,9 +26,9 @@ from eventflow.operators.ranking import top_n
 INSERT, BEFORE, AFTER, DELETE = "+I", "-U", "+U", "-D"
 
 
-def by_day(ms_col: str) -> Column:
-    """Partitions by the day of a time in epoch milliseconds."""
-    return F.floor(F.col(ms_col) / F.lit(86_400_000))
+def by_day(ms_col: str, days: int = 1) -> Column:
+    """Partitions by the day (or spans of ``days``) of a time in epoch milliseconds."""
+    return F.floor(F.col(ms_col) / F.lit(86_400_000 * days))
 
 
 @dataclass
@@ -149,3 +149,32 @@ def ranking_changes_writer(counts: ChangeLog, ranks: ChangeLog, n: int, group_co
         finally:
             batch.unpersist()
     return run
+
+
+def rising_ranking_writer(ranks: ChangeLog, n: int, group_col: str, count_col: str, tiebreak: Sequence[str],
+                          rank_col: str = "rank", compact_every: int = 50) -> Callable[[DataFrame, int], None]:
+    """As ``ranking_changes_writer``, for counts that only rise, as those of a windowed count in update mode do (late
+    corrections within the lateness, ST3 with TK2): no counts are logged or read again.
+
+    What a batch leaves unchanged and was not in the top ``n`` cannot enter it, so a group's new ranking is that of its
+    old ``n`` rows and the ``n`` best rows of the batch: these are all the state there is, beside the counts
+    in Spark's own state store, which lets go of a window once the lateness has passed. A batch reads the rankings
+    of the groups' partitions and writes the rows that changed; a group whose ranking stays writes none."""
+    columns = [group_col, *tiebreak, count_col]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_id and batch_id % compact_every == 0:  # the batch before is done; this one may run again
+            ranks.compact(spark, batch_id - 1)
+        best = top_n(batch.select(*columns), group_col, count_col, n, tiebreak, rank_col).select(*columns).persist()
+        try:
+            touched = best.select(group_col).distinct()
+            parts = [r["_part"] for r in touched.select(ranks.part.cast("long").alias("_part")).distinct().collect()]
+            before = ranks.current(spark, batch_id - 1, parts).join(touched, group_col, "left_semi").select(*columns)
+            # An item of both is the one of the larger count. One that rose, but not into the batch's best, is behind
+            # those n rows with its old count too.
+            both = before.unionByName(best).groupBy(group_col, *tiebreak).agg(F.max(count_col).alias(count_col))
+            ranks.replace(top_n(both, group_col, count_col, n, tiebreak, rank_col), touched, batch_id)
+        finally:
+            best.unpersist()
+    return run

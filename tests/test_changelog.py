@@ -1,13 +1,17 @@
 """Retract streams: what each batch writes, replays, snapshots, and Q4's rankings as changes."""
 
+import time
 from collections import Counter
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
 from eventflow.plans.hotitems import hot_items_sql
 from eventflow.plans.streams import hot_items_changes
 from eventflow.sources.tables import user_behavior
-from eventflow.streaming.changelog import ChangeLog
+from eventflow.streaming.changelog import ChangeLog, rising_ranking_writer
+from eventflow.streaming.runner import run_available
+from eventflow.streaming.windows import stream_windowed_count
 
 from base_rows import SF_SMALL
 
@@ -62,3 +66,55 @@ def test_rankings_retract_items_that_fall_out(spark):
     want = {(r.window_end, r.row_num, r.item_id, r.cnt) for r in want}
     assert want == {row for row, k in total.items() if k} and set(total.values()) <= {0, 1}
     assert want == {(r.window_end, r.row_num, r.item_id, r.cnt) for r in log.current(spark).collect()}
+
+
+def test_rising_rankings_against_whole_counts(spark, tmp_path):
+    """Batch by batch, the kept rows give the ranking of all counts so far; unchanged rankings write nothing."""
+    ranks = ChangeLog(str(tmp_path / "ranks"), "w long, item string, n long, rank long", ["w", "item"], F.floor(F.col("w") / 10))
+    write = rising_ranking_writer(ranks, 2, "w", "n", ["item"], compact_every=3)
+    totals, names = Counter(), ["a", "b", "c", None, "e"]
+    for batch in range(7):
+        changed = {}
+        for i in range(30 if batch != 4 else 0):
+            k = ((i * i * (batch + 2) + i) % 4 * 9, names[(i * (batch + 3) + batch) % 5])
+            totals[k] += 1
+            changed[k] = totals[k]
+        rows = spark.createDataFrame([(w, item, n, "more") for (w, item), n in changed.items()], "w long, item string, n long, other string")
+        for _ in range(2 if batch == 5 else 1):  # run again: the same rows
+            write(rows, batch)
+        want = []
+        for w in {w for w, _ in totals}:
+            best = sorted(((-n, item is not None, item or "", item) for (v, item), n in totals.items() if v == w))[:2]
+            want += [(w, item, -n, k + 1) for k, (n, _, _, item) in enumerate(best)]
+        got = [(r.w, r.item, r.n, r["rank"]) for r in ranks.current(spark).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str), batch
+    # An item that stays behind: nothing is written.
+    write(spark.createDataFrame([(0, "new", 1, "")], "w long, item string, n long, other string"), 7)
+    assert ranks.changes(spark).where("_batch = 7").count() == 0
+
+
+def test_late_rows_correct_rankings_until_the_lateness_has_passed(spark, tmp_path):
+    """Windows of a minute with a minute of lateness: a row within it corrects its window, one beyond it does not, and
+    the state store lets go of the windows that are over."""
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    files = [[("a", 5), ("b", 6), ("a", 7)], [("c", 100)], [("b", 8), ("b", 9), ("a", 130)],  # b: late, within the lateness
+             [("a", 400)], [("c", 400)], [("c", 10)] * 5, [("b", 410)]]  # c at 10 s: beyond it
+    for rows in files:
+        part = spark.createDataFrame([(u, start + timedelta(seconds=s)) for u, s in rows], "url string, ts timestamp")
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(1.1)  # the file source orders files by modification time
+    stream = spark.readStream.schema("url string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    counts = stream_windowed_count(stream, ["url"], "ts", "1 minute", delay="0 seconds", lateness="1 minute")
+    ranks = ChangeLog(str(tmp_path / "ranks"), "window_end long, rank long, url string, count long", ["window_end", "url"])
+    write, held = rising_ranking_writer(ranks, 1, "window_end", "count", ["url"]), []
+
+    def counted(batch, batch_id):
+        write(batch, batch_id)
+        held.append(batch_id)
+
+    run_available(counts, "late-rankings", "update", counted)
+    base = int(start.timestamp() * 1000)
+    got = {((r.window_end - base) // 1000, r["rank"], r.url, r["count"]) for r in ranks.current(spark).collect()}
+    assert got == {(60, 1, "b", 3), (120, 1, "c", 1), (180, 1, "a", 1), (420, 1, "a", 1)} and len(held) >= len(files)
+    first = [(r._op, r.url, r["count"]) for r in ranks.changes(spark).where(F.col("window_end") == base + 60_000).orderBy("_batch", "_op").collect()]
+    assert first == [("+I", "a", 2), ("+I", "b", 3), ("-D", "a", 2)]
