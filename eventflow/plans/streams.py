@@ -9,16 +9,19 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventflow.functions.text import is_not_static
 from eventflow.plans.hotitems import Q4_SQL, hot_items_sql_stream
 from eventflow.plans.market import CLICKS_SQL
 from eventflow.plans.networkflow import Q5_MINUTES_SQL, Q8_SQL
+from eventflow.plans.orderpay import PAY_WAIT, RECEIPT_WAIT, TX_SQL
 from eventflow.plans.registry import register
 from eventflow.session import shared_dir
-from eventflow.sources.tables import access_log_lines, ad_clicks, streaming_tables, user_behavior
+from eventflow.sources.tables import access_log_lines, ad_clicks, pay_events, receipt_events, streaming_tables, user_behavior
 from eventflow.sources.text import parse_access_log
 from eventflow.streaming.changelog import ChangeLog, by_day, ranking_changes_writer, rising_ranking_writer
+from eventflow.streaming.connected import reconcile_connected, verdicts
 from eventflow.streaming.runner import run_available
 from eventflow.streaming.windows import (last_updates, running_visitors_writer, stream_running_visitors, stream_sliding_count,
                                          stream_windowed_count)
@@ -94,3 +97,42 @@ def hot_urls_corrections(spark: SparkSession, sf_dir: str, n: int = 3, files: in
 def q27(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5 after the last late correction, from the replay of its changes."""
     return hot_urls_corrections(spark, sf_dir).current(spark).drop("_part")
+
+
+def reconcile_stream(spark: SparkSession, sf_dir: str, slices: int = 2) -> DataFrame:
+    """Q19 as two connected streams that arrive in ``slices`` spans of time, the query started anew for each."""
+    name, path = _run(spark, "q29")
+    sides = {"pays": pay_events(spark, sf_dir), "receipts": receipt_events(spark, sf_dir)}
+    first, last = (sides["pays"].select("ts").unionAll(sides["receipts"].select("ts"))
+                   .agg(F.min(F.unix_millis("ts")), F.max(F.unix_millis("ts"))).first())
+    edges = [first + (last + 1 - first) * k // slices for k in range(slices + 1)] if first is not None else []
+    for lo, hi in zip(edges, edges[1:]):
+        for side, rows in sides.items():
+            rows.where(F.unix_millis("ts").between(lo, hi - 1)).write.mode("append").parquet(f"{path}/{side}")
+        streams = [spark.readStream.schema(rows.schema).parquet(f"{path}/{side}") for side, rows in sides.items()]
+        found = reconcile_connected(*streams, "tx_id", "ts", PAY_WAIT, RECEIPT_WAIT)
+        rows = verdicts(found, ["pay_tx_id", "receipt_tx_id", "pay_order_id", "pay_ts", "receipt_pay_channel", "receipt_ts"])
+        done = run_available(rows.withColumn("mark", F.lit(last)), name, path=f"{path}/out")
+    if not edges:
+        return spark.createDataFrame([], "tx_id string, verdict string, pay_order_id long, pay_ts long, receipt_pay_channel string, receipt_ts long")
+    # Rows of the very time where the stream ends are not over yet.
+    done = done.where(F.greatest("pay_ts", "receipt_ts") < F.col("mark"))
+    return done.select(F.coalesce("pay_tx_id", "receipt_tx_id").alias("tx_id"), "verdict", "pay_order_id", "pay_ts", "receipt_pay_channel", "receipt_ts")
+
+
+Q29_SQL = f"""WITH {TX_SQL},
+m AS (SELECT greatest((SELECT max(ts) FROM pays), (SELECT max(ts) FROM rc)) AS mark),
+j AS (SELECT p.tx_id AS pt, p.order_id, p.ts AS pay_at, r.tx_id AS rt, r.pay_channel, r.ts AS receipt_at
+      FROM pays p FULL OUTER JOIN rc r ON p.tx_id = r.tx_id AND r.ts BETWEEN p.ts - INTERVAL 30 DAY AND p.ts + INTERVAL 60 DAY)
+SELECT coalesce(pt, rt) AS tx_id,
+       CASE WHEN pt IS NOT NULL AND rt IS NOT NULL THEN 'matched' WHEN pt IS NOT NULL THEN 'unmatched_pay' ELSE 'unmatched_receipt' END AS verdict,
+       order_id AS pay_order_id, epoch_us(pay_at) // 1000 AS pay_ts, pay_channel AS receipt_pay_channel, epoch_us(receipt_at) // 1000 AS receipt_ts
+FROM j, m
+WHERE CASE WHEN pt IS NOT NULL AND rt IS NOT NULL THEN greatest(pay_at, receipt_at) < mark
+           WHEN pt IS NOT NULL THEN pay_at + INTERVAL 60 DAY < mark ELSE receipt_at + INTERVAL 30 DAY < mark END"""
+
+
+@register("q29_reconcile_connected", Q29_SQL)
+def q29(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q19 by two connected streams with one keyed state, a timer a side and an output a verdict."""
+    return reconcile_stream(spark, sf_dir)
