@@ -46,6 +46,7 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
     cols = list(dict.fromkeys([*keys, *fields, *([rank] if rank else []), tiebreak]))
     d = with_event_time(df.where(F.col(ts).isNotNull()), ts, delay).select(*cols, ts, F.unix_micros(ts).alias("_t"))
     out_cols = [c.strip().split(" ")[0] for c in out_schema.split(",")]
+    fields_of_row = [*cols, "_t"]
 
     def fn(key, pdfs, state):
         if state.exists:
@@ -54,7 +55,7 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
         else:
             pending, carry = [], dict(init)
         for pdf in pdfs:
-            pending.extend(pdf[[*cols, "_t"]].to_dict("records"))
+            pending.extend(dict(zip(fields_of_row, row)) for row in zip(*(pdf[c].tolist() for c in fields_of_row)))
         wm_us = state.getCurrentWatermarkMs() * 1000
         pending.sort(key=lambda r: (r["_t"], _nulls_first(r[rank]) if rank else (), _nulls_first(r[tiebreak])))
         ready = [r for r in pending if r["_t"] <= wm_us]
@@ -73,7 +74,8 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
             state.update((json.dumps(rest, default=_plain), json.dumps(carry, default=_plain)))
             if wake_us:
                 state.setTimeoutTimestamp(min(wake_us) // 1000 + 1)
-        yield pd.DataFrame(out, columns=out_cols)
+        if out:
+            yield pd.DataFrame(out, columns=out_cols)
 
     return d.groupBy(*keys).applyInPandasWithState(fn, out_schema, STATE_SCHEMA, "append",
                                                    GroupStateTimeout.EventTimeTimeout)
