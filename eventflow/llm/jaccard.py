@@ -342,9 +342,21 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size:
                                     F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("component_id"))).otherwise(F.col("id")).alias("component_id")))
 
 
-def keep_one(df: DataFrame, *, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The rows of ``df`` (all columns) whose id is their component's smallest; rows with a null id stay."""
-    found = join(df, id_col=id_col, **kw)
-    first = found.where((F.col(id_col) == F.col("component_id"))).select(F.col(id_col).alias("kept_id__")).distinct()
-    kept = df.join(first, df[id_col] == first["kept_id__"], "left_semi")
+def keep_one(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """The rows (all columns) of one document of each component, that of the smallest id; rows with a null id stay.
+
+    A document is an id with a text: rows of one id with different texts are different documents, judged each; rows
+    that repeat both are one document and stay or go together. Its key is a hash of 63 bits of the two."""
+    def free(name: str) -> str:
+        while name in df.columns:
+            name += "_"
+        return name
+
+    key, one = free("row_key"), free("kept_key")
+    hashed = F.xxhash64(id_col, text_col, F.col(text_col).isNull()).bitwiseAND(F.lit(2**63 - 1))
+    known = df.where(F.col(id_col).isNotNull()).withColumn(key, hashed)
+    found = join(known, id_col=key, text_col=text_col, **kw).select(F.col(key).alias("row"), "component_id").distinct()
+    rows = known.groupBy(F.col(key).alias("row")).agg(F.min(id_col).alias("id"))
+    first = found.join(rows, "row").groupBy("component_id").agg(F.min(F.struct("id", "row")).alias("one"))
+    kept = known.join(first.select(F.col("one.row").alias(one)), F.col(key) == F.col(one), "left_semi").select(*df.columns)
     return kept.unionByName(df.where(F.col(id_col).isNull()))

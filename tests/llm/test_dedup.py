@@ -141,3 +141,16 @@ def test_family_levels_stay_logarithmic():
         assert family.add(batch).tolist() == [int(x) in seen for x in batch]
         seen |= {int(x) for x in batch}
     assert len(family.levels) <= 13 and sum(map(len, family.levels)) == len(seen)
+
+
+def test_keep_one_goes_by_rows(spark):
+    """Rows of one id with different texts are judged each; rows that repeat id and text stay together; equal
+    texts leave the smallest id."""
+    a, b, c = ("the first text has these eleven words in it for you", "another text that shares no run of words with any", "a third one of its own kind and nobody repeats it here")
+    rows = [(3, a), (5, a), (5, b), (5, b), (9, b), (7, c), (7, c), (2, None), (2, None), (2, ""), (4, ""), (None, a), (None, a), (8, a + " more")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, row_key long")
+    kept = jaccard.keep_one(df, size=5, num=80, den=100)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(3, a), (5, b), (5, b), (7, c), (7, c), (2, None), (2, None), (2, ""), (4, ""), (None, a), (None, a)], key=str)
+    assert jaccard.keep_one(df.where("false")).collect() == []
