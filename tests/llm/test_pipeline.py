@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 import public_tokenizers
-from helpers import documents
+from helpers import documents, with_clashes
 from test_dedup import brute_components
 from test_text_operators import brute_leaks
 from test_tokens import check_pieces
@@ -72,3 +72,18 @@ def test_run_over_the_whole_table(spark):
 
 def test_one_query_per_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+
+
+def test_stages_on_corner_cases(spark):
+    """Nulls in every column, empty and long texts, repeated rows and ids, columns with names the operators use, an empty table."""
+    rows = [r for r in documents(spark).collect()]
+    rows = [tuple(r) for r in rows] + [(None, None, None, None, None), (1, "a second text under the first id, with words of its own kind", None, "d", 2)]
+    docs = with_clashes(documents(spark, rows))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert sorted(map(str, out.collect())) == sorted(map(str, docs.collect())), name  # nothing to remove or replace
+        assert stage(spark, docs.where("false"), SF).count() == 0, name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert {r["doc_id"] for r in packed.collect()} == {r[0] for r in rows}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.where("false"), SF).count() == 0
