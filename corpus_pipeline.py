@@ -3,6 +3,12 @@
 ``STAGES`` lists (name, function) pairs; a function takes (spark, docs, sf_dir), works on all rows
 its predecessor kept and returns a DataFrame, which is written as Parquet and read again as the
 next stage's ``docs``. ``run`` applies them in order to the whole table.
+
+Corner cases, the same for every stage: a null text has no word, finding or personal value and stays null (packing:
+its end id alone); an empty text likewise; texts of any length are taken whole; rows with a null id stay, each judged
+by itself; rows that repeat an id are judged by their texts, and rows that repeat id and text stay or go together; of
+equal texts the smallest id stays; other columns, whatever their names, pass through (packing gives its own); an
+empty table gives an empty one.
 """
 
 from __future__ import annotations
