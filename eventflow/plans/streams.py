@@ -99,18 +99,26 @@ def q27(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hot_urls_corrections(spark, sf_dir).current(spark).drop("_part")
 
 
+#: Rows of both inputs for each bucket of connected states.
+ROWS_A_BUCKET, LEAST_BUCKETS = 1000, 200
+
+
 def reconcile_stream(spark: SparkSession, sf_dir: str, slices: int = 2) -> DataFrame:
     """Q19 as two connected streams that arrive in ``slices`` spans of time, the query started anew for each."""
     name, path = _run(spark, "q29")
     sides = {"pays": pay_events(spark, sf_dir), "receipts": receipt_events(spark, sf_dir)}
-    first, last = (sides["pays"].select("ts").unionAll(sides["receipts"].select("ts"))
-                   .agg(F.min(F.unix_millis("ts")), F.max(F.unix_millis("ts"))).first())
+    for side, rows in sides.items():  # made once, read for the edges and for each span
+        rows.write.parquet(f"{path}/all/{side}")
+    sides = {side: spark.read.schema(rows.schema).parquet(f"{path}/all/{side}") for side, rows in sides.items()}
+    first, last, n = (sides["pays"].select("ts").unionAll(sides["receipts"].select("ts"))
+                      .agg(F.min(F.unix_millis("ts")), F.max(F.unix_millis("ts")), F.count("*")).first())
+    buckets = max(LEAST_BUCKETS, n // ROWS_A_BUCKET)
     edges = [first + (last + 1 - first) * k // slices for k in range(slices + 1)] if first is not None else []
     for lo, hi in zip(edges, edges[1:]):
         for side, rows in sides.items():
             rows.where(F.unix_millis("ts").between(lo, hi - 1)).write.mode("append").parquet(f"{path}/{side}")
         streams = [spark.readStream.schema(rows.schema).parquet(f"{path}/{side}") for side, rows in sides.items()]
-        found = reconcile_connected(*streams, "tx_id", "ts", PAY_WAIT, RECEIPT_WAIT)
+        found = reconcile_connected(*streams, "tx_id", "ts", PAY_WAIT, RECEIPT_WAIT, buckets=buckets)
         rows = verdicts(found, ["pay_tx_id", "receipt_tx_id", "pay_order_id", "pay_ts", "receipt_pay_channel", "receipt_ts"])
         done = run_available(rows.withColumn("mark", F.lit(last)), name, path=f"{path}/out")
     if not edges:

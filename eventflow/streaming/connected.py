@@ -46,10 +46,11 @@ class Context:
 
 
 def connected_fold(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, on_left: Callable, on_right: Callable,
-                   on_timer: Callable, outputs: dict[str, str], delay="0 seconds") -> DataFrame:
+                   on_timer: Callable, outputs: dict[str, str], delay="0 seconds", buckets: int | None = None) -> DataFrame:
     """``tag`` and a struct column per entry of ``outputs`` (tag: DDL), set where the row has that tag.
 
-    ``on_left(ctx, row)``, ``on_right(ctx, row)``, ``on_timer(ctx, side)``. ``tagged`` takes one output."""
+    ``on_left(ctx, row)``, ``on_right(ctx, row)``, ``on_timer(ctx, side)``. ``tagged`` takes one output. ``buckets``:
+    so many groups hold the keys' states (see ``ordered_fold``); without, each key is a group."""
     def side(df: DataFrame, number: int) -> DataFrame:
         row = F.to_json(F.struct(*[c for c in df.columns if c != ts]), {"ignoreNullFields": "false"})
         return df.select(*keys, F.col(ts).alias("_ts"), F.lit(number).alias("_side"), row.alias("_row"))
@@ -78,7 +79,7 @@ def connected_fold(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: s
     fold = ordered_fold(side(left, 0).unionByName(side(right, 1)), list(keys), "_ts", "_row", ["_side", "_row"], {},
                         lambda carry, row: advance(carry, row["_t"], row), "tag string, row string", delay, rank="_side",
                         on_watermark=lambda carry, mark: advance(carry, mark, None) if carry else [],
-                        wake_at=lambda carry: min(carry["timers"].values()) if carry.get("timers") else None)
+                        wake_at=lambda carry: min(carry["timers"].values()) if carry.get("timers") else None, buckets=buckets)
     return fold.select("tag", *[F.when(F.col("tag") == t, F.from_json("row", ddl)).alias(t) for t, ddl in outputs.items()])
 
 
@@ -91,7 +92,7 @@ MATCHED, UNMATCHED_PAY, UNMATCHED_RECEIPT = "matched", "unmatched_pay", "unmatch
 
 
 def reconcile_connected(pays: DataFrame, receipts: DataFrame, key: str = "tx_id", ts: str = "ts", pay_wait="51 seconds",
-                        receipt_wait="5 seconds", delay="0 seconds") -> DataFrame:
+                        receipt_wait="5 seconds", delay="0 seconds", buckets: int | None = None) -> DataFrame:
     """JN2 as two connected streams: a pay waits ``pay_wait`` for receipts, a receipt ``receipt_wait`` for pays; every
     pair is given, at its later row, and who has met nobody when the wait is over goes to an output of its own.
 
@@ -127,7 +128,7 @@ def reconcile_connected(pays: DataFrame, receipts: DataFrame, key: str = "tx_id"
     pays, receipts = (d.where(F.col(key) != "") for d in (pays, receipts))
     ddl = {s: ", ".join(f"`{s}_{f}` {'long' if f == ts else kind}" for f, kind in d.dtypes) for s, d in (("pay", pays), ("receipt", receipts))}
     return connected_fold(pays, receipts, [key], ts, arrive("pay", "receipt"), arrive("receipt", "pay"), on_timer,
-                          {MATCHED: f"{ddl['pay']}, {ddl['receipt']}", UNMATCHED_PAY: ddl["pay"], UNMATCHED_RECEIPT: ddl["receipt"]}, delay)
+                          {MATCHED: f"{ddl['pay']}, {ddl['receipt']}", UNMATCHED_PAY: ddl["pay"], UNMATCHED_RECEIPT: ddl["receipt"]}, delay, buckets)
 
 
 def verdicts(found: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -7,12 +7,15 @@ its oldest buffered row. The fold itself (``step``) is a small per-row function:
 ``step(carry: dict, row: dict) -> list[tuple]`` that updates ``carry`` in place.
 
 Only the key's buffered rows and its small carry live in state; rows behind the
-watermark are released and dropped from state every micro-batch.
+watermark are released and dropped from state every micro-batch. A call of Python costs
+some milliseconds a group and trigger, so where keys are many and small, ``buckets``
+groups of keys share a call and a state row.
 """
 
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -26,6 +29,7 @@ from eventflow.functions.time import duration_ms
 from eventflow.streaming.windows import with_event_time
 
 STATE_SCHEMA = "pending string, carry string"
+BUCKET_SCHEMA = "pending binary, carries binary"
 
 
 def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fields: Sequence[str],
@@ -33,7 +37,7 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
                  delay="0 seconds", closes_at: Callable[[tuple], int] | None = None,
                  on_watermark: Callable[[dict, int], list] | None = None,
                  wake_at: Callable[[dict], int | None] | None = None,
-                 rank: str | None = None) -> DataFrame:
+                 rank: str | None = None, buckets: int | None = None) -> DataFrame:
     """Apply ``step`` to each key's rows in event-time order, as the watermark allows.
 
     ``closes_at(group_key) -> epoch us``: after that event time the group gets no more rows
@@ -42,7 +46,12 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
     the watermark has passed) and ``wake_at(carry) -> epoch us`` asks for a timeout then.
     ``rank`` names a column ordering rows with equal time before the tie-break (type rank).
     Rows without a time are in no order and left out; null ranks and tie-breaks come first, as in ``orderBy``.
+    ``buckets``: so many groups hold the keys, by their hash (not with ``closes_at``); each key keeps a carry of its
+    own. A bucket is read and written whole: choose them for some hundred rows in state each, and keep their number
+    for as long as the checkpoint is used.
     """
+    if buckets is not None and closes_at is not None:
+        raise ValueError("closes_at goes by the group, so it takes no buckets")
     cols = list(dict.fromkeys([*keys, *fields, *([rank] if rank else []), tiebreak]))
     d = with_event_time(df.where(F.col(ts).isNotNull()), ts, delay).select(*cols, ts, F.unix_micros(ts).alias("_t"))
     out_cols = [c.strip().split(" ")[0] for c in out_schema.split(",")]
@@ -77,12 +86,58 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, fie
         if out:
             yield pd.DataFrame(out, columns=out_cols)
 
+    def bucket_fn(key, pdfs, state):
+        pending, carries = map(_unpack, state.get) if state.exists else (None, {})
+        pending = pending or [[] for _ in fields_of_bucket]
+        for pdf in pdfs:
+            for have, c in zip(pending, fields_of_bucket):
+                have.extend(pdf[c].tolist())
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        ready, rest = [], []
+        for row in zip(*pending):
+            (ready if row[at_t] <= wm_us else rest).append(row)
+        ready.sort(key=lambda r: (r[at_t], _nulls_first(r[at_rank]) if rank else (), _nulls_first(r[at_tie])))
+        out = []
+        for row in ready:
+            carry = carries.setdefault(row[0], dict(init))
+            out.extend(step(carry, dict(zip(fields_of_bucket, row))))
+        if on_watermark is not None:
+            for carry in carries.values():
+                out.extend(on_watermark(carry, wm_us))
+        carries = {k: carry for k, carry in carries.items() if carry != init}
+        wake_us = [row[at_t] for row in rest]
+        if wake_at is not None:
+            wake_us += [u for u in map(wake_at, carries.values()) if u is not None and u >= wm_us]
+        if not rest and not carries:
+            state.remove()
+        else:
+            state.update((_pack(list(zip(*rest))), _pack(carries)))
+            if wake_us:
+                state.setTimeoutTimestamp(min(wake_us) // 1000 + 1)
+        if out:
+            yield pd.DataFrame(out, columns=out_cols)
+
+    if buckets is not None:
+        fields_of_bucket = ["_key", *fields_of_row]
+        at_t, at_tie, at_rank = (fields_of_bucket.index(c) if c else None for c in ("_t", tiebreak, rank))
+        key_text = F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
+        d = d.withColumns({"_key": key_text, "_bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets))})
+        return d.groupBy("_bucket").applyInPandasWithState(bucket_fn, out_schema, BUCKET_SCHEMA, "append",
+                                                           GroupStateTimeout.EventTimeTimeout)
     return d.groupBy(*keys).applyInPandasWithState(fn, out_schema, STATE_SCHEMA, "append",
                                                    GroupStateTimeout.EventTimeTimeout)
 
 
+def _pack(value) -> bytes:
+    return zlib.compress(json.dumps(value, default=_plain).encode(), 1)
+
+
+def _unpack(blob: bytes):
+    return json.loads(zlib.decompress(blob))
+
+
 def _nulls_first(v) -> tuple:
-    return (False,) if pd.isna(v) else (True, v)
+    return (True, v) if isinstance(v, (str, int)) or not pd.isna(v) else (False,)
 
 
 def _plain(o):

@@ -1,5 +1,6 @@
 """Two connected streams with one state: reconciliation against the batch form, timers in their order."""
 
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -10,7 +11,7 @@ from eventflow.plans.orderpay import PAY_WAIT, RECEIPT_WAIT
 from eventflow.plans.streams import reconcile_stream
 from eventflow.sources.tables import pay_events, receipt_events
 from eventflow.streaming.connected import LEFT, RIGHT, Context, connected_fold, reconcile_connected, tagged, verdicts
-from eventflow.streaming.runner import run_available
+from eventflow.streaming.runner import checkpoint_for, run_available
 
 from base_rows import SF_SMALL
 
@@ -97,6 +98,41 @@ def test_timers_fire_in_their_place(spark, tmp_path):
     assert timers == {(LEFT, 12, "q"), (LEFT, 15, "ab"), (RIGHT, 20, None), (LEFT, 50, "c"), (RIGHT, 54, None), (LEFT, 510, "-")}
 
 
+def test_buckets_of_keys_give_the_same(spark, tmp_path):
+    """Many keys share a bucket's call and state row, each with a state of its own: the outputs are those of a group a
+    key, over three spans, with waits that the watermark alone ends, null and empty keys, equal times."""
+    rng = random.Random(3)
+    keys = [f"k{k}" for k in range(60)] + ["", None]
+    spans = [[[(rng.choice(keys), n, _at(span * 200 + rng.randrange(200))) for n in range(150)] for _ in range(2)] for span in range(3)]
+    spans.append([[("end", 0, _at(5000))], [(None, None, None)]])
+    schemas = ["tx_id string, n long, ts timestamp"] * 2
+    columns = ["pay_tx_id", "pay_n", "pay_ts", "receipt_tx_id", "receipt_n", "receipt_ts"]
+    got = {}
+    for buckets in (None, 3):
+        found = _run(spark, tmp_path / str(buckets), f"connected-buckets-{buckets}", lambda p, r: reconcile_connected(p, r, delay="1 minute", buckets=buckets), schemas, spans)
+        got[buckets] = sorted((tuple(r) for r in verdicts(found, columns).collect()), key=str)
+    assert got[3] == got[None] and {r[0] for r in got[3]} == {"matched", "unmatched_pay", "unmatched_receipt"}
+    held = {}
+    for buckets in (None, 3):  # before the watermark moves on, all rows are in state
+        _run(spark, tmp_path / f"held{buckets}", f"connected-held-{buckets}", lambda p, r: reconcile_connected(p, r, delay="1 day", buckets=buckets), schemas, spans[:1])
+        held[buckets] = spark.read.format("statestore").load(checkpoint_for(spark, f"connected-held-{buckets}")).count()
+    assert held[3] <= 3 < held[None]
+
+
+def test_buckets_keep_keys_and_nulls_apart(spark, tmp_path):
+    """Keys of several columns, null parts and texts that look alike, all in one bucket."""
+    def on_left(ctx, row):
+        ctx.state["n"] = ctx.state.get("n", 0) + 1
+        ctx.emit("rows", k=row["k"], j=row["j"], n=ctx.state["n"])
+
+    rows = [("1", 1, _at(1)), ("1", 1, _at(2)), ("1", None, _at(3)), (None, 1, _at(4)), (None, None, _at(5)), ("null", 1, _at(6)), ('1","1', 1, _at(7)), (None, 1, _at(8)), ("z", 9, _at(100))]
+    found = _run(spark, tmp_path, "connected-keys", lambda p, r: connected_fold(
+        p, r, ["k", "j"], "ts", on_left, on_left, lambda ctx, side: None, {"rows": "k string, j long, n long"}, buckets=1),
+        ["k string, j long, ts timestamp"] * 2, [[rows, []]])
+    want = [("1", 1, 1), ("1", 1, 2), ("1", None, 1), (None, 1, 1), (None, None, 1), ("null", 1, 1), ('1","1', 1, 1), (None, 1, 2), ("z", 9, 1)]
+    assert sorted((tuple(r) for r in tagged(found, "rows").collect()), key=str) == sorted(want, key=str)
+
+
 def test_timers_of_the_past_are_refused():
     ctx = Context({}, [])
     ctx.time = 5
