@@ -7,8 +7,8 @@ Jaccard similarity reaches a threshold. The result is each document's component.
    all n-grams, rare ones first; by the prefix principle two linked sets share an n-gram among the
    first few of each. The order only affects speed.
 2. Equal sets form one class, whose smallest id stands for it.
-3. Answers by relation: classes that share most of their min-hashes with an earlier one are
-   checked against it first. A confirmed class takes over its leader's component, and from then on
+3. Answers by relation: classes that share some min-hashes with one of more frequent n-grams
+   (the one with the fewest edits of its group) are checked against it first. A confirmed class takes over its leader's component, and from then on
    only pairs across components are looked at, so a group of near copies costs one check each.
 4. Index lists by position: each prefix n-gram's list is cut into blocks of one position, sorted
    by set size. A pair of blocks is entered only for the sizes whose best possible overlap from
@@ -47,7 +47,7 @@ from eventflow.llm.textscan import Words, chunks, mix, text_buffers
 BYTES_A_COUNTER, LEAST_BITS, MOST_BITS, SLICES = 100, 18, 23, 16
 # A list whose n-gram may be in more documents than this is dealt out in blocks of this many rows.
 HOT_LIST, HOT = 4096, 128
-MIN_HASHES, SHARED_HASHES, LEADERS = 8, 5, 2
+MIN_HASHES, SHARED_HASHES, LEADERS = 8, 3, 2
 
 
 def sets_of(batch: pa.RecordBatch, column: int, size: int) -> Iterator[np.ndarray]:
@@ -114,7 +114,7 @@ def _describe(shared, size: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = shared.value
         for batch in batches:
-            n, one, two, prefix, hot, hashes = [], [], [], [], [], []
+            n, one, two, prefix, hot, hashes, common = [], [], [], [], [], [], []
             for s in sets_of(batch, 1, size):
                 n.append(len(s))
                 d = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
@@ -124,10 +124,11 @@ def _describe(shared, size: int, num: int, den: int):
                 head = ordered[:prefix_length(len(s), num, den)]
                 prefix.append(head.view(np.int64))
                 hot.append(order.level[order.place(head)] >= HOT)
+                common.append(int((order.level[order.place(s)] & (HOT - 1)).sum(dtype=np.int64)) * 1024 // max(1, len(s)))
                 hashes.append(np.array([mix(s ^ np.uint64(0x9E3779B9 * (k + 1))).min() for k in range(MIN_HASHES)] if len(s) else [], np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                                              pa.array(prefix, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.bool_())), pa.array(hashes, pa.list_(pa.int64()))],
-                                             names=["id", "n", "d1", "d2", "prefix", "hot", "hashes"])
+                                              pa.array(prefix, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.bool_())), pa.array(hashes, pa.list_(pa.int64())), pa.array(common, pa.int64())],
+                                             names=["id", "n", "d1", "d2", "prefix", "hot", "hashes", "common"])
     return run
 
 
@@ -301,20 +302,21 @@ def join(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size:
     tables = tables or Tables(spark, "jaccard")
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(Order(sketch(docs.select("text"), size)))
-    sets = tables.put(docs.mapInArrow(_describe(shared, size, num, den), "id long, n long, d1 long, d2 long, prefix array<long>, hot array<boolean>, hashes array<long>"), "sets")
+    sets = tables.put(docs.mapInArrow(_describe(shared, size, num, den), "id long, n long, d1 long, d2 long, prefix array<long>, hot array<boolean>, hashes array<long>, common long"), "sets")
     full = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
     # One row per class: that of its smallest id.
-    reps = tables.put(full.groupBy("d1", "d2").agg(F.min(F.struct("id", "n", "prefix", "hot", "hashes")).alias("one"))
-                      .select("d1", "d2", F.col("one.id").alias("node"), "one.n", "one.prefix", "one.hot", "one.hashes"), "reps")
+    reps = tables.put(full.groupBy("d1", "d2").agg(F.min(F.struct("id", "n", "prefix", "hot", "hashes", "common")).alias("one"))
+                      .select("d1", "d2", F.col("one.id").alias("node"), "one.n", "one.prefix", "one.hot", "one.hashes", "one.common"), "reps")
     classes = reps.select("d1", "d2", "node")
 
-    # Near copies: the earliest classes that share each min-hash, by how many they share in all.
-    keys = reps.select("node", "n", "hashes", F.explode(F.array_distinct("hashes")).alias("key"))
-    leaders = keys.groupBy("key").agg(F.min(F.struct("node", "n", "hashes")).alias("first"), F.count("*").alias("rows")).where(F.col("rows") > 1)
+    # Near copies: of the classes that share each min-hash the one whose n-grams are the most frequent (an edit brings
+    # rare ones, so it has the fewest edits of its group), by how many min-hashes they share with it in all.
+    keys = reps.select("node", "n", "hashes", (-F.col("common")).alias("rare"), F.explode(F.array_distinct("hashes")).alias("key"))
+    leaders = keys.groupBy("key").agg(F.min(F.struct("rare", "node", "n", "hashes")).alias("first"), F.count("*").alias("rows")).where(F.col("rows") > 1)
     near = keys.join(leaders, "key").where(F.col("node") != F.col("first.node"))
     shared_hashes = F.size(F.filter(F.sequence(F.lit(0), F.lit(MIN_HASHES - 1)), lambda k: F.get("hashes", k) == F.get("first.hashes", k)))
-    near = near.where(F.least("n", "first.n") * den >= F.greatest("n", "first.n") * num).select("node", F.col("first.node").alias("leader"), shared_hashes.alias("hits"))
-    near = near.where(F.col("hits") >= SHARED_HASHES).groupBy("node").agg(F.sort_array(F.collect_set(F.struct((-F.col("hits")).alias("hits"), "leader"))).alias("best"))
+    near = near.where(F.least("n", "first.n") * den >= F.greatest("n", "first.n") * num).select("node", "first.rare", F.col("first.node").alias("leader"), shared_hashes.alias("hits"))
+    near = near.where(F.col("hits") >= SHARED_HASHES).groupBy("node").agg(F.sort_array(F.collect_set(F.struct((-F.col("hits")).alias("hits"), "rare", "leader"))).alias("best"))
     near = near.select(F.col("node").alias("u"), F.explode(F.slice("best", 1, LEADERS)).alias("b")).select("u", F.col("b.leader").alias("v"))
     # An id in several classes joins them: its rows are one document.
     twice = full.groupBy("id").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)

@@ -82,6 +82,29 @@ def test_repeated_ids_are_one_document(spark):
     assert {(r["doc_id"], r["component_id"]) for r in jaccard.join(df).collect()} == {(5, 3), (3, 3), (9, 3)}
 
 
+def test_a_group_of_near_copies_costs_a_check_each(spark, monkeypatch):
+    """Copies that link with the middle of their group and not with each other, the middle having the largest id: the
+    pairs of the group are not looked at."""
+    rng, put, sizes = random.Random(7), Tables.put, {}
+
+    def counted(self, df, name="t", **kw):
+        got = put(self, df, name, **kw)
+        sizes[name] = got.count()
+        return got
+
+    monkeypatch.setattr(Tables, "put", counted)
+    base = [f"w{k}" for k in range(100)]
+    rows = [(1000, " ".join(base))]
+    for i in range(60):
+        words = list(base)
+        for at in (rng.randrange(10, 45), rng.randrange(55, 90)):
+            words[at] = f"x{i}at{at}"
+        rows.append((i, " ".join(words)))
+    got = jaccard.join(documents(spark, [(i, t, "en", "a", 1) for i, t in rows]), size=5, num=80, den=100)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == brute_components(rows, 5, 80, 100) == {i: 0 for i, _ in rows}
+    assert sizes["near"] <= 2 * len(rows) and sizes["pairs"] <= 4 * len(rows)
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long"), Tables(spark, "t")).collect()}
