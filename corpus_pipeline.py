@@ -51,10 +51,11 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in training windows."""
+    """The pieces of all documents in training windows. Few words are kept: the workers still hold what
+    other stages keep."""
     import public_tokenizers  # only here: the other stages, and the queries beside this module, do without
 
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), kept_words=300_000)
 
 
 STAGES = [("toxicity", toxic_stage), ("near copies", near_copies_stage), ("benchmark decontamination", benchmark_stage),

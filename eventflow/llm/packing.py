@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from eventflow.llm import wordids
 
 CAPACITY, GROUP_WINDOWS, END_ID = 4096, 128, 2
+# Characters of the texts that are encoded together (a longer text alone).
+ENCODED_CHARS = 250_000
 
 
 def differencing(sizes: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -210,12 +212,28 @@ class Packer:
         self.emit(powers_of_two(aside, spare))
 
 
+def _together(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
+    """(id, text) of consecutive rows, as many as are encoded together."""
+    docs, chars = [], 0
+    for doc_id, value in zip(batch.column(0), batch.column(1), strict=True):
+        text = value.as_py() or ""
+        if docs and chars + len(text) > ENCODED_CHARS:
+            yield docs
+            docs, chars = [], 0
+        docs.append((doc_id.as_py(), text))
+        chars += len(text)
+    if docs:
+        yield docs
+
+
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def pack(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         group_windows: int = GROUP_WINDOWS, end_id: int = END_ID, cut: bool = True) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+         group_windows: int = GROUP_WINDOWS, end_id: int = END_ID, cut: bool = True, kept_words: int = wordids.KEPT_WORDS) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``kept_words``: words whose ids a worker keeps, about (memory against time)."""
     kind = df.select(id_col).schema[0].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 
@@ -232,8 +250,9 @@ def pack(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "t
                                                  names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
         for batch in batches:
             id_type = batch.column(0).type
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                packer.add(doc_id.as_py(), encoder.encode(text.as_py() or "") + end)
+            for docs in _together(batch):
+                for (doc_id, _), ids in zip(docs, encoder.encode_all([text for _, text in docs], kept_words), strict=True):
+                    packer.add(doc_id, ids + end)
             yield from rows()
         packer.close()
         yield from rows()

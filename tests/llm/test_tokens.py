@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import documents, texts, with_clashes
 
@@ -54,6 +55,36 @@ def test_word_ids_equal_the_library():
     assert [w.encode(t) for t in every] == want
 
 
+def test_words_of_many_texts_are_learnt_together(monkeypatch):
+    w = wordids.WordIds(WORDS)
+    latin = ["".join(map(chr, range(k, k + 8))) for k in range(0, 400, 8)] + ["\u00b5M \u00c0\u00c9.\u00dfS\u00a0X\u0085Y", "STRASSE, STRASSE; Straße..."]
+    signs = [f"{chr(c)}{t}x a{chr(c)}{t}" for c in range(0x530) if chr(c).isalnum() for t in (".", "..'")]
+    texts = odd_texts(300) + latin + signs + [f"Word{'abcdefghij'[k % 10] * (k % 23)} tail. {k}" for k in range(300)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in w.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    calls, library = [], w._library
+    monkeypatch.setattr(w, "_library", lambda x: calls.append(len(x)) or library(x))
+    plain = [k for k, t in enumerate(texts) if not any(a in t for a in w.added)]
+    assert w.encode_all([texts[k] for k in plain]) == [want[k] for k in plain] and len(calls) == 1
+    assert w.encode_all(texts) == want and len(calls) == 1 + len(texts) - len(plain)
+    # A memory that is full at once: words leave it, half by half, and are learnt again.
+    for _ in range(2):
+        assert [x for k in range(0, len(texts), 7) for x in w.encode_all(texts[k:k + 7], 40)] == want
+    assert len(w.words) + len(w.older) < 500
+
+
+def test_packing_encodes_texts_together(spark, monkeypatch):
+    docs = [(k, "word " * (k % 7) + f"x{k}", "en", "a", 1) for k in range(50)]
+    df, seen = documents(spark, docs).coalesce(1), []
+    want = sorted(packing.pack(df, WORDS).collect())
+    monkeypatch.setattr(packing, "ENCODED_CHARS", 40)
+    assert sorted(packing.pack(df, WORDS).collect()) == want
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t, *_ in docs] + [{"doc_id": None, "text": None}])
+    for group in packing._together(batch):
+        assert len(group) == 1 or sum(len(t) for _, t in group) <= 40
+        seen += group
+    assert seen == [(i, t) for i, t, *_ in docs] + [(None, "")]
+
+
 @pytest.mark.parametrize("k", [1, 2, 7])
 def test_differencing_deals_all_sizes(k):
     rng = random.Random(k)
