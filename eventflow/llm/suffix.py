@@ -45,6 +45,8 @@ from eventflow.llm.textscan import mix, powers, text_buffers
 
 LENGTH, PREFIX = 50, 16
 BATCH_BYTES, PIECE_BYTES, BUCKET_BYTES, RANGE_BYTES = 4 << 20, 1 << 20, 16 << 20, 8 << 20
+# Strings that are hashed, or whose anchors are looked for, together: in the processor's cache.
+BLOCK = 1 << 14
 # Kinds of what is sent to batches: the first byte of a blob.
 SHARED, MARKS = b"S", b"M"
 # Strings in one new batch of a range's family.
@@ -83,17 +85,42 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
 
 def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
     """64-bit hash of every run of ``length`` bytes."""
-    n = len(data)
-    if n < length:
-        return np.zeros(0, np.uint64)
-    sums = np.empty(n + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(textscan._VALUES[data] * powers(textscan._BASE, n), out=sums[1:])
-    return mix((sums[length:] - sums[:-length]) * powers(textscan._BASE_INVERSE, n)[:n - length + 1])
+    n = len(data) - length + 1
+    out = np.empty(max(n, 0), np.uint64)
+    for lo in range(0, n, BLOCK):
+        part = data[lo:lo + BLOCK + length - 1]
+        sums = np.empty(len(part) + 1, np.uint64)
+        sums[0] = 0
+        np.cumsum(textscan._VALUES[part] * powers(textscan._BASE, len(part)), out=sums[1:])
+        got = sums[length:] - sums[:-length]
+        out[lo:lo + BLOCK] = mix(got * powers(textscan._BASE_INVERSE, len(got)))
+    return out
 
 
 def _least_places(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the first least value of every run of ``width`` values."""
+    n = len(values) - width + 1
+    place = np.empty(max(n, 0), np.int32)
+    for lo in range(0, n, BLOCK):
+        hi = min(n, lo + BLOCK)
+        part = values[lo:hi + width - 1]
+        best, span = part, 1
+        while span < width:
+            step = min(span, width - span)
+            best = np.minimum(best[:-step], best[step:])
+            span += step
+        # The place is looked up only where the least value changes.
+        start = np.concatenate([[0], np.flatnonzero(best[1:] != best[:-1]) + 1])
+        runs = np.diff(start, append=hi - lo)
+        at = np.lib.stride_tricks.sliding_window_view(part, width)[start].argmin(axis=1)
+        # A value that stays the least beyond its place comes again later: places are followed one by one.
+        place[lo:hi] = _followed_places(part, width) if (runs > at + 1).any() else np.repeat(start + at, runs)
+        place[lo:hi] += lo
+    return place
+
+
+def _followed_places(values: np.ndarray, width: int) -> np.ndarray:
+    """As ``_least_places``, with every place carried along."""
     best, place, span = values, np.arange(len(values), dtype=np.int32), 1
     while span < width:
         step = min(span, width - span)
@@ -116,19 +143,24 @@ class Anchors:
             if hi - lo < length:
                 continue
             place = _least_places(keys, length - PREFIX + 1)
-            start = np.arange(len(place))
             r0, r1 = int(np.searchsorted(offsets, lo, side="right")) - 1, int(np.searchsorted(offsets, hi, side="left"))
-            spans = np.diff(np.clip(offsets[r0:r1 + 1], lo, hi))
-            row = np.repeat(np.arange(r0, r1), spans)[:len(start)]
-            inside = start + (lo + length) <= np.repeat(offsets[r0 + 1:r1 + 1], spans)[:len(start)]
-            start, place, row = start[inside], place[inside], row[inside]
-            if not len(start):
+            # Runs of strings that have one anchor, cut where a row begins or its last string has begun.
+            begin = np.maximum(offsets[r0:r1], lo)
+            cuts = np.concatenate([begin, np.maximum(offsets[r0 + 1:r1 + 1] - length + 1, begin)]) - lo
+            edge = np.empty(len(place), dtype=bool)
+            edge[0] = True
+            np.not_equal(place[1:], place[:-1], out=edge[1:])
+            edge[cuts[cuts < len(place)]] = True
+            new = np.flatnonzero(edge)
+            last = np.append(new[1:], len(place)) - 1
+            row = np.searchsorted(offsets, new + lo, side="right") - 1
+            inside = new + (lo + length) <= offsets[row + 1]
+            new, last, row = new[inside], last[inside], row[inside]
+            if not len(new):
                 continue
-            new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (row[1:] != row[:-1])]))
-            last = np.append(new[1:], len(start)) - 1
             at = place[new]
             # Anchors have small hashes by choice; mixed again, they spread evenly over the ranges.
-            parts.append((at + np.int64(lo), row[new], mix(keys[at] + np.uint64(1)), at - start[last], at - start[new]))
+            parts.append((at + np.int64(lo), row, mix(keys[at] + np.uint64(1)), at - last, at - new))
         if parts:
             self.at, self.row, self.key, self.low, self.high = (np.concatenate(x) for x in zip(*parts, strict=True))
         else:

@@ -154,6 +154,44 @@ def test_substrings_of_the_table_and_corner_cases(spark):
     assert suffix.remove_repeats(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("block", [7, 64, 1 << 14])
+def test_least_places_against_brute_force(monkeypatch, block):
+    import numpy as np
+
+    monkeypatch.setattr(suffix, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    distinct = rng.permutation(500).astype(np.uint64) + np.uint64(2**63)
+    ties = np.concatenate([distinct, np.full(60, distinct[-1]), distinct[:9], np.tile(distinct[:5], 30), rng.integers(0, 3, 90).astype(np.uint64)])
+    followed, plain = [], suffix._followed_places
+    monkeypatch.setattr(suffix, "_followed_places", lambda v, width: followed.append(len(v)) or plain(v, width))
+    for values in (ties, ties[:12], distinct):
+        followed.clear()
+        for width in (1, 2, 5, 12):
+            want = [i + int(np.argmin(values[i:i + width])) for i in range(len(values) - width + 1)]
+            assert suffix._least_places(values, width).tolist() == want
+    assert not followed  # distinct values take the short way
+
+
+@pytest.mark.parametrize("block", [9, 1 << 14])
+def test_anchors_against_brute_force(monkeypatch, block):
+    import numpy as np
+
+    monkeypatch.setattr(suffix, "BLOCK", block)
+    monkeypatch.setattr(suffix, "PIECE_BYTES", 300)
+    rng = random.Random(8)
+    rows = ["".join(rng.choice("ab c") for _ in range(n)).encode() for n in (0, 3, 49, 50, 0, 51, 700, 0, 120, 49, 90)] + [b"a" * 400, b"x" * 20]
+    data, offsets = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
+    a = suffix.Anchors(data, offsets, 50)
+    hashes = suffix.window_hashes(data, 16)
+    whole = data.tobytes()
+    assert len({whole[i:i + 16] for i in range(len(hashes))}) == len(set(hashes.tolist()))
+    got = [(int(r), int(p) - int(back)) for r, p, low, high in zip(a.row, a.at, a.low, a.high, strict=True) for back in range(low, high + 1)]
+    strings = {(r, int(offsets[r]) + i) for r, t in enumerate(rows) for i in range(len(t) - 49)}
+    assert set(got) == strings and len(got) == len(strings)  # every string within a row, once
+    for r, p, low, high in zip(a.row, a.at, a.low, a.high, strict=True):
+        assert all(p == s + int(np.argmin(hashes[s:s + 35])) for s in range(p - high, p - low + 1))
+
+
 def test_family_levels_stay_logarithmic():
     import numpy as np
 
